@@ -1,0 +1,63 @@
+"""Run a registered query on Spark and its SQL on DuckDB and compare whole results."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def duck(folder: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    return con
+
+
+def _key(value):
+    if value is None:
+        return ""
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else f"{value:.9g}"
+    return str(value)
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_key(r[i]) for i in order) for r in rows)
+
+
+SAME_TYPE = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def differences(df, con, sql: str) -> list[str]:
+    """Empty if names, types and all rows agree."""
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    expected = cursor.fetchall()
+    got = [tuple(r) for r in df.collect()]
+    problems = []
+    if sorted(df.columns) != sorted(names):
+        return [f"columns {sorted(df.columns)} != {sorted(names)}"]
+    for name, kind in df.dtypes:
+        if SAME_TYPE.get(kind) != types[name]:
+            problems.append(f"type of {name}: {kind} != {types[name]}")
+    if len(got) != len(expected):
+        problems.append(f"{len(got)} rows, expected {len(expected)}")
+    a, b = _rows(df.columns, got), _rows(names, expected)
+    if a != b:
+        from collections import Counter
+        ca, cb = Counter(a), Counter(b)
+        only_a, only_b = list((ca - cb).elements()), list((cb - ca).elements())
+        problems.append(f"{sorted(names)}: {len(only_a)} only in Spark {only_a[:3]}; "
+                        f"{len(only_b)} only in SQL {only_b[:3]}")
+    return problems
