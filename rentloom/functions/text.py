@@ -26,7 +26,7 @@ def extract(text: Column, pattern: str) -> Column:
 def replace_first(text: Column, pattern: str, replacement: str = "") -> Column:
     """Change the first match only; the replacement is taken literally."""
     literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(text, f"(?s:^(.*?))(?:{pattern})", "$1" + literal)
+    return F.regexp_replace(text, f"(?s:^(?<lead>.*?))(?:{pattern})", "${lead}" + literal)
 
 
 def replace_all(text: Column, pattern: str, replacement: str = "") -> Column:
@@ -120,6 +120,6 @@ def zip5(text: Column) -> Column:
 
 def with_short_zip(text: Column) -> Column:
     """Shorten the first ZIP+4 to its five digits; text without a ZIP stays as it is."""
-    replacement = F.concat(F.lit("$1"), zip5(text))
-    short = F.regexp_replace(text, F.lit(f"(?s:^(.*?))(?:{fixed.ZIP})"), replacement)
+    replacement = F.concat(F.lit("${lead}"), zip5(text))
+    short = F.regexp_replace(text, F.lit(f"(?s:^(?<lead>.*?))(?:{fixed.ZIP})"), replacement)
     return F.coalesce(short, text)

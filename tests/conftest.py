@@ -1,0 +1,47 @@
+import pathlib
+import sys
+
+import pytest
+
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
+
+from rentloom.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return local_session("rentloom-tests")
+
+
+@pytest.fixture(scope="session")
+def smallest():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def rows(spark):
+    """Text rows from dicts; columns not given are NULL."""
+    def make(names, *records):
+        schema = ", ".join(f"`{n}` string" for n in names)
+        return spark.createDataFrame([tuple(r.get(n) for n in names) for r in records], schema)
+    return make
+
+
+@pytest.fixture
+def county(spark):
+    """Two square counties side by side in degrees, projected like the real ones."""
+    from pyspark.sql import functions as F
+
+    from rentloom.functions.geo import project_rings
+    from rentloom.sources.schemas import COUNTY
+
+    def square(west):
+        return [[{"x": west, "y": 47.0}, {"x": west + 1, "y": 47.0},
+                 {"x": west + 1, "y": 48.0}, {"x": west, "y": 48.0}]]
+
+    table = spark.createDataFrame(
+        [("Seattle", "42660", "King County", "53033", "WA", "King County WA", square(-122.8)),
+         ("Phoenix", "38060", "Maricopa County", "06037", "AZ", "Maricopa County AZ", square(-121.8))],
+        COUNTY)
+    return table.withColumn("geometry", project_rings(F.col("geometry")))

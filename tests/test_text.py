@@ -1,0 +1,143 @@
+"""Text, number and date expressions, and the null rules they must keep."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentloom import fixed_values as fixed
+from rentloom.functions import dates, text
+from rentloom.functions.geo import url_coordinates, url_county
+
+
+def value(spark, expression, **columns):
+    schema = ", ".join(f"{n} {'double' if isinstance(v, float) else 'string'}" for n, v in columns.items())
+    df = spark.createDataFrame([tuple(columns.values())], schema)
+    return df.select(expression.alias("v")).first().v
+
+
+@pytest.mark.parametrize("raw, number", [
+    ("$1,200+", 1200.0), ("1.5 Bath", 1.5), ("-3 below", -3.0), ("$--", None), ("", None),
+    (None, None), ("a - 3", 3.0), (".5 mi", 0.5), ("1,050 Sqft", 1050.0), ("-- bds", None),
+    ("12.", 12.0), ("Studio", None),
+])
+def test_parse_number(spark, raw, number):
+    assert value(spark, text.parse_number(F.col("x")), x=raw) == number
+
+
+def test_replace_first_leaves_later_matches(spark):
+    assert value(spark, text.replace_first(F.col("x"), ","), x="1,2,3") == "12,3"
+    assert value(spark, text.replace_first(F.col("x"), "\n", " "), x="a\nb\nc") == "a b\nc"
+    assert value(spark, text.replace_first(F.col("x"), "b|c", "$1\\"), x="abc") == "a$1\\c"
+    assert value(spark, text.replace_first(F.col("x"), "z", "y"), x="abc") == "abc"
+    assert value(spark, text.replace_first(F.col("x"), "z"), x=None) is None
+
+
+def test_extract_without_match_is_null(spark):
+    assert value(spark, text.extract(F.col("x"), "[0-9]+"), x="none") is None
+
+
+@pytest.mark.parametrize("whole, part, left", [
+    ("The Bell Belltown", "The Bell", " Belltown"), ("abc", "x", "abc"), ("a.c a.c", "a.c", " a.c"),
+    (None, "a", None), ("a", None, None), ("a*b", "*", "ab"),
+])
+def test_remove_first_text_reads_the_part_literally(spark, whole, part, left):
+    assert value(spark, text.remove_first_text(F.col("x"), F.col("y")), x=whole, y=part) == left
+
+
+def test_pieces(spark):
+    assert value(spark, text.piece_or_empty(F.col("x"), " #", 2, 1), x="12 Main St #4 #5") == "12 Main St"
+    assert value(spark, text.piece_or_empty(F.col("x"), "\n", 3, 3), x="a\nb") == ""
+    assert value(spark, text.piece_or_empty(F.col("x"), "\n", 3, 3), x="a\nb\nc\nd") == "c\nd"
+    assert value(spark, text.piece_or_empty(F.col("x"), "\n", 3, 3), x=None) is None
+    assert value(spark, text.piece(F.col("x"), "-", 2), x="1") is None
+    assert value(spark, text.piece(F.col("x"), "-", 2), x="1-2-3") == "2"
+
+
+def test_missing_parts_are_spelled(spark):
+    both = text.joined(", ", F.col("x"), F.col("y"))
+    assert value(spark, both, x=None, y="b") == "NA, b"
+    skipped = text.joined(", ", F.col("x"), F.col("y"), spell_missing=False)
+    assert value(spark, skipped, x=None, y="b") == "b"
+
+
+def test_padding_never_truncates(spark):
+    assert value(spark, text.pad_left(F.col("x"), 5, "0"), x="6037") == "06037"
+    assert value(spark, text.pad_left(F.col("x"), 5, "0"), x="1234567") == "1234567"
+    assert value(spark, text.pad_left(F.col("x"), 5, "0"), x=None) is None
+
+
+@pytest.mark.parametrize("raw, rent", [("1.5K", 1500.0), ("2M", 2.0), ("1200", 1200.0),
+                                       ("OK 1200", 1200000.0), (None, None)])
+def test_scaled_rent(spark, raw, rent):
+    assert value(spark, text.scaled_rent(F.col("x")), x=raw) == rent
+
+
+def test_scaled_rent_put_right(spark):
+    strict = text.scaled_rent(F.col("x"), suffix_only=True, scale_millions=True)
+    assert value(spark, strict, x="OK 1200") == 1200.0
+    assert value(spark, strict, x="1.5K") == 1500.0
+    assert value(spark, strict, x="2M") == 2e6
+
+
+@pytest.mark.parametrize("beds, label", [
+    (0.0, "0"), (1.0, "1"), (2.0, "2"), (3.0, "3"), (4.0, "4+"), (7.0, "4+"), (1.5, None),
+    (-1.0, None), (4.5, "4+")])
+def test_bedroom_class(spark, beds, label):
+    assert value(spark, text.bedroom_class(F.col("x")), x=beds) == label
+
+
+@pytest.mark.parametrize("raw, clean", [
+    ("5 Oak St #3, Seattle", "5 Oak St , Seattle"),
+    ("12 Main #4, Seattle #5, x", "12 Main , Seattle #5, x"),
+    ("9 Elm UNIT 7, Tacoma", "9 Elm , Tacoma"),
+    ("9 Elm, Tacoma", "9 Elm, Tacoma"), (None, None), ("9 Elm #2", "9 Elm #2"),
+])
+def test_drop_unit(spark, raw, clean):
+    assert value(spark, text.drop_unit(F.col("x")), x=raw) == clean
+
+
+def test_zip(spark):
+    raw = "Seattle, WA 98105-1234, or 98106-0000"
+    assert value(spark, text.zip5(F.col("x")), x=raw) == "98105"
+    assert value(spark, text.with_short_zip(F.col("x")), x=raw) == "Seattle, WA 98105, or 98106-0000"
+    assert value(spark, text.with_short_zip(F.col("x")), x="no code") == "no code"
+    assert value(spark, text.zip5(F.col("x")), x="id 1234567") is None
+    assert value(spark, text.with_short_zip(F.col("x")), x=None) is None
+
+
+def test_trim_and_one_line(spark):
+    assert value(spark, text.trim_space(F.col("x")), x="\n a b\t") == "a b"
+    assert value(spark, text.one_line(F.col("x")), x=" a\nb\n") == "a b"
+
+
+@pytest.mark.parametrize("when, posted, day", [
+    ("Oct 15, 3:04:05 PM", "2020-10-15", datetime.date(2020, 10, 15)),
+    ("Oct 5, 3:04:05 PM", "2020-10-05", datetime.date(2020, 10, 5)),
+    ("Feb 30, 3:04:05 PM", "2021-02-01", None),
+    ("Oct 15, 3:04:05 PM", "1999-10-15", None),
+    ("15, 3:04:05 PM", "2020-10-15", None), (None, None, None),
+])
+def test_post_date(spark, when, posted, day):
+    assert value(spark, dates.post_date(F.col("x"), F.col("y")), x=when, y=posted) == day
+
+
+def test_post_time_and_scrape_time(spark):
+    assert value(spark, dates.post_time(F.col("x")), x="Oct 15, 3:04:05 PM") == "3:04:05 PM"
+    assert value(spark, dates.scraped_at(F.col("x")), x="2020-10-15 03:04:05") == datetime.datetime(
+        2020, 10, 15, 3, 4, 5)
+    assert value(spark, dates.scraped_at(F.col("x")), x="soon") is None
+
+
+def test_links(spark):
+    lat, lng = url_coordinates(F.col("x"))
+    link = "https://x/maps/search/47.61,-122.33"
+    assert value(spark, lat, x=link) == 47.61 and value(spark, lng, x=link) == -122.33
+    assert value(spark, lat, x="https://x/") is None and value(spark, lng, x=None) is None
+    assert value(spark, url_county(F.col("x")), x="x/for_rent/6037_c/") == "06037"
+    assert value(spark, url_county(F.col("x")), x="x/for_rent/53033_c/") == "53033"
+    assert value(spark, url_county(F.col("x")), x="x/other/53033_c/") is None
+
+
+def test_months_are_in_order():
+    assert fixed.MONTHS.index("Oct") == 9 and len(fixed.MONTHS) == 12
