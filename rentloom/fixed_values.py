@@ -43,6 +43,12 @@ SITE_HOMES = "homes.com"
 SITE_REALTOR = "realtor.com"
 SITE_RENT = "rent.com"
 
+# Blanks that trimming removes: control blanks and all Unicode separators.
+BLANKS = (
+    "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Numbers in free text: comma groups digits, point is the decimal mark.
 NUMBER = r"-?[0-9][0-9,]*([.][0-9]*)?|-?[.][0-9]+"
 
@@ -57,7 +63,7 @@ GOSECTION8_BEDS = r"[0-9]\nBed"
 GOSECTION8_BATHS = r"[0-9.]{1,3} Bath"
 TRULIA_BEDS = r"[0-9-]{1,3}bd"
 TRULIA_RENT_NOISE = r"/mo|\$"
-ZILLOW_RENT = r"\$[0-9,]{3,6}\+{0,1}\n"
+ZILLOW_OFFER = r"\$([0-9,]{3,6})\+{0,1}\n(Studio|[0-9]+ bd)"
 ZILLOW_SQFT = r"[0-9,]{3,6}\nsqft"
 ZILLOW_SIZES = ("Studio", "1 bd", "2 bd", "3 bd", "4 bd", "5 bd", "6 bd",
                 "7 bd", "8 bd", "9 bd", "10 bd", "11 bd", "12 bd")

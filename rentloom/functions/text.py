@@ -14,7 +14,8 @@ from rentloom import fixed_values as fixed
 
 def parse_number(text: Column) -> Column:
     """First number in the text as a double; NULL if there is none."""
-    digits = F.regexp_substr(text, F.lit(fixed.NUMBER))
+    # '' where there is no number; that casts to NULL.
+    digits = F.regexp_extract(text, fixed.NUMBER, 0)
     return F.replace(digits, F.lit(","), F.lit("")).try_cast("double")
 
 
@@ -29,21 +30,22 @@ def replace_first(text: Column, pattern: str, replacement: str = "") -> Column:
     return F.regexp_replace(text, f"(?s:^(?<lead>.*?))(?:{pattern})", "${lead}" + literal)
 
 
-def replace_all(text: Column, pattern: str, replacement: str = "") -> Column:
-    literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(text, pattern, literal)
-
-
-def remove_first_text(text: Column, part: Column) -> Column:
-    """Cut the first occurrence of another column's value, read as plain text."""
+def replace_first_text(text: Column, part: Column | str, replacement: str = "") -> Column:
+    """The same for plain text, which may come from another column; no regular expression."""
+    part = F.lit(part) if isinstance(part, str) else part
     at = F.position(part, text)
     return F.when(
         at > 0,
-        F.concat(F.substring(text, F.lit(1), at - 1),
+        F.concat(F.substring(text, F.lit(1), at - 1), F.lit(replacement),
                  F.substring(text, at + F.length(part), F.length(text))),
     ).when(at == 0, text)
 
 
+def replace_all(text: Column, pattern: str, replacement: str = "") -> Column:
+    literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(text, pattern, literal)
+
+
 def piece_or_empty(text: Column, pattern: str, count: int, k: int) -> Column:
     """k-th (from 1) of at most `count` pieces, '' where the text has fewer."""
     found = F.try_element_at(F.split(text, pattern, count), F.lit(k))
@@ -57,11 +59,11 @@ def piece(text: Column, pattern: str, k: int, count: int = -1) -> Column:
 
 def trim_space(text: Column) -> Column:
     """Strip every kind of white space, newlines included, from both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(fixed.BLANKS))
 
 
 def one_line(text: Column) -> Column:
-    return trim_space(F.translate(text, "\n", " "))
+    return trim_space(F.replace(text, F.lit("\n"), F.lit(" ")))
 
 
 def pad_left(text: Column, width: int, pad: str) -> Column:
@@ -81,8 +83,8 @@ def code_text(number: Column) -> Column:
     return F.regexp_replace(number.cast("string"), r"\.0$", "")
 
 
-def studio_as_zero(text: Column, pattern: str = "Studio") -> Column:
-    return replace_first(text, pattern, "0")
+def studio_as_zero(text: Column) -> Column:
+    return replace_first_text(text, "Studio", "0")
 
 
 def scaled_rent(text: Column, suffix_only: bool = False, scale_millions: bool = False) -> Column:

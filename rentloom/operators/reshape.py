@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructType
 
 from rentloom import fixed_values as fixed
 from rentloom.functions.text import (
-    extract, one_line, parse_number, piece, piece_or_empty, replace_all, trim_space,
+    one_line, parse_number, piece, piece_or_empty, replace_all, trim_space,
 )
 
 
@@ -106,12 +106,27 @@ def unpivot_sizes(
     return df.select(*kept, F.inline(present))
 
 
-def rents_in_text(bedrooms: Column) -> dict[float, Column]:
-    """Advertised rent per bedroom count out of a building's price list."""
-    return {
-        n: parse_number(extract(bedrooms, fixed.ZILLOW_RENT + size))
-        for n, size in enumerate(fixed.ZILLOW_SIZES)
-    }
+def offers_in_text(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """Array of (beds, rent text) out of a building's price list, the first offer per size.
+
+    One look at the text finds all offers, whatever the number of sizes.
+    """
+    sizes = F.array(*[F.lit(s) for s in fixed.ZILLOW_SIZES])
+    pattern = F.lit(fixed.ZILLOW_OFFER)
+
+    def offer(size, i):
+        return F.struct(
+            (F.array_position(sizes, size) - 1).cast("double").alias("beds"),
+            F.get("_rents", i).alias("rent"),
+            (F.array_position("_sizes", size) == i + 1).alias("first"))
+
+    found = df.withColumns({
+        "_sizes": F.regexp_extract_all(text, pattern, F.lit(2)),
+        "_rents": F.regexp_extract_all(text, pattern, F.lit(1)),
+    })
+    offers = F.filter(F.transform("_sizes", offer), lambda o: o["first"] & (o["beds"] >= 0))
+    return found.withColumn(out, F.transform(
+        offers, lambda o: F.struct(o["beds"], o["rent"]))).drop("_sizes", "_rents")
 
 
 def inventory_by_size(df: DataFrame, columns: Sequence[str] = fixed.PADMAPPER_SIZES) -> DataFrame:
@@ -138,10 +153,11 @@ def pivot_inventory(
 ) -> DataFrame:
     """Long to wide with the column names given, so no extra job looks them up.
 
-    Equal cells collapse; of several values for one cell the smallest is kept, which
-    Spark combines before the shuffle.
+    One aggregate and one shuffle, where `pivot` takes two. Equal cells collapse; of
+    several values for one cell the smallest is kept, which combines before the shuffle.
     """
-    return df.groupBy(*ids).pivot(var, list(names)).agg(F.min(value))
+    cells = [F.min(F.when(F.col(var) == n, F.col(value))).alias(n) for n in names]
+    return df.groupBy(*ids).agg(*cells)
 
 
 def harmonize_union(parts: Sequence[DataFrame], schema: StructType | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rentloom import fixed_values as fixed
 from rentloom.functions.dates import scraped_at
 from rentloom.functions.text import (
-    extract, parse_number, replace_all, replace_first, studio_as_zero,
+    extract, parse_number, replace_all, replace_first_text, studio_as_zero,
 )
 from rentloom.operators.dedupe import keep_first
 from rentloom.operators.reshape import building_ranges, sentinel_to_null
@@ -32,7 +32,7 @@ def _homes(fixes) -> dict[str, Column]:
     beds = parse_number(extract(studio_as_zero(text), fixed.HOMES_BEDS))
     if quirks.STUDIO_BEDS in fixes:
         beds = F.coalesce(beds, F.when(text.contains("Studio"), F.lit(0.0)))
-    area = replace_all(text, ",") if quirks.FIRST_COMMA in fixes else replace_first(text, ",")
+    area = replace_all(text, ",") if quirks.FIRST_COMMA in fixes else replace_first_text(text, ",")
     return {
         "is_bldg": F.col("rent").contains("+"),
         "rent": parse_number(F.col("rent")),
@@ -129,14 +129,14 @@ def homes(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame
 
 def realtor(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
     rows = _typed_site(extra_markets, fixed.SITE_REALTOR, quirks.checked(fixes), order)
-    return rows.withColumn("address", replace_first(F.col("address"), "\n", " "))
+    return rows.withColumn("address", replace_first_text(F.col("address"), "\n", " "))
 
 
 def rent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
     units = extract(F.col("availablity"), fixed.RENT_UNITS)
     rows = extra_markets.withColumn("availablity", units)
     rows = _typed_site(rows, fixed.SITE_RENT, quirks.checked(fixes), order)
-    return rows.withColumn("address", replace_first(F.col("address"), "\n", " "))
+    return rows.withColumn("address", replace_first_text(F.col("address"), "\n", " "))
 
 
 def forrent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:

@@ -450,6 +450,9 @@ SQL: dict[str, str] = {
                CASE WHEN q % 4 > 0 THEN r + CAST(100 * q AS DOUBLE) / (q % 4) * (beds - b) END AS rent
         FROM (SELECT *, unnest(generate_series(b, b + q % 4)) AS beds FROM ads WHERE many)"""),
     "unpivot_rent": sql(ADS, """
+        SELECT ad, CAST(i AS DOUBLE) AS beds, CAST(r + 300 * i AS DOUBLE) AS rent
+        FROM (SELECT *, unnest(generate_series(0, q % 5)) AS i FROM ads WHERE many)"""),
+    "offers_by_size": sql(ADS, """
         SELECT 'https://listings.example.org/' || ad AS url, CAST(i AS DOUBLE) AS beds,
                CAST(r + 300 * i AS DOUBLE) AS rent
         FROM (SELECT *, unnest(generate_series(0, q % 4)) AS i FROM ads WHERE many)"""),

@@ -259,9 +259,17 @@ def bed_range_expand(spark, folder):
 
 @query
 def unpivot_rent(spark, folder):
-    rows = inputs.zillow(spark, folder).where(F.col("rent").isNull()).select("url", "bedrooms")
-    sizes = reshape.unpivot_sizes(rows, reshape.rents_in_text(F.col("bedrooms")))
-    return sizes.select("url", "beds", "rent")
+    """Five columns of rent by size, most of them empty, to one row per rent."""
+    rows = inputs.ads(spark, folder).where("is_range")
+    wide = {
+        n: F.when(F.col("q") % 5 >= n, (F.col("r") + 300 * n).cast("double")) for n in range(5)}
+    return reshape.unpivot_sizes(rows.select("ad", "q", "r"), wide).select("ad", "beds", "rent")
+
+
+@query
+def offers_by_size(spark, folder):
+    rows = inputs.zillow(spark, folder).where(F.col("rent").isNull())
+    return zillow.by_size(rows).select("url", "beds", "rent")
 
 
 @query

@@ -305,3 +305,10 @@ def test_projected_rings(spark):
     df = spark.createDataFrame([("a", [square(-96.0, 23.0, -95.0, 24.0)])], POLYGONS)
     first = df.select(project_rings(F.col("geometry")).alias("g")).first().g[0][0]
     assert first.x == pytest.approx(0, abs=1e-6) and first.y == pytest.approx(0, abs=1e-6)
+
+
+def test_offers_take_the_first_per_size(spark):
+    text = "$1,200+\nStudio$1,500\n1 bd$1,700\n1 bds$9,900\n12 bd$800\n13 bd$12\n2 bd$1,234,567\n3 bd"
+    df = spark.createDataFrame([(text,), (None,), ("none",)], "t string")
+    out = reshape.offers_in_text(df, F.col("t"), "o").select(F.inline("o"))
+    assert got(out, "beds", "rent") == [(0.0, "1,200"), (1.0, "1,500"), (12.0, "9,900")]

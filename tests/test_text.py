@@ -41,8 +41,8 @@ def test_extract_without_match_is_null(spark):
     ("The Bell Belltown", "The Bell", " Belltown"), ("abc", "x", "abc"), ("a.c a.c", "a.c", " a.c"),
     (None, "a", None), ("a", None, None), ("a*b", "*", "ab"),
 ])
-def test_remove_first_text_reads_the_part_literally(spark, whole, part, left):
-    assert value(spark, text.remove_first_text(F.col("x"), F.col("y")), x=whole, y=part) == left
+def test_replace_first_text_reads_the_part_literally(spark, whole, part, left):
+    assert value(spark, text.replace_first_text(F.col("x"), F.col("y")), x=whole, y=part) == left
 
 
 def test_pieces(spark):
