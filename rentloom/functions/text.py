@@ -24,19 +24,31 @@ def extract(text: Column, pattern: str) -> Column:
     return F.regexp_substr(text, F.lit(pattern))
 
 
+def number_in(text: Column, pattern: str) -> Column:
+    """First number of the first match of the pattern."""
+    return parse_number(F.regexp_extract(text, pattern, 0))
+
+
 def replace_first(text: Column, pattern: str, replacement: str = "") -> Column:
     """Change the first match only; the replacement is taken literally."""
     literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
     return F.regexp_replace(text, f"(?s:^(?<lead>.*?))(?:{pattern})", "${lead}" + literal)
 
 
-def replace_first_text(text: Column, part: Column | str, replacement: str = "") -> Column:
-    """The same for plain text, which may come from another column; no regular expression."""
-    part = F.lit(part) if isinstance(part, str) else part
+def replace_first_text(text: Column, part: str, replacement: str = "") -> Column:
+    """The same for plain text: split once there and join again."""
+    return F.array_join(F.split(text, rf"\Q{part}\E", 2), replacement)
+
+
+def cut_first(text: Column, part: Column) -> Column:
+    """Cut the first occurrence of another column's value, read as plain text.
+
+    Both are mentioned several times, so pass plain columns.
+    """
     at = F.position(part, text)
     return F.when(
         at > 0,
-        F.concat(F.substring(text, F.lit(1), at - 1), F.lit(replacement),
+        F.concat(F.substring(text, F.lit(1), at - 1),
                  F.substring(text, at + F.length(part), F.length(text))),
     ).when(at == 0, text)
 

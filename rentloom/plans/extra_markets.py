@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rentloom import fixed_values as fixed
 from rentloom.functions.dates import scraped_at
 from rentloom.functions.text import (
-    extract, parse_number, replace_all, replace_first_text, studio_as_zero,
+    extract, number_in, parse_number, replace_all, replace_first_text, studio_as_zero,
 )
 from rentloom.operators.dedupe import keep_first
 from rentloom.operators.reshape import building_ranges, sentinel_to_null
@@ -29,7 +29,7 @@ def _missing(kind: str = "double") -> Column:
 
 def _homes(fixes) -> dict[str, Column]:
     text = F.col("bedrooms")
-    beds = parse_number(extract(studio_as_zero(text), fixed.HOMES_BEDS))
+    beds = number_in(studio_as_zero(text), fixed.HOMES_BEDS)
     if quirks.STUDIO_BEDS in fixes:
         beds = F.coalesce(beds, F.when(text.contains("Studio"), F.lit(0.0)))
     area = replace_all(text, ",") if quirks.FIRST_COMMA in fixes else replace_first_text(text, ",")
@@ -37,8 +37,8 @@ def _homes(fixes) -> dict[str, Column]:
         "is_bldg": F.col("rent").contains("+"),
         "rent": parse_number(F.col("rent")),
         "beds": beds,
-        "baths": parse_number(extract(text, fixed.HOMES_BATHS)),
-        "sqft": parse_number(extract(area, fixed.HOMES_SQFT)),
+        "baths": number_in(text, fixed.HOMES_BATHS),
+        "sqft": number_in(area, fixed.HOMES_SQFT),
     }
 
 
@@ -57,7 +57,7 @@ def _rent(fixes) -> dict[str, Column]:
     if quirks.SHORT_BEDS in fixes:
         beds = parse_number(text)
     else:
-        beds = parse_number(extract(text, fixed.RENT_BEDS))
+        beds = number_in(text, fixed.RENT_BEDS)
     return {**_realtor(fixes), "beds": beds}
 
 

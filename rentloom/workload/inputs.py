@@ -108,9 +108,9 @@ def ads(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def geocoded(spark: SparkSession, folder: str) -> DataFrame:
+def geocoded(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     k = col("k")
-    return ads(spark, folder).select(
+    return (base or ads(spark, folder)).select(
         F.when(col("l_linestatus") == "F", F.lit(fixed.SOURCE_APARTMENTS))
         .otherwise("Elsewhere").alias("source"),
         F.date_add("ship", SHIFT_DAYS).alias("listing_date"),
@@ -124,8 +124,8 @@ def geocoded(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def extra_markets(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ads(spark, folder)
+def extra_markets(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
+    rows = base or ads(spark, folder)
     b, r, many = col("b"), col("r"), col("is_range")
     website = (
         F.when(col("l_returnflag") == "A", F.lit(fixed.SITE_FORRENT))
@@ -200,10 +200,10 @@ def craigslist(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def gosection8(spark: SparkSession, folder: str) -> DataFrame:
+def gosection8(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     sizes = F.when(col("b") == 0, F.lit("Studio\nBed 1 Bath")).otherwise(
         text(col("b"), "\nBed ", col("baths"), " Bath\nHouse"))
-    return ads(spark, folder).select(
+    return (base or ads(spark, folder)).select(
         money(col("r")).alias("rent"), sizes.alias("beds_bath"), F.lit("A home.").alias("text"),
         text(col("l_partkey"), " Oak Ave, ", col("n_name")).alias("address"),
         F.lit("now").alias("availability"), "container",
@@ -212,9 +212,9 @@ def gosection8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def trulia(spark: SparkSession, folder: str) -> DataFrame:
+def trulia(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     many = col("is_range")
-    return ads(spark, folder).select(
+    return (base or ads(spark, folder)).select(
         F.lit("New").alias("tags"),
         F.when(many, text(money(col("r")), " - ", money(col("r2")), "/mo"))
         .otherwise(text(money(col("r")), "/mo")).alias("rent"),
@@ -231,7 +231,7 @@ def trulia(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def zillow(spark: SparkSession, folder: str) -> DataFrame:
+def zillow(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     def offer(i, label):
         return F.when(col("q") % 4 >= i, text(money(col("r") + 300 * i), f"\n{label}"))
 
@@ -239,7 +239,7 @@ def zillow(spark: SparkSession, folder: str) -> DataFrame:
         offer(i, label) for i, label in enumerate(("Studio", "1 bd", "2 bd", "3 bd"))])
     size = F.when(col("b") == 0, F.lit("Studio")).otherwise(text(col("b"), " bds"))
     many = col("is_range")
-    return ads(spark, folder).select(
+    return (base or ads(spark, folder)).select(
         F.when(~many, text(money(col("r")), "/mo")).alias("rent"),
         F.when(many, price_list).otherwise(text(size, "\n1 ba\n", col("area"), "\nsqft"))
         .alias("bedrooms"),
@@ -251,7 +251,7 @@ def zillow(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def padmapper(spark: SparkSession, folder: str) -> DataFrame:
+def padmapper(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     many = col("is_range")
 
     def offer(i):
@@ -262,7 +262,7 @@ def padmapper(spark: SparkSession, folder: str) -> DataFrame:
     short = text("$", F.floor(col("r") / 1000), ".", F.floor(col("r") % 1000 / 100), "K")
     unit = text(col("l_partkey"), " Bell St #4")
     tower = text("The P", col("l_partkey"))
-    return ads(spark, folder).select(
+    return (base or ads(spark, folder)).select(
         F.when(many, text(money(col("r")), "+")).when(col("d") == 5, short)
         .otherwise(money(col("r"))).alias("rent"),
         F.when(col("b") == 0, F.lit("Studio 1 Bathroom"))
@@ -277,12 +277,12 @@ def padmapper(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def address_book(spark: SparkSession, folder: str) -> DataFrame:
+def address_book(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     """Every Padmapper address once with a point, inside or outside of its nation's county."""
     k = col("k")
     west, south = F.lit(-125.0) + 10.0 * (k % 5), F.lit(25.0) + 5.0 * F.floor(k / 5)
     p = col("l_partkey")
-    homes = ads(spark, folder).select("l_partkey", "k", "n_name").distinct().select(
+    homes = (base or ads(spark, folder)).select("l_partkey", "k", "n_name").distinct().select(
         text(p, " Bell St, ", col("n_name")).alias("address"),
         (west + (p * 7 % 997) / 100.0 + 0.003).alias("X"),
         (south + (p * 13 % 499) / 100.0 + 0.001).alias("Y"))

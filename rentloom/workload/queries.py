@@ -35,6 +35,11 @@ def _county(spark, folder) -> DataFrame:
         inputs.raw_cbsa(spark, folder))
 
 
+def _stored_county(spark, folder) -> DataFrame:
+    """Written once where several sites are located with it."""
+    return files.land(_county(spark, folder), shared_folder(spark))
+
+
 def _outlines(spark, folder) -> DataFrame:
     """All counties with outlines in degrees, in or out of the metros."""
     return inputs.raw_county(spark, folder).select("namelsad", "geometry")
@@ -423,18 +428,18 @@ def acs_append(spark, folder):
     return tables.acs_rows(inputs.raw_acs(spark, folder), _county(spark, folder))
 
 
-def all_listings(spark, folder):
-    county = _county(spark, folder)
+def all_listings(spark, folder, county):
     dim = flat(county)
+    base = inputs.ads(spark, folder)
     return tables.listing_table(
         {
             "craigslist": _craigslist(spark, folder, county),
-            "apartments": apartments.build(inputs.geocoded(spark, folder), dim),
-            "gosection8": gosection8.build(inputs.gosection8(spark, folder), dim),
-            "trulia": trulia.build(inputs.trulia(spark, folder), dim),
-            "zillow": zillow.build(inputs.zillow(spark, folder), dim),
+            "apartments": apartments.build(inputs.geocoded(spark, folder, base), dim),
+            "gosection8": gosection8.build(inputs.gosection8(spark, folder, base), dim),
+            "trulia": trulia.build(inputs.trulia(spark, folder, base), dim),
+            "zillow": zillow.build(inputs.zillow(spark, folder, base), dim),
             "padmapper": padmapper.build(
-                inputs.padmapper(spark, folder), county, inputs.address_book(spark, folder)),
+                inputs.padmapper(spark, folder, base), county, inputs.address_book(spark, folder, base)),
         },
         county,
     )
@@ -442,11 +447,12 @@ def all_listings(spark, folder):
 
 @query
 def listing_table(spark, folder):
-    return all_listings(spark, folder)
+    return all_listings(spark, folder, _stored_county(spark, folder))
 
 
 @query
 def rent_summary(spark, folder):
     """From the raw text of all sites to the final summary."""
-    acs = tables.acs_rows(inputs.raw_acs(spark, folder), _county(spark, folder))
-    return tables.rent_summary(all_listings(spark, folder), acs)
+    county = _stored_county(spark, folder)
+    acs = tables.acs_rows(inputs.raw_acs(spark, folder), county)
+    return tables.rent_summary(all_listings(spark, folder, county), acs)

@@ -3,7 +3,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from rentloom import fixed_values as fixed
 from rentloom.plans import (

@@ -31,6 +31,8 @@ def test_replace_first_leaves_later_matches(spark):
     assert value(spark, text.replace_first(F.col("x"), "b|c", "$1\\"), x="abc") == "a$1\\c"
     assert value(spark, text.replace_first(F.col("x"), "z", "y"), x="abc") == "abc"
     assert value(spark, text.replace_first(F.col("x"), "z"), x=None) is None
+    for raw, out in (("a.b.c", "a-b.c"), (".a", "-a"), ("a.", "a-"), ("abc", "abc"), (None, None), ("", "")):
+        assert value(spark, text.replace_first_text(F.col("x"), ".", "-"), x=raw) == out
 
 
 def test_extract_without_match_is_null(spark):
@@ -41,8 +43,8 @@ def test_extract_without_match_is_null(spark):
     ("The Bell Belltown", "The Bell", " Belltown"), ("abc", "x", "abc"), ("a.c a.c", "a.c", " a.c"),
     (None, "a", None), ("a", None, None), ("a*b", "*", "ab"),
 ])
-def test_replace_first_text_reads_the_part_literally(spark, whole, part, left):
-    assert value(spark, text.replace_first_text(F.col("x"), F.col("y")), x=whole, y=part) == left
+def test_cut_first_reads_the_part_literally(spark, whole, part, left):
+    assert value(spark, text.cut_first(F.col("x"), F.col("y")), x=whole, y=part) == left
 
 
 def test_pieces(spark):
