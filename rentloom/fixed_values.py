@@ -37,6 +37,10 @@ SOURCE_TRULIA = "Trulia"
 SOURCE_ZILLOW = "Zillow"
 SOURCE_ACS = "2018 ACS"
 
+# Names of the written tables.
+LISTING_FILE = "multisource_listing_table"
+SUMMARY_FILE = "multisource_summary_table"
+
 # Sites that share one table, told apart by its website column.
 SITE_FORRENT = "forrent.com"
 SITE_HOMES = "homes.com"

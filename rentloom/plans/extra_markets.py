@@ -81,7 +81,8 @@ RULES = {
 }
 
 
-def _dated(df: DataFrame) -> DataFrame:
+def dated(df: DataFrame) -> DataFrame:
+    """Scrape time as a timestamp, and its day."""
     stamp = scraped_at(F.col("scraped_time"))
     return df.withColumns({"scraped_time": stamp, "date": stamp.cast("date")})
 
@@ -117,7 +118,7 @@ def parse_failures(cleaned: DataFrame) -> DataFrame:
 
 def _typed_site(extra_markets: DataFrame, site: str, fixes, order) -> DataFrame:
     """Scan, type, blank sentinels, and keep one ad per address and size."""
-    rows = _dated(site_scan(extra_markets, site)).withColumns(RULES[site](fixes))
+    rows = dated(site_scan(extra_markets, site)).withColumns(RULES[site](fixes))
     rows = sentinel_to_null(rows).withColumnRenamed("location_identifier", "address")
     return keep_first(rows, DEDUPE_KEYS, order)
 
@@ -142,7 +143,7 @@ def rent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
 def forrent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
     """Unit ads as they are; building ads as one row per bedroom count with interpolated rent."""
     fixes = quirks.checked(fixes)
-    rows = _dated(site_scan(extra_markets, fixed.SITE_FORRENT)).withColumns({
+    rows = dated(site_scan(extra_markets, fixed.SITE_FORRENT)).withColumns({
         "is_bldg": F.col("bedrooms").contains("-"),
         "beds": studio_as_zero(F.col("bedrooms")),
         "baths": _missing(),

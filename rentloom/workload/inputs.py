@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentloom import fixed_values as fixed
-from rentloom.sources.tables import parquet_table
+from rentloom.sources.tables import parquet_table, spread
 
 OTHER_METRO = "16980"
 SHIFT_DAYS = 8000
@@ -79,7 +79,7 @@ def raw_acs(spark: SparkSession, folder: str) -> DataFrame:
 
 def ads(spark: SparkSession, folder: str) -> DataFrame:
     """Numbers behind every ad: rent r, bedrooms b, q, d, t, and the nation it is in."""
-    items = parquet_table(spark, folder, "lineitem").select(
+    items = spread(parquet_table(spark, folder, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         col("l_shipdate").cast("date").alias("ship"),
         F.floor(col("l_extendedprice") / 5).alias("r"),
@@ -170,7 +170,7 @@ def extra_markets(spark: SparkSession, folder: str, base: DataFrame | None = Non
 
 
 def craigslist(spark: SparkSession, folder: str) -> DataFrame:
-    orders = parquet_table(spark, folder, "orders")
+    orders = spread(parquet_table(spark, folder, "orders"))
     day = F.date_add(col("o_orderdate").cast("date"), SHIFT_DAYS)
     lat, lng = col("o_custkey") * 37 % 2400, col("o_custkey") * 91 % 4900
 

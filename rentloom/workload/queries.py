@@ -162,7 +162,7 @@ def listings_per_month(spark, folder):
 
 @query
 def scrape_times(spark, folder):
-    rows = extra_markets._dated(inputs.extra_markets(spark, folder))
+    rows = extra_markets.dated(inputs.extra_markets(spark, folder))
     return rows.groupBy("website", "scraped_time", "date").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -452,7 +452,8 @@ def listing_table(spark, folder):
 
 @query
 def rent_summary(spark, folder):
-    """From the raw text of all sites to the final summary."""
+    """From the raw text of all sites to the final summary, by way of the stored listings."""
     county = _stored_county(spark, folder)
     acs = tables.acs_rows(inputs.raw_acs(spark, folder), county)
-    return tables.rent_summary(all_listings(spark, folder, county), acs)
+    listings = files.land(all_listings(spark, folder, county), shared_folder(spark))
+    return tables.rent_summary(listings, acs)

@@ -20,3 +20,13 @@ def test_query(spark, smallest, con, name):
 def test_contract(spark):
     assert set(entry_point.queries()) == set(entry_point.oracle_sql())
     assert entry_point.entry(spark).columns[:4] == ["cbsafp", "metro_name", "source", "cat_beds"]
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Tokyo"])
+@pytest.mark.parametrize("name", ["scrape_times", "listing_dates", "listings_per_month", "scan_filter"])
+def test_results_do_not_depend_on_the_time_zone(spark, smallest, con, name, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert compare.differences(queries.REGISTERED[name](spark, smallest), con, oracles.SQL[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
