@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 BROADCAST_ITEMS = 5_000_000
 
 
@@ -21,11 +21,12 @@ def broadcast_if_small(
     """Mark a table for broadcast after counting it; a larger one is left to a shuffle join.
 
     `items` is a per-row size, such as the length of an array column, whose sum is
-    bounded too. Counting stops soon after `max_rows` rows.
+    bounded too. Only one small number per row is fetched, and `take` stops reading
+    partitions once it has too many rows.
     """
-    sizes = df.select((F.lit(0) if items is None else items).alias("n")).limit(max_rows + 1)
-    rows, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and total <= max_items else df
+    sizes = df.select((F.lit(0) if items is None else items).alias("n")).take(max_rows + 1)
+    fits = len(sizes) <= max_rows and sum(r.n or 0 for r in sizes) <= max_items
+    return F.broadcast(df) if fits else df
 
 
 def natural_left(left: DataFrame, right: DataFrame) -> DataFrame:

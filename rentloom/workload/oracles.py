@@ -340,6 +340,8 @@ SQL: dict[str, str] = {
         WHERE website = 'homes.com'"""),
     "csv_roundtrip": sql(ADS, ZILLOW_TEXT, """
         SELECT rent, bedrooms, address, unit_type, container, url, program_iteration FROM zillow_text"""),
+    "csv_in_blocks": sql(ADS, ZILLOW_TEXT, """
+        SELECT rent, bedrooms, address, unit_type, container, url, program_iteration FROM zillow_text"""),
     "csv_schema_drift": sql(ADS, """
         SELECT 'New' AS tags,
                format('${:,}', r) || CASE WHEN many THEN format(' - ${:,}', r + 100 * q) ELSE '' END || '/mo' AS rent,

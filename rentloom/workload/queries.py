@@ -66,6 +66,14 @@ def csv_roundtrip(spark, folder):
     return files.read_headerless(spark, path, schemas.ZILLOW)
 
 
+@query
+def csv_in_blocks(spark, folder):
+    """The same files read block by block, as needed for files too large for one task."""
+    path = shared_folder(spark)
+    files.write_csv(inputs.zillow(spark, folder), path, header=False)
+    return files.read_one_large(spark, path, schemas.ZILLOW)
+
+
 @query
 def csv_schema_drift(spark, folder):
     """Records with nine and with ten fields mixed in one file."""
