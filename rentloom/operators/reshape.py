@@ -47,10 +47,10 @@ def range_cells(
 ) -> Column:
     """Array of (step, value) from lo to hi with linearly interpolated values.
 
-    NULL if a bound is missing. A one-step range has no slope: its value is NULL, or
-    the lower value when `single_value` is set.
+    NULL if a bound is missing or lies 2**31 steps away. A one-step range has no
+    slope: its value is NULL, or the lower value when `single_value` is set.
     """
-    steps = F.floor(F.abs(hi - lo) + F.lit(1e-10)).cast("int")
+    steps = F.floor(F.abs(hi - lo) + F.lit(1e-10)).try_cast("int")
     first = F.when(lo <= hi, lo).otherwise(lo - steps)
     slope = F.try_divide(value_hi - value_lo, steps.cast("double"))
 

@@ -27,21 +27,22 @@ def inverse_ecdf(pairs, p):
 
 
 @pytest.mark.parametrize("pairs, median", [
-    ([(1.0, 1), (2.0, 1)], 1.0), ([(1.0, 1), (2.0, 3), (10.0, 1)], 2.0), ([(5.0, 0)], None)])
+    ([(1.0, 1), (2.0, 1)], 1.0), ([(1.0, 1), (2.0, 3), (10.0, 1)], 2.0), ([(5.0, 0)], None),
+    ([(1e300, 1), (-1e300, 1), (0.0, 1)], 0.0)])
 def test_median_by_hand(spark, pairs, median):
     df = spark.createDataFrame([("g", *p) for p in pairs], "k string, v double, w long")
     out = stats.weighted_quantiles(df, ["k"], "v", "w", (50,)).first()
     assert out.q50 == median and out.n == sum(w for _, w in pairs)
 
 
-@pytest.mark.parametrize("width", [0.25, 1.0, 1e6])
-def test_quantiles_do_not_depend_on_buckets(spark, width):
+@pytest.mark.parametrize("steps", [1, 16, 256, 100_000])
+def test_quantiles_do_not_depend_on_buckets(spark, steps):
     rng = random.Random(3)
     rows = [(rng.choice(["a", "b", None]), round(rng.gauss(0, 40), 1), rng.randint(0, 4)) for _ in range(800)]
     rows += [("hot", 7.0, 1)] * 500 + [("a", float("nan"), 9), ("a", None, 9)]
     df = spark.createDataFrame(rows, "k string, v double, w long")
     percents = (1, 25, 50, 75, 99, 100)
-    out = {r.k: r for r in stats.weighted_quantiles(df, ["k"], "v", "w", percents, width).collect()}
+    out = {r.k: r for r in stats.weighted_quantiles(df, ["k"], "v", "w", percents, steps).collect()}
     assert set(out) == {"a", "b", None, "hot"}
     for k, r in out.items():
         pairs = [(v, w) for g, v, w in rows if g == k and v is not None and v == v]
@@ -49,6 +50,17 @@ def test_quantiles_do_not_depend_on_buckets(spark, width):
         assert list(r)[2:] == sorted(list(r)[2:])
 
 
+@pytest.mark.parametrize("steps", [1, 256, 4096])
+def test_buckets_never_fall(spark, steps):
+    rng = random.Random(1)
+    values = [s * rng.uniform(1, 2) * 2.0 ** rng.randint(-40, 40) for s in (1, -1) for _ in range(2000)]
+    values += [s * 2.0 ** k * f for s in (1, -1) for k in range(-60, 60) for f in (1 - 2**-53, 1, 1 + 2**-52)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in sorted(values)], "v double")
+    buckets = [r.b for r in df.select("v", stats._bucket(F.col("v"), steps).alias("b")).orderBy("v").collect()]
+    assert buckets == sorted(buckets)
+
+
 def test_scaled_weights_change_nothing(spark):
     df = spark.range(200).selectExpr("id % 3 AS k", "cast(id * 37 % 101 AS double) AS v", "id % 7 AS w")
     a = stats.weighted_quantiles(df, ["k"], "v", "w")
@@ -143,6 +155,12 @@ def test_expand_drops_missing_bounds_and_steps_from_halves(spark):
         (1.5, 100.0), (2.5, 200.0)]
 
 
+def test_absurd_range_does_not_stop_the_job(spark):
+    df = spark.createDataFrame([(1.0, 9e12, 1.0, 2.0), (1.0, 2.0, 1.0, 2.0)],
+                               "l double, h double, a double, b double")
+    assert reshape.expand_range(df, "l", "h", "a", "b", "beds", "rent").count() == 2
+
+
 def test_union_counts_and_fills(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([(2.5,)], "d double")
