@@ -122,8 +122,16 @@ def inside(x: str, y: str) -> str:
 
 
 CRAIGSLIST = f"""
-planar_posts AS (SELECT posts.*, {albers('lng', 'lat')[0]} AS px, {albers('lng', 'lat')[1]} AS py
-                 FROM posts, cone),
+latest_posts AS (
+  SELECT * FROM posts p WHERE NOT EXISTS (
+    SELECT 1 FROM posts o
+    WHERE (o.beds, o.baths, o.sqft, o.rent, o.lat, o.lng) = (p.beds, p.baths, p.sqft, p.rent, p.lat, p.lng)
+      AND CASE WHEN year(o.day) < 2020 AND year(p.day) < 2020 OR o.day = p.day
+               THEN CAST(o.o_orderkey AS VARCHAR) < CAST(p.o_orderkey AS VARCHAR)
+               ELSE o.day > p.day END)
+),
+planar_posts AS (SELECT latest_posts.*, {albers('lng', 'lat')[0]} AS px, {albers('lng', 'lat')[1]} AS py
+                 FROM latest_posts, cone),
 craigslist AS (
   SELECT o_orderkey, day, beds, baths, sqft, rent, lat, lng, cbsafp, fips, namelsad, metro_name
   FROM planar_posts JOIN triangles ON {inside('px', 'py')} JOIN county USING (k)
