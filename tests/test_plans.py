@@ -5,9 +5,9 @@ import io
 
 import pytest
 
-from rentloom.operators import dedupe, stats
+from rentloom.operators import dedupe, spatial, stats
 from rentloom.plans import tables
-from rentloom.sources.tables import apartments_scan, parquet_table, site_scan
+from rentloom.sources.tables import apartments_scan, parquet_table, site_scan, spread
 from rentloom.workload import inputs, queries
 
 
@@ -76,7 +76,9 @@ def test_summary_groups_are_split_before_they_are_sorted(spark, smallest):
 
 
 def test_points_are_not_shuffled_by_a_small_index(spark, smallest):
-    tree = plan(queries.point_in_polygon(spark, smallest)).split("(1) ")[0]
+    points = spark.range(100).selectExpr("id", "-100 + id / 10 AS x", "30.0D AS y")
+    outlines = queries._outlines(spark, smallest)
+    tree = plan(spatial.point_in_polygon(points, outlines, 0.5)).split("(1) ")[0]
     assert "BroadcastHashJoin" in tree and tree.replace("BroadcastExchange", "").count("Exchange") == 0
 
 
@@ -94,3 +96,10 @@ def test_no_window_without_partition(spark, smallest):
             if line.startswith("Arguments: [") and "windowspecdefinition(" in line:
                 inside = line.split("windowspecdefinition(")[1]
                 assert not inside.startswith("specifiedwindowframe"), name
+
+
+def test_only_scans_with_few_splits_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    many, few = spark.range(0, 100, 1, cores), spark.range(0, 100, 1, 1)
+    assert spread(many) is many
+    assert spread(few).rdd.getNumPartitions() == cores
