@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,3 +160,24 @@ def whole_cells(
             held.append(batch)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic regression (the last is the constant), by Newton steps. Both
+    classes weigh as much as they are frequent; a small ridge keeps separable data finite."""
+    x = np.column_stack((x, np.ones(len(x))))
+    w = np.zeros(x.shape[1])
+    keep = np.full(len(w), ridge)
+    keep[-1] = 1e-6
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (p - y) + keep * w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep + 1e-9), gradient)
+        w -= np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(np.column_stack((x, np.ones(len(x)))) @ w, -30, 30)))

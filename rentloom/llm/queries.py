@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rentloom.llm import chat, packing, simhash, topk
-from rentloom.llm.common import table
+from rentloom.llm import chat, packing, quality, simhash, topk, toxicity
+from rentloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +45,22 @@ def op5_top_k(spark, folder):
 @query
 def op9_packing(spark, folder):
     return packing.pieces(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _judged(docs, model, module):
+    """Scores with the rows that were held out and the label foretold."""
+    return module.score(docs, model).select(
+        "doc_id", (remainder("doc_id", module.DIVISOR) == module.LEFT_OUT).alias("held_out"), "score",
+        (F.col("score") >= module.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op6_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    return _judged(docs, quality.fit(docs, table(spark, folder, "labels")), quality)
+
+
+@query
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    return _judged(docs, toxicity.fit(docs, table(spark, folder, "labels")), toxicity)
