@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentloom.llm import chat, language, packing, quality, simhash, topk, toxicity
+from rentloom.llm import chat, language, packing, quality, simhash, topk, toxicity, winnow
 from rentloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op10_language(spark, folder):
     docs = table(spark, folder, "documents")
     return language.predict(docs, language.fit(docs)).select(
         "doc_id", (remainder("doc_id", language.DIVISOR) == language.LEFT_OUT).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_fingerprints(spark, folder):
+    return winnow.compared(table(spark, folder, "documents"))
