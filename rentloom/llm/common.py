@@ -79,6 +79,21 @@ def in_batches(
     return mapped(df, lambda batches: map(step, batches), schema)
 
 
+def kept(df: DataFrame, keeps: Callable[[], Callable[[list[str]], np.ndarray]]) -> DataFrame:
+    """Rows of df, with all their columns, for whose texts keeps()(texts) is true."""
+
+    def run(batches):
+        test = keeps()
+        for batch in batches:
+            yield batch.filter(pa.array(test(texts(batch)), pa.bool_()))
+
+    return mapped(df, run, ddl(df))
+
+
+def ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """Column name as strings; null counts as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -126,6 +126,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     return Model(trained(both[1]), trained(both[0]), tuple(weights.tolist()))
 
 
+def scorer(model: Model):
+    """texts -> scores."""
+    if model.constant is not None:
+        return lambda texts: np.full(len(texts), model.constant)
+    pair, weights = (compressor(model.good), compressor(model.bad)), np.array(model.weights)
+    return lambda texts: common.probability(
+        np.array([features(t, *pair) for t in texts]).reshape(-1, 3), weights)
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """(key, score) of every whole text: 0 to 1, higher the likelier the label good.
 
@@ -135,16 +144,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """
 
     def run(batches):
-        pair = None
+        scores = scorer(model)
         for batch in batches:
-            texts = common.texts(batch)
-            if model.constant is not None:
-                out = np.full(len(texts), model.constant)
-            else:
-                pair = pair or (compressor(model.good), compressor(model.bad))
-                x = np.array([features(t, *pair) for t in texts]).reshape(-1, 3)
-                out = common.probability(x, np.array(model.weights))
-            yield pa.record_batch([batch.column(key), pa.array(out)], [key, "score"])
+            yield pa.record_batch([batch.column(key), pa.array(scores(common.texts(batch)))], [key, "score"])
 
     kind = docs.schema[key].dataType.simpleString()
     return common.mapped(docs.select(key, "text"), run, f"{key} {kind}, score double")
+
+
+def good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all columns, whose texts score at least the threshold."""
+
+    def keeps():
+        scores = scorer(model)
+        return lambda texts: scores(texts) >= threshold
+
+    return common.kept(docs, keeps)

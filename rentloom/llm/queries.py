@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentloom.llm import bpe, chat, language, packing, quality, simhash, topk, toxicity, winnow
+from rentloom.llm import bpe, chat, language, packing, paragraphs, quality, simhash, topk, toxicity, winnow
 from rentloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op2_fingerprints(spark, folder):
 @query
 def op3_bpe(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_repeats(spark, folder):
+    return paragraphs.repeats(table(spark, folder, "documents"))
