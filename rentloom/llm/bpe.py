@@ -44,11 +44,11 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             known = json.load(file)
-        model, normal = known["model"], known["normalizer"]
-        split = known["pre_tokenizer"]["pretokenizers"][0]
-        kinds = [n["type"] for n in normal.get("normalizers", [])]
+        model = known["model"]
+        kinds = [n["type"] for n in (known["normalizer"] or {}).get("normalizers", [])]
+        split = ((known["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
         if (model["type"] != "BPE" or not model["end_of_word_suffix"] or known["decoder"] is not None
-                or kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or not split["invert"]):
+                or kinds != ["NFC", "Replace", "Lowercase"] or split.get("behavior") != "Removed" or not split["invert"]):
             raise ValueError(f"{path} has other rules than those implemented")
         self.suffix = model["end_of_word_suffix"]
         self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))

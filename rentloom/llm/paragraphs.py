@@ -101,7 +101,8 @@ class Words:
     def pieces(self, reach: int = REACH):
         """Runs between the smallest hashes of their neighbourhood; a line starts a run."""
         pairs = self.hash.copy()
-        pairs[1:] = mixed(self.hash[1:] + self.hash[:-1] * np.uint64(3))
+        together = self.text[1:] == self.text[:-1]
+        pairs[1:][together] = mixed(self.hash[1:] + self.hash[:-1] * np.uint64(3))[together]
         begins = self.firsts()
         n = len(pairs)
         lowest = np.ones(n, bool)
@@ -209,8 +210,8 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: f
 
 
 def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) -> DataFrame:
-    """(a, b): hashes of similar lines that differ; of a group of colliding lines only a
-    spanning forest is emitted."""
+    """(a, b): hashes that connect the same lines as all similar pairs do; of what is connected
+    in a group of colliding lines each is named with the first one, never all pairs."""
     distinct = lines.groupBy("hash").agg(
         F.min(F.struct("doc_id", "line")).alias("place"), F.first("bands").alias("bands"))
     members = distinct.select("hash", "place", F.explode("bands").alias("key"))

@@ -86,3 +86,50 @@ def op3_bpe(spark, folder):
 @query
 def op8_repeats(spark, folder):
     return paragraphs.repeats(table(spark, folder, "documents"))
+
+
+def _broken(text: str) -> str:
+    """SQL for a text with its control strings broken up."""
+    out = f"replace({text}, '\\', '\\\\')"
+    for control in chat.CONTROL:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+SQL["op1_chat_format"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{FORGED}' UNION ALL SELECT -7, 1, 'assistant', '{FORGED}'),
+placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns),
+sized AS (
+  SELECT *, {len(chat.TURN) + len(chat.TEXT) + len(chat.END)} + length({_broken('role')})
+    + length({_broken('text')}) AS chars FROM placed),
+summed AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = '{chat.TRAINED}'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = '{chat.TRAINED}'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = '{chat.TRAINED}' OR i = n) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id"""
+
+SQL["op5_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""

@@ -142,8 +142,8 @@ def forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 def links(distinct: DataFrame, bits: int = BITS, blocks: int = BLOCKS, block: int = common.BLOCK,
           count: int = PIVOTS) -> DataFrame:
-    """(a, b): links that connect every two fingerprints within the distance. Of a cell only
-    a spanning forest is emitted, never all its pairs."""
+    """(a, b): rows that connect the same fingerprints as all pairs within the distance do. Of
+    what is connected in a cell each member is named with the smallest one, never all pairs."""
 
     def run(batches):
         references = pivots(count)

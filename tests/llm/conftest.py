@@ -1,0 +1,20 @@
+import pytest
+
+from rentloom.llm import common
+
+
+@pytest.fixture
+def docs(spark):
+    """Documents from texts, with a column whose name clashes with a result's."""
+    def make(*texts, start=0):
+        return spark.createDataFrame(
+            [(i + start, t, 7.5, "x") for i, t in enumerate(texts)], "doc_id long, text string, score double, key string")
+    return make
+
+
+@pytest.fixture
+def small(spark, smallest):
+    """The smallest tables as lists of rows."""
+    def rows(name):
+        return [tuple(r) for r in common.table(spark, smallest, name).collect()]
+    return rows

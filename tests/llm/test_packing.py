@@ -1,0 +1,105 @@
+import itertools
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rentloom.llm import packing, queries
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+CASES = [
+    "", " ", "  ", "a  b", "  a b", "a \n b\n\n c  \n", " b", "<|endoftext|> x<|endoftext|>", "a \t b", "x　 y   z", "\n a b",
+    "don't we'll  I'M", "日本語 テスト", "🙂 🙂", "a" * 3000, "word " * 20000, "é  é", "x   y",
+]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return Tokenizer.from_file(PATH)
+
+
+def test_ids_are_the_library_s(reference, small):
+    texts = CASES + [r[1] or "" for r in small("documents")]
+    got = packing.encoder(PATH).encode(texts)
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == reference.encode(text, add_special_tokens=False).ids, text[:60]
+
+
+def test_fill_is_the_best_subset():
+    rng = random.Random(1)
+    for _ in range(200):
+        capacity = rng.randint(1, 40)
+        pieces = [rng.randint(1, 20) for _ in range(rng.randint(0, 9))]
+        counts = np.bincount(pieces, minlength=21)
+        chosen = packing.fill(counts, capacity)
+        assert all(chosen.count(x) <= pieces.count(x) for x in chosen)
+        best = max(sum(c) for n in range(len(pieces) + 1) for c in itertools.combinations(pieces, n) if sum(c) <= capacity)
+        assert sum(chosen) == best
+
+
+def test_plan_uses_every_piece_once():
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(1, 64, 500)
+    windows = packing.plan(np.bincount(lengths, minlength=64), 64)
+    assert sorted(x for w in windows for x in w) == sorted(lengths.tolist())
+    assert all(sum(w) <= 64 for w in windows)
+    assert np.mean([sum(w) == 64 for w in windows]) > 0.7
+
+
+def whole(rows, window):
+    """Pieces tile their documents, sequences are gapless and full or a power of two long."""
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= window and at & (at - 1) == 0
+    return by_doc
+
+
+def test_query_against_the_library(spark, smallest, small, reference):
+    rows = queries.QUERIES["op9_packing"](spark, smallest).collect()
+    ids = {r[0]: np.array(reference.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4") for r in small("documents")}
+    by_doc = whole(rows, 1024)
+    assert set(by_doc) == set(ids)
+    for r in rows:
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start: r.start + r.length].tobytes())
+    for i, parts in by_doc.items():
+        at = 0
+        for start, length, _ in sorted(parts):
+            assert start == at
+            at += length
+        assert at == len(ids[i])
+
+
+@pytest.mark.parametrize("held", [1, 300, 1 << 21])
+def test_buffers_nulls_repeats_and_clashing_columns(spark, held):
+    rng = random.Random(3)
+    texts = [None, "", "x"] + ["a b c " * rng.randint(1, 90) for _ in range(40)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(1, "", "s"), (None, "one two", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(3, "text")
+    found = packing.pack(df, PATH, 64, held).collect()
+    whole(found, 64)
+    assert sum(r.length for r in found) == sum(len(packing.encoder(PATH).one(t or "")) + 1 for _, t, _ in rows)
+    assert all(len(r.ids) == 4 * r.length for r in found)
+    assert len({r.sequence_id for r in found if r.doc_id == 1}) >= 1
+    assert packing.pack(df.filter("false"), PATH).collect() == []
+    assert packing.pack(df.filter(F.col("doc_id") == 0), PATH).first().doc_tokens == 1
+
+
+def test_unordered_merges_are_refused(tmp_path):
+    import json
+    known = json.load(open(PATH, encoding="utf-8"))
+    known["model"]["merges"] = known["model"]["merges"][::-1]
+    (tmp_path / "x.json").write_text(json.dumps(known))
+    with pytest.raises(ValueError):
+        packing.Encoder(str(tmp_path / "x.json"))

@@ -1,0 +1,125 @@
+import random
+
+import numpy as np
+import pytest
+
+from rentloom.llm import paragraphs as par
+from rentloom.llm import queries
+
+RNG = random.Random(7)
+SOUNDS = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+
+
+def prose(n):
+    return [("".join(RNG.choice(SOUNDS) for _ in range(RNG.randint(1, 4)))) for _ in range(n)]
+
+
+def windows(text, n=50):
+    words = text.lower().split()
+    return {tuple(words[i: i + n]) for i in range(len(words) - n + 1)}
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    passages = [prose(RNG.randint(51, 90)) for _ in range(40)]
+    texts = {i: prose(RNG.randint(60, 300)) for i in range(200)}
+    holders = {}
+    for p, passage in enumerate(passages):
+        for i in RNG.sample(range(150), RNG.randint(2, 4)):  # 150-199 stay clean
+            at = RNG.randrange(len(texts[i]))
+            texts[i][at:at] = [w if k != 20 else w + "\n" for k, w in enumerate(passage)]
+            holders.setdefault(p, []).append(i)
+    header = " ".join(prose(9))
+    return {i: header + "\n" + " ".join(t).replace("\n ", "\n") for i, t in texts.items()}, holders
+
+
+def test_embedded_passages_go_and_clean_documents_stay(spark, corpus):
+    texts, holders = corpus
+    df = spark.createDataFrame([(i, t, "k") for i, t in texts.items()], "doc_id long, text string, kind string")
+    found = par.repeats(df).collect()
+    told = {r.doc_id for r in found}
+    assert told == {i for held in holders.values() for i in held}
+    assert all(texts[r.doc_id][r.first_char: r.end_char].strip() for r in found)
+    out = {r.doc_id: r for r in par.without_repeats(df).collect()}
+    assert set(out) == set(texts) and all(r.kind == "k" for r in out.values())
+    assert all(out[i].text == texts[i] for i in range(150, 200))
+    seen = {}
+    for i, r in out.items():
+        for w in windows(r.text):
+            assert seen.setdefault(w, i) == i
+    # the first holder keeps its passage whole
+    assert sum(windows(out[min(h)].text) != set() for h in holders.values()) == len(holders)
+
+
+def test_lines_close_to_one_another_form_clusters(spark):
+    base = prose(90)
+    rows, expected = [], []
+    for k in range(12):
+        line = list(base)
+        line[7 * k % 90] = f"other{k}"
+        rows.append((k, "\n".join([" ".join(prose(30)), " ".join(line)])))
+    rows.append((50, " ".join(prose(90))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in par.repeated_lines(df, block=3).collect()]
+    assert {r.doc_id for r in got} == set(range(12))
+    assert {r.doc_id for r in got if r.removed} == set(range(1, 12)) and {r.kept_doc_id for r in got} == {0}
+
+
+def test_bands_find_similar_lines(spark):
+    """Recall over pairs whose exact similarity is just above the bound."""
+    rows, pairs = [], 300
+    for k in range(pairs):
+        line = prose(100)
+        rows.append((2 * k, " ".join(line)))
+        line[10], line[60] = "changed", "words"  # 10 of 96 shingles
+        rows.append((2 * k + 1, " ".join(line)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in par.repeated_lines(df).collect() if r.removed}
+    assert len(got) >= 0.97 * pairs and all(i % 2 for i in got)
+
+
+def test_exact_similarity():
+    a = [np.array(x, np.uint64) for x in ([1, 2, 3, 4], [1, 2, 3, 4, 5], [1, 2, 3], [9], [1, 2, 3, 4])]
+    left, right = np.triu_indices(5, 1)
+    near = par.similar(a, left, right)
+    assert {(i, j) for i, j, n in zip(left, right, near) if n} == {(0, 1), (0, 4), (1, 4)}
+
+
+def test_nulls_repeated_rows_and_empty(spark):
+    text = " ".join(prose(60))
+    rows = [(1, None, 2), (2, "", 2), (3, text, 2), (4, "x " + text, 2), (3, text, 2), (None, text, 2), (6, "again " * 3000, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, words int")
+    told = {(r.doc_id, r.removed) for r in par.repeats(df).collect()}
+    assert (4, True) in told and (3, False) in told and (3, True) not in told
+    out = par.without_repeats(df)
+    assert out.columns == df.columns and out.count() == len(rows)
+    assert {r.doc_id: r.text for r in out.collect()}[1] is None
+    empty = df.filter("false")
+    assert par.repeats(empty).collect() == par.without_repeats(empty).collect() == []
+
+
+def test_query_leaves_no_repeat_over_fifty_words(spark, smallest, small):
+    from rentloom.llm.common import table
+    touched = {r.doc_id for r in queries.QUERIES["op8_repeats"](spark, smallest).collect()}
+    seen, repeated = {}, set()
+    for i, text, *_ in small("documents"):
+        for w in windows(text):
+            if seen.setdefault(w, i) != i:
+                repeated |= {i, seen[w]}
+    assert repeated <= touched
+    left = {}
+    for r in par.without_repeats(table(spark, smallest, "documents")).collect():
+        for w in windows(r.text):
+            left.setdefault(w, set()).add(r.doc_id)
+    assert not [v for v in left.values() if len(v) > 1]
+
+
+def test_pieces_do_not_depend_on_the_batch():
+    texts = [" ".join(prose(n)) + "\n" + " ".join(prose(n)) for n in (1, 5, 40, 200)] + ["", "a " * 100]
+    words = par.Words(texts)
+    first, size, digest = words.pieces()
+    for i, t in enumerate(texts):
+        alone = par.Words([t]).pieces()
+        mine = words.text[first] == i if len(first) else []
+        assert digest[mine].tolist() == alone[2].tolist() and size[mine].tolist() == alone[1].tolist()
+        assert size[mine].max(initial=0) <= par.LONGEST

@@ -1,0 +1,31 @@
+import corpus_pipeline
+from rentloom.llm import packing, paragraphs, quality, simhash, toxicity
+from rentloom.llm.common import table
+
+
+def test_stages_take_effect_in_turn(spark, smallest):
+    docs = table(spark, smallest, "documents")
+    names = docs.columns
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_copies", "repeats", "packing"]
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    frames = [docs]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frames.append(spark.createDataFrame(
+            stage(spark, frames[-1], smallest).collect(), docs.schema))
+        assert frames[-1].columns == names
+    labels = table(spark, smallest, "labels")
+    bad = {r.doc_id for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect() if r.score >= toxicity.THRESHOLD}
+    ids = [{r.doc_id for r in f.collect()} for f in frames]
+    assert ids[1] == set(kept) - bad
+    scores = {r.doc_id: r.score for r in quality.score(frames[1], quality.fit(frames[1], labels)).collect()}
+    assert ids[2] == {i for i in ids[1] if scores[i] >= quality.THRESHOLD}
+    groups = {r.doc_id: r.component_id for r in simhash.components_by_fingerprint(frames[2]).collect()}
+    assert ids[3] == set(groups.values())
+    assert ids[4] == ids[3]
+    assert not [r for r in paragraphs.repeats(frames[4]).collect() if r.words > 50]
+    assert all(r.n_chars == len(r.text) for r in frames[4].collect())
+    last = {tuple(r) for r in corpus_pipeline.STAGES[-1][1](spark, frames[4], smallest).collect()}
+    whole = corpus_pipeline.run(spark, smallest).collect()
+    assert {(r.doc_id, r.doc_tokens) for r in whole} == {(r[0], r[4]) for r in last}
+    assert sum(r.length for r in whole) == sum(r[2] for r in last)
+    assert packing.WINDOW == 1024

@@ -1,0 +1,105 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from rentloom.llm import common, components, queries, simhash
+
+
+def plain(text):
+    words = text.encode().lower().split()
+    shingles = [b" ".join(words[i: i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    ones = [sum(xxhash.xxh64_intdigest(s, 42) >> b & 1 for s in shingles) for b in range(64)]
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def groups(nodes, pairs):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("text", [
+    "", " \t\n", "One", "one  TWO\x0bthree", "a b c d", "a b c d a b c d a b c d", "É é Straße 日本 x y", "  a b c d e", "w " * 70000,
+])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain(text)
+
+
+def test_query_against_brute_force(spark, smallest, small):
+    texts = {r[0]: r[1] for r in small("documents")}
+    prints = {i: plain(t or "") for i, t in texts.items()}
+    near = [(a, b) for a, b in itertools.combinations(texts, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    roots = groups(sorted(texts), near)
+    got = {tuple(r) for r in queries.QUERIES["op4_simhash"](spark, smallest).collect()}
+    assert got == {(i, f"{prints[i]:016x}", roots[i]) for i in texts}
+
+
+@pytest.mark.parametrize("block", [3, 2000])
+def test_links_connect_what_is_near(spark, block):
+    """Dense balls, chains and equal halves; groups over the block size are split."""
+    rng = random.Random(3)
+    prints = {rng.getrandbits(64) for _ in range(60)} | {0, (1 << 64) - 1}
+    for centre in list(prints)[:12]:
+        for _ in range(12):
+            x = centre
+            for _ in range(rng.randint(1, 6)):
+                x ^= 1 << rng.randrange(64)
+            prints.add(x)
+    signed = {int(np.uint64(p).view(np.int64)): p for p in prints}
+    df = spark.createDataFrame([(s,) for s in signed], "fp long")
+    found = [tuple(r) for r in simhash.links(df, block=block).collect()]
+    near = [(a, b) for a, b in itertools.combinations(sorted(signed), 2) if (signed[a] ^ signed[b]).bit_count() <= 4]
+    assert groups(sorted(signed), found) == groups(sorted(signed), near)
+
+
+def test_pivots_only_discard(spark):
+    rng = np.random.default_rng(1)
+    fps = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    fps[150:] = fps[:150] ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64))
+    left, right = np.triu_indices(300, 1)
+    near = simhash.near_pairs(fps, left, right, 4, simhash.pivots())
+    assert (near == (np.bitwise_count(fps[left] ^ fps[right]) <= 4)).all()
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(5, "a b c d e", "x"), (2, "a b c d e", "y"), (2, "a b c d e", "y"), (9, None, None), (8, "", "z"), (None, "q r s t", "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    got = sorted((r.doc_id or -1, r.component_id or -1) for r in simhash.components_by_fingerprint(df).collect())
+    assert got == [(-1, -1), (2, 2), (2, 2), (5, 2), (8, 8), (9, 8)]
+    kept = simhash.without_near_copies(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 8]
+    empty = df.filter("false")
+    assert simhash.components_by_fingerprint(empty).collect() == simhash.without_near_copies(empty).collect() == []
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(5)
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 40)] + [(7, 7), (None, 3), (3, None), (1, 0)]
+    pairs += [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    rng.shuffle(pairs)
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    whole = [(a, b) for a, b in pairs if a is not None and b is not None and a != b]
+    assert got == groups(sorted({x for p in whole for x in p}), whole)
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_cells_cover_all_pairs_of_a_split_group(spark):
+    members = spark.createDataFrame([(1, i) for i in range(25)] + [(2, 99)], "key int, item int")
+    cells = {}
+    for r in common.compared_blocks(members, "key", "item", 4).collect():
+        cells.setdefault((r.key, r.cell_a, r.cell_b), []).append((r.item, r.own))
+    assert {k[0] for k in cells} == {1}
+    met = {frozenset((x, y)) for (_, a, b), rows in cells.items() for (x, p), (y, q) in itertools.combinations(rows, 2) if a == b or p != q}
+    assert len(met) == 25 * 24 // 2
