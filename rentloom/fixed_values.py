@@ -79,6 +79,7 @@ PADMAPPER_SIZES = ("rent_inv_0B", "rent_inv_1B", "rent_inv_2B", "rent_inv_3B", "
 # Dates in Craigslist posts.
 POST_YEAR = r"202[0-9]"
 POST_TIME = r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2} A{0,1}P{0,1}M"
+UTC_OFFSET = r"(?<=[0-9]) ?(?:Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 # Addresses.
 AFTER_HASH = r"(?<=#)(.*?)(?=,)"
@@ -87,6 +88,8 @@ UNIT_LEFTOVER = r"UNIT,|#,"
 UNIT_MARK = r"#|UNIT|APT"
 ZIP = r"(?<!\d)\d{5}(?:[ -]\d{4})?\b"
 URL_COORDINATES = "search/"
+# Rows of the census file that count.
+ACS_ROWS = 5
 URL_COUNTY = "for_rent/"
 
 # Conus Albers equal area (EPSG:5070) on the GRS 80 ellipsoid.

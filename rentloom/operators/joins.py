@@ -7,26 +7,39 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 BROADCAST_ROWS = 100_000
-BROADCAST_ITEMS = 5_000_000
+BROADCAST_BYTES = 32 << 20
+
+
+def _bytes(name: str, kind) -> Column:
+    """About how many bytes a column's value takes."""
+    if isinstance(kind, StringType):
+        return F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.col(name))), F.lit(0))
+    return F.lit(8)
 
 
 def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = BROADCAST_ROWS,
-    items: Column | None = None,
-    max_items: int = BROADCAST_ITEMS,
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Mark a table for broadcast after counting it; a larger one is left to a shuffle join.
+    """Mark a table for broadcast after measuring it; a larger one is left to a shuffle join.
 
-    `items` is a per-row size, such as the length of an array column, whose sum is
-    bounded too. Only one small number per row is fetched, and `take` stops reading
-    partitions once it has too many rows.
+    One aggregate of one row, summed in the tasks, gives the rows and their bytes.
     """
-    sizes = df.select((F.lit(0) if items is None else items).alias("n")).take(max_rows + 1)
-    fits = len(sizes) <= max_rows and sum(r.n or 0 for r in sizes) <= max_items
-    return F.broadcast(df) if fits else df
+    row = sum((_bytes(f.name, f.dataType) for f in df.schema), F.lit(16))
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("long")).alias("bytes")).first()
+    return F.broadcast(df) if size.n <= max_rows and (size.bytes or 0) <= max_bytes else df
+
+
+def refuse_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df, unless a key stands in two rows, which would multiply the rows that look it up."""
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"the look-up has a key twice: {[repeated[0][k] for k in keys]}")
+    return df
 
 
 def natural_left(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from rentloom.functions.text import (
     one_line, parse_number, piece, piece_or_empty, replace_all, trim_space,
 )
 
+MOST_STEPS = 10_000
+
 
 def sentinel_to_null(
     df: DataFrame,
@@ -41,16 +43,23 @@ def split_range(text: Column) -> tuple[Column, Column]:
     return parse_number(piece(text, "-", 1)), parse_number(piece(text, "-", 2))
 
 
+def overlong(lo: Column, hi: Column) -> Column:
+    """Whether a range has more steps than a row may be expanded into."""
+    return F.abs(hi - lo) > MOST_STEPS
+
+
 def range_cells(
     lo: Column, hi: Column, value_lo: Column, value_hi: Column, step: str, value: str,
     single_value: bool = False,
 ) -> Column:
     """Array of (step, value) from lo to hi with linearly interpolated values.
 
-    NULL if a bound is missing or lies 2**31 steps away. A one-step range has no
-    slope: its value is NULL, or the lower value when `single_value` is set.
+    NULL if a bound is missing. A one-step range has no slope: its value is NULL, or the
+    lower value when `single_value` is set. A range of more than MOST_STEPS steps is no
+    range of bedrooms but a misread text: it is one cell of NULLs (`overlong` tells them).
     """
     steps = F.floor(F.abs(hi - lo) + F.lit(1e-10)).try_cast("int")
+    steps = F.when(overlong(lo, hi), F.lit(0)).otherwise(steps)
     first = F.when(lo <= hi, lo).otherwise(lo - steps)
     slope = F.try_divide(value_hi - value_lo, steps.cast("double"))
 
@@ -58,7 +67,8 @@ def range_cells(
         filled = value_lo + slope * at
         if single_value:
             filled = F.when(steps == 0, value_lo).otherwise(filled)
-        return F.struct((first + at).alias(step), filled.alias(value))
+        fits = ~overlong(lo, hi)
+        return F.struct(F.when(fits, first + at).alias(step), F.when(fits, filled).alias(value))
 
     return F.transform(F.sequence(F.lit(0), steps), cell)
 
@@ -129,12 +139,8 @@ def offers_in_text(df: DataFrame, text: Column, out: str) -> DataFrame:
         offers, lambda o: F.struct(o["beds"], o["rent"]))).drop("_sizes", "_rents")
 
 
-def inventory_by_size(df: DataFrame, columns: Sequence[str] = fixed.PADMAPPER_SIZES) -> DataFrame:
-    """Count and rent text per bedroom size out of one text column per size.
-
-    The columns are dropped, `beds`, `inv` and `rent` take their place; sizes without
-    a count give no row. Both values come from one text, so no pivot is needed.
-    """
+def size_cells(columns: Sequence[str] = fixed.PADMAPPER_SIZES) -> Column:
+    """Array of (beds, inv, rent) out of one text column per size, for sizes with a count."""
     def cell(name):
         text = replace_all(F.col(name), fixed.PADMAPPER_INVENTORY_NOISE)
         return F.struct(
@@ -143,9 +149,17 @@ def inventory_by_size(df: DataFrame, columns: Sequence[str] = fixed.PADMAPPER_SI
             replace_all(piece_or_empty(text, " RENT ", 2, 2), r"\$|,").alias("rent"),
         )
 
-    cells = F.filter(F.array(*[cell(c) for c in columns]), lambda x: x["inv"].isNotNull())
+    return F.filter(F.array(*[cell(c) for c in columns]), lambda x: x["inv"].isNotNull())
+
+
+def inventory_by_size(df: DataFrame, columns: Sequence[str] = fixed.PADMAPPER_SIZES) -> DataFrame:
+    """Count and rent text per bedroom size out of one text column per size.
+
+    The columns are dropped, `beds`, `inv` and `rent` take their place; sizes without
+    a count give no row. Both values come from one text, so no pivot is needed.
+    """
     kept = [c for c in df.columns if c not in (*columns, "beds", "inv", "rent")]
-    return df.select(*kept, F.inline(cells))
+    return df.select(*kept, F.inline(size_cells(columns)))
 
 
 def pivot_inventory(

@@ -15,7 +15,10 @@ from rentloom.functions.text import (
     extract, number_in, parse_number, replace_all, replace_first_text, studio_as_zero,
 )
 from rentloom.operators.dedupe import keep_first
-from rentloom.operators.reshape import building_ranges, sentinel_to_null
+from rentloom.operators.reshape import (
+    building_ranges, harmonize_union, overlong, sentinel_to_null, split_range,
+)
+from rentloom.operators.stats import share_of_total
 from rentloom.plans import quirks
 from rentloom.sources.tables import site_scan
 
@@ -105,7 +108,7 @@ def clean_fields(extra_markets: DataFrame, fixes=frozenset()) -> DataFrame:
 
 
 def parse_failures(cleaned: DataFrame) -> DataFrame:
-    """Per site, how many texts gave no number."""
+    """Per site, how many texts gave no number, and how many ranges were too long to expand."""
     def lost(raw: str, value: str) -> Column:
         return F.count(F.when(F.col(raw).isNotNull() & F.col(value).isNull(), 1))
 
@@ -113,6 +116,7 @@ def parse_failures(cleaned: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         lost("raw_rent", "rent").alias("no_rent"),
         lost("raw_bedrooms", "beds").alias("no_beds"),
+        F.count(F.when(overlong(*split_range(studio_as_zero(F.col("raw_bedrooms")))), 1)).alias("overlong"),
     )
 
 
@@ -120,7 +124,7 @@ def _typed_site(extra_markets: DataFrame, site: str, fixes, order) -> DataFrame:
     """Scan, type, blank sentinels, and keep one ad per address and size."""
     rows = dated(site_scan(extra_markets, site)).withColumns(RULES[site](fixes))
     rows = sentinel_to_null(rows).withColumnRenamed("location_identifier", "address")
-    return keep_first(rows, DEDUPE_KEYS, order)
+    return keep_first(rows, DEDUPE_KEYS, [*order, "is_bldg"])
 
 
 def homes(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
@@ -140,9 +144,8 @@ def rent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
     return rows.withColumn("address", replace_first_text(F.col("address"), "\n", " "))
 
 
-def forrent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
-    """Unit ads as they are; building ads as one row per bedroom count with interpolated rent."""
-    fixes = quirks.checked(fixes)
+def forrent_ads(extra_markets: DataFrame, order=ORDER) -> DataFrame:
+    """One ad per address and size; beds and rent are still text, as they may be ranges."""
     rows = dated(site_scan(extra_markets, fixed.SITE_FORRENT)).withColumns({
         "is_bldg": F.col("bedrooms").contains("-"),
         "beds": studio_as_zero(F.col("bedrooms")),
@@ -150,5 +153,21 @@ def forrent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFra
         "sqft": _missing(),
     })
     rows = sentinel_to_null(rows).withColumnRenamed("location_identifier", "address")
+    return keep_first(rows, DEDUPE_KEYS, order)
+
+
+def forrent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFrame:
+    """Unit ads as they are; building ads as one row per bedroom count with interpolated rent."""
+    fixes = quirks.checked(fixes)
     return building_ranges(
-        keep_first(rows, DEDUPE_KEYS, order), single_value=quirks.SINGLE_SIZE in fixes)
+        forrent_ads(extra_markets, order), single_value=quirks.SINGLE_SIZE in fixes)
+
+
+def building_share(extra_markets: DataFrame) -> DataFrame:
+    """Ads and their part of a site's ads by building flag, per site, after its dedupe."""
+    sites = {
+        fixed.SITE_FORRENT: forrent_ads, fixed.SITE_HOMES: homes, fixed.SITE_REALTOR: realtor,
+        fixed.SITE_RENT: rent,
+    }
+    ads = [f(extra_markets).select(F.lit(site).alias("website"), "is_bldg") for site, f in sites.items()]
+    return share_of_total(harmonize_union(ads), ["website", "is_bldg"], within=["website"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -27,10 +28,28 @@ def local_session(name: str, cores: int = 8) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names for checkpoints.
 
-    All executors must see it, so a machine-local folder is made only when the
-    setting is missing, as in tests.
+    All executors must see it, so without that setting only a local session, as in tests,
+    gets a folder of its own. The folder is this process's: it is deleted when the process
+    ends, or earlier by `delete_folder`.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="rentloom-")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    atexit.register(_delete_quietly, spark, path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of shared_folder, wherever it is stored."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _delete_quietly(spark: SparkSession, path: str) -> None:
+    try:
+        delete_folder(spark, path)
+    except Exception:  # the session has ended before the process
+        pass

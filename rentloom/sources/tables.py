@@ -14,15 +14,6 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores, for the costly text work that follows.
-
-    A scan with enough splits, as any large input has, stays as it is: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def jdbc_table(
     spark: SparkSession,
     url: str,

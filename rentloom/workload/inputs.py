@@ -10,12 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentloom import fixed_values as fixed
-from rentloom.sources.tables import parquet_table, spread
+from rentloom.sources.files import first_rows
+from rentloom.sources.tables import parquet_table
 
 OTHER_METRO = "16980"
 SHIFT_DAYS = 8000
 
 
+def dealt(scan: DataFrame) -> DataFrame:
+    """Rows dealt out to all tasks, as files landed in many parts would be; the given tables
+    are one split each."""
+    return scan.repartition(int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def money(amount: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(amount, 0))
 
@@ -66,11 +73,11 @@ def raw_cbsa(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_acs(spark: SparkSession, folder: str) -> DataFrame:
-    """Census file: five metros and one row for places outside them."""
+    """Census file: the first five rows are the metros, one for places outside them follows."""
     region = parquet_table(spark, folder, "region")
     rows = region.select("r_name", "r_regionkey").union(
         region.agg(F.lit("Elsewhere"), (F.max("r_regionkey") + 1)))
-    return rows.select(
+    return first_rows(rows.orderBy("r_regionkey")).select(
         col("r_name").alias("msa"),
         *[(col("r_regionkey") * 100.0 + 10.0 * p).alias(f"pct_{p}") for p in fixed.PERCENTS])
 
@@ -79,7 +86,7 @@ def raw_acs(spark: SparkSession, folder: str) -> DataFrame:
 
 def ads(spark: SparkSession, folder: str) -> DataFrame:
     """Numbers behind every ad: rent r, bedrooms b, q, d, t, and the nation it is in."""
-    items = spread(parquet_table(spark, folder, "lineitem")).select(
+    items = dealt(parquet_table(spark, folder, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         col("l_shipdate").cast("date").alias("ship"),
         F.floor(col("l_extendedprice") / 5).alias("r"),
@@ -161,7 +168,8 @@ def extra_markets(spark: SparkSession, folder: str, base: DataFrame | None = Non
         text(col("l_partkey"), " Main St\n", col("n_name")))
     return rows.withColumn("website", website).select(
         "website",
-        text(col("ship"), " 03:04:05").alias("scraped_time"),
+        text(col("ship"), F.when(col("q") % 3 == 0, F.lit("T20:04:05-07:00")).otherwise(
+            " 03:04:05")).alias("scraped_time"),
         bedrooms.alias("bedrooms"),
         rent.alias("rent"),
         place.alias("location_identifier"),
@@ -170,7 +178,7 @@ def extra_markets(spark: SparkSession, folder: str, base: DataFrame | None = Non
 
 
 def craigslist(spark: SparkSession, folder: str) -> DataFrame:
-    orders = spread(parquet_table(spark, folder, "orders"))
+    orders = dealt(parquet_table(spark, folder, "orders"))
     day = F.date_add(col("o_orderdate").cast("date"), SHIFT_DAYS)
     lat, lng = col("o_custkey") * 37 % 2400, col("o_custkey") * 91 % 4900
 
@@ -252,7 +260,12 @@ def zillow(spark: SparkSession, folder: str, base: DataFrame | None = None) -> D
 
 
 def padmapper(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
-    many = col("is_range")
+    """Some buildings also advertise their one-bedroom flat as a unit at the same address: equal
+    beds, baths, rent and address, another number of units, and a later link."""
+    shared = col("is_range") & (col("d") == 7)
+    rows = (base or ads(spark, folder)).withColumn("twin", F.explode(
+        F.when(shared, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    many = col("is_range") & ~col("twin")
 
     def offer(i):
         label = "Studios" if i == 0 else f"{i} Bedrooms"
@@ -262,17 +275,21 @@ def padmapper(spark: SparkSession, folder: str, base: DataFrame | None = None) -
     short = text("$", F.floor(col("r") / 1000), ".", F.floor(col("r") % 1000 / 100), "K")
     unit = text(col("l_partkey"), " Bell St #4")
     tower = text("The P", col("l_partkey"))
-    return (base or ads(spark, folder)).select(
-        F.when(many, text(money(col("r")), "+")).when(col("d") == 5, short)
+    street = F.when(shared, text(col("l_partkey"), " Bell St, ")).otherwise("")
+    return rows.select(
+        F.when(many, text(money(col("r")), "+"))
+        .when(col("twin"), money(col("r") + 300))
+        .when(col("d") == 5, short)
         .otherwise(money(col("r"))).alias("rent"),
-        F.when(col("b") == 0, F.lit("Studio 1 Bathroom"))
+        F.when(col("twin"), F.lit("1 Bedroom"))
+        .when(col("b") == 0, F.lit("Studio 1 Bathroom"))
         .otherwise(text(col("b"), " Bedroom 1 Bathroom")).alias("bedrooms"),
-        F.when(many, text(tower, " ", col("n_name"), " info"))
+        F.when(many, text(tower, " ", street, col("n_name"), " info"))
         .otherwise(text(unit, " ", col("n_name"))).alias("name_loc"),
         F.when(many, tower).otherwise(unit).alias("name"),
         *[offer(i).alias(c) for i, c in enumerate(fixed.PADMAPPER_SIZES)],
         F.lit("A home.").alias("text"), "container",
-        text("https://map.example.org/", col("ad")).alias("url"),
+        text("https://map.example.org/", col("ad"), F.when(col("twin"), F.lit("-z")).otherwise("")).alias("url"),
         F.lit("1").alias("program_iteration"),
     )
 
@@ -307,21 +324,35 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def city_of(name: Column) -> Column:
+    """A name of letters alone out of a nation's name."""
+    return F.translate(name, "_0123456789", " ABCDEFGHIJ")
+
+
+def street_of(c: Column) -> Column:
+    """Short and very long street names, some with a direction behind them."""
+    return text(c + 1, F.when(c % 5 == 0, F.lit(" Martin Luther King Junior Memorial Way S")).when(
+        c % 5 == 1, F.lit(" 9th Ave NE")).otherwise(" Main St"))
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts with an address and a nine-digit ZIP somewhere in the text, in part twice."""
+    """Prose with an address and a nine-digit ZIP somewhere in it, in part twice."""
     customer = parquet_table(spark, folder, "customer").join(
         parquet_table(spark, folder, "nation"), col("c_nationkey") == col("n_nationkey"))
     c = col("c_custkey")
-    street = text(c + 1, " Main St")
+    street = street_of(c)
     zip9 = text(c % 89999 + 10000, "-1234")
+    # The city stands behind a colon, in a sentence, or after one.
+    opening = F.when(c % 3 == 0, F.lit("Mail: ")).when(c % 3 == 1, F.lit("Sunny home in ")).otherwise(
+        "Located near Green Lake. ")
     body = F.when(col("c_mktsegment") == "BUILDING", F.lit("Call us for the address.")).otherwise(
-        text("Sunny home. Visit ", street, " today.\nMail: ", col("n_name"), ", WA ", zip9, " thanks"))
+        text("Cosy rooms. Visit ", street, " today.\n", opening, city_of(col("n_name")), ", WA ", zip9, " thanks"))
     rows = customer.select(
         street.alias("address1"), F.lit(None).cast("string").alias("neigh1"),
-        col("n_name").alias("city1"), F.lit("WA").alias("region1"),
+        city_of(col("n_name")).alias("city1"), F.lit("WA").alias("region1"),
         text("https://maps.example.org/maps/search/", c % 50, ".5,-120.25").alias("google_maps_url"),
         body.alias("listing_text"))
-    return rows.union(rows.where(col("address1").endswith("7 Main St")))
+    return rows.union(rows.where(col("google_maps_url").contains("/7.5")))
 
 
 def parsed_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -329,5 +360,5 @@ def parsed_lookup(spark: SparkSession, folder: str) -> DataFrame:
         parquet_table(spark, folder, "nation"), col("c_nationkey") == col("n_nationkey"))
     c = col("c_custkey")
     return customer.select(
-        text(c + 1, " Main St ", col("n_name"), ", WA ", c % 89999 + 10000).alias("temp_add"),
+        text(street_of(c), " ", city_of(col("n_name")), ", WA ", c % 89999 + 10000).alias("temp_add"),
         (c * 0.5).alias("lng"), (c * 0.25).alias("lat"))

@@ -184,7 +184,7 @@ zillow AS (
 
 PADMAPPER = f"""
 pad_rows AS (
-  SELECT CASE WHEN many THEN n_name ELSE l_partkey || ' Bell St, ' || n_name END AS address,
+  SELECT CASE WHEN many AND d <> 7 THEN n_name ELSE l_partkey || ' Bell St, ' || n_name END AS address,
          many, l_partkey, ads.k,
          CAST(CASE WHEN many THEN i WHEN b > 0 THEN b END AS DOUBLE) AS beds,
          CASE WHEN NOT many THEN 1.0::DOUBLE END AS baths,
@@ -195,15 +195,20 @@ pad_rows AS (
          CASE WHEN many THEN 'The P' || l_partkey ELSE l_partkey || ' Bell St #4' END AS name
   FROM ads JOIN county USING (k, container), (SELECT unnest([0, 1, 2, 3, 4]) AS i)
   WHERE i <= CASE WHEN many THEN q % 5 ELSE 0 END
+  UNION ALL
+  SELECT l_partkey || ' Bell St, ' || n_name, false, l_partkey, ads.k, 1, NULL,
+         CAST(r + 300 AS DOUBLE), 1, ad || '-z', container, l_partkey || ' Bell St #4'
+  FROM ads JOIN county USING (k, container) WHERE many AND d = 7
 ),
+-- All unit ads stand before all building ads, and the first of equal ads stays.
 pad_first AS (
   SELECT * FROM pad_rows
   QUALIFY row_number() OVER (PARTITION BY beds, baths, rent, address
-                             ORDER BY ad, container, inv, name) = 1
+                             ORDER BY CASE WHEN many THEN 2 ELSE 1 END, ad, container, inv, name) = 1
 ),
 pad_points AS (
-  SELECT p.*, CASE WHEN many THEN lon0 + 3.0 ELSE lon0 + (l_partkey * 7 % 997) / 100.0::DOUBLE + 0.003::DOUBLE END AS px,
-         CASE WHEN many THEN lat0 + 1.5::DOUBLE ELSE lat0 + (l_partkey * 13 % 499) / 100.0::DOUBLE + 0.001::DOUBLE END AS py
+  SELECT p.*, CASE WHEN address NOT LIKE '% Bell St, %' THEN lon0 + 3.0 ELSE lon0 + (l_partkey * 7 % 997) / 100.0::DOUBLE + 0.003::DOUBLE END AS px,
+         CASE WHEN address NOT LIKE '% Bell St, %' THEN lat0 + 1.5::DOUBLE ELSE lat0 + (l_partkey * 13 % 499) / 100.0::DOUBLE + 0.001::DOUBLE END AS py
   FROM pad_first p JOIN grid USING (k)
 ),
 padmapper AS (
@@ -300,15 +305,23 @@ forrent_text AS (
 )"""
 
 POST_TEXT = """
+post_place AS (
+  SELECT c_custkey, c_mktsegment <> 'BUILDING' AS known,
+         (c_custkey + 1) || CASE c_custkey % 5 WHEN 0 THEN ' Martin Luther King Junior Memorial Way S'
+                                 WHEN 1 THEN ' 9th Ave NE' ELSE ' Main St' END AS address1,
+         translate(n_name, '_0123456789', ' ABCDEFGHIJ') AS city1,
+         CAST(c_custkey % 89999 + 10000 AS VARCHAR) AS zip,
+         CASE c_custkey % 3 WHEN 0 THEN 'Mail: ' WHEN 1 THEN 'Sunny home in '
+              ELSE 'Located near Green Lake. ' END AS opening
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+),
 post_text AS (
-  SELECT c_custkey, c_custkey + 1 || ' Main St' AS address1, CAST(NULL AS VARCHAR) AS neigh1,
-         n_name AS city1, 'WA' AS region1, c_mktsegment <> 'BUILDING' AS known,
+  SELECT c_custkey, address1, CAST(NULL AS VARCHAR) AS neigh1, city1, 'WA' AS region1, known, zip,
          'https://maps.example.org/maps/search/' || c_custkey % 50 || '.5,-120.25' AS google_maps_url,
-         CAST(c_custkey % 89999 + 10000 AS VARCHAR) AS zip, n_name,
-         CASE WHEN c_mktsegment = 'BUILDING' THEN 'Call us for the address.'
-              ELSE 'Sunny home. Visit ' || (c_custkey + 1) || ' Main St today.' || chr(10) || 'Mail: '
-                   || n_name || ', WA ' || (c_custkey % 89999 + 10000) || '-1234 thanks' END AS listing_text
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
+         CASE WHEN known THEN 'Cosy rooms. Visit ' || address1 || ' today.' || chr(10) || opening
+                   || city1 || ', WA ' || zip || '-1234 thanks'
+              ELSE 'Call us for the address.' END AS listing_text
+  FROM post_place
 )"""
 
 CLEAN = """
@@ -348,8 +361,6 @@ SQL: dict[str, str] = {
         WHERE website = 'homes.com'"""),
     "csv_roundtrip": sql(ADS, ZILLOW_TEXT, """
         SELECT rent, bedrooms, address, unit_type, container, url, program_iteration FROM zillow_text"""),
-    "csv_in_blocks": sql(ADS, ZILLOW_TEXT, """
-        SELECT rent, bedrooms, address, unit_type, container, url, program_iteration FROM zillow_text"""),
     "csv_schema_drift": sql(ADS, """
         SELECT 'New' AS tags,
                format('${:,}', r) || CASE WHEN many THEN format(' - ${:,}', r + 100 * q) ELSE '' END || '/mo' AS rent,
@@ -378,10 +389,11 @@ SQL: dict[str, str] = {
     "clean_listing_fields": sql(ADS, MARKETS, CLEAN),
     "parse_failures": sql(ADS, MARKETS, f"""
         SELECT website, count(*) AS n_rows, count(*) FILTER (rent IS NULL) AS no_rent,
-               count(*) FILTER (beds IS NULL) AS no_beds
+               count(*) FILTER (beds IS NULL) AS no_beds, CAST(0 AS BIGINT) AS overlong
         FROM ({CLEAN}) GROUP BY website"""),
     "sentinel_to_null": sql(ADS, MARKETS, f"""
-        SELECT website, CAST(ship AS VARCHAR) || ' 03:04:05' AS scraped_time,
+        SELECT website, CAST(ship AS VARCHAR) || CASE WHEN q % 3 = 0 THEN 'T20:04:05-07:00'
+                                                      ELSE ' 03:04:05' END AS scraped_time,
                CASE website WHEN 'forrent.com' THEN CASE WHEN many THEN price || ' - ' || format('${{:,}}', r + 100 * q) ELSE price END
                     WHEN 'homes.com' THEN CASE WHEN d = 10 THEN '$--' WHEN many THEN price || '+' ELSE price END
                     ELSE price || '/mo' END AS rent,
@@ -402,7 +414,8 @@ SQL: dict[str, str] = {
         SELECT CASE WHEN year(day) >= 2020 THEN make_date(year(day), month(day), 1) END AS month_start,
                count(*) AS n FROM posts GROUP BY ALL"""),
     "scrape_times": sql(ADS, MARKETS, """
-        SELECT website, ship + INTERVAL '3 hours 4 minutes 5 seconds' AS scraped_time, ship AS date,
+        SELECT website, CAST(ship + CASE WHEN q % 3 = 0 THEN 1 ELSE 0 END AS DATE) + INTERVAL '3 hours 4 minutes 5 seconds'
+                 AS scraped_time, CAST(ship + CASE WHEN q % 3 = 0 THEN 1 ELSE 0 END AS DATE) AS date,
                count(*) AS n FROM markets GROUP BY ALL"""),
     "normalize_addresses": sql(ADS, POST_TEXT, """
         SELECT 'https://listings.example.org/' || ad AS url,
@@ -413,7 +426,7 @@ SQL: dict[str, str] = {
         SELECT address1, replace(listing_text, '-1234', ''), CASE WHEN known THEN zip END FROM post_text
         UNION ALL
         SELECT address1, replace(listing_text, '-1234', ''), CASE WHEN known THEN zip END FROM post_text
-        WHERE address1 LIKE '%7 Main St'
+        WHERE c_custkey % 50 = 7
         UNION ALL
         SELECT 'https://homes.example.org/for_rent/' || (6001 + 2 * k) || '_c/' || ad,
                l_partkey || ' Main St, ' || n_name || ', ' || substr(r_name, 1, 2), NULL FROM ads"""),
@@ -441,10 +454,24 @@ SQL: dict[str, str] = {
                CASE WHEN many THEN rent END AS rent,
                CASE WHEN NOT many THEN CAST(r AS DOUBLE) END AS unit_rent
         FROM forrent_text"""),
-    "building_share": sql(ADS, MARKETS, f"""
+    # Of the ads that agree in all numbers and the address a site keeps the earliest; the share
+    # is taken of what it keeps.
+    "building_share": sql(ADS, MARKETS, """
         SELECT website, is_bldg, count(*) AS n,
-               count(*)::DOUBLE / (SELECT count(*) FROM lineitem) AS prop
-        FROM ({CLEAN}) GROUP BY website, is_bldg"""),
+               count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY website) AS prop
+        FROM (
+          SELECT website, many AS is_bldg FROM markets WHERE website <> 'homes.com' OR d <> 10
+          QUALIFY row_number() OVER (
+            PARTITION BY website, street || n_name, b, r,
+              CASE WHEN website = 'forrent.com' THEN CASE WHEN many THEN 1000 + q % 4 ELSE 0 END
+                   WHEN website = 'rent.com' AND NOT many THEN -1 ELSE 0 END,
+              CASE WHEN website = 'forrent.com' AND many THEN q END,
+              CASE WHEN website = 'homes.com' THEN q % 2 END,
+              CASE WHEN website = 'homes.com' AND b > 0 THEN area END
+            ORDER BY CAST(ship + CASE WHEN q % 3 = 0 THEN 1 ELSE 0 END AS DATE),
+              CASE WHEN many THEN b || ' - ' || (b + 2) WHEN b = 0 THEN 'Studio' ELSE CAST(b AS VARCHAR) END,
+              q || ' ', many) = 1)
+        GROUP BY website, is_bldg"""),
     "harmonize_union": """
         SELECT c_custkey AS id, c_name AS name, c_acctbal AS rent, CAST(NULL AS INTEGER) AS beds
         FROM customer
@@ -501,8 +528,8 @@ SQL: dict[str, str] = {
     "geoparse": sql(POST_TEXT, """
         SELECT address1, neigh1, city1, region1, google_maps_url, listing_text,
                CASE WHEN known THEN address1 END AS match_address,
-               CASE WHEN known THEN n_name || ', WA ' || zip END AS match_address2,
-               CASE WHEN known THEN address1 || ' ' || n_name || ', WA ' || zip ELSE 'NA NA' END AS temp_add,
+               CASE WHEN known THEN city1 || ', WA ' || zip END AS match_address2,
+               CASE WHEN known THEN address1 || ' ' || city1 || ', WA ' || zip ELSE 'NA NA' END AS temp_add,
                CASE WHEN known THEN c_custkey * 0.5::DOUBLE END AS lng,
                CASE WHEN known THEN c_custkey * 0.25::DOUBLE END AS lat
         FROM post_text"""),

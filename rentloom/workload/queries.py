@@ -66,14 +66,6 @@ def csv_roundtrip(spark, folder):
     return files.read_headerless(spark, path, schemas.ZILLOW)
 
 
-@query
-def csv_in_blocks(spark, folder):
-    """The same files read block by block, as needed for files too large for one task."""
-    path = shared_folder(spark)
-    files.write_csv(inputs.zillow(spark, folder), path, header=False)
-    return files.read_one_large(spark, path, schemas.ZILLOW)
-
-
 @query
 def csv_schema_drift(spark, folder):
     """Records with nine and with ten fields mixed in one file."""
@@ -233,8 +225,7 @@ def building_unit_split(spark, folder):
 
 @query
 def building_share(spark, folder):
-    rows = extra_markets.clean_fields(inputs.extra_markets(spark, folder))
-    return stats.share_of_total(rows, ["website", "is_bldg"])
+    return extra_markets.building_share(inputs.extra_markets(spark, folder))
 
 
 @query
@@ -437,19 +428,21 @@ def acs_append(spark, folder):
 
 
 def all_listings(spark, folder, county):
+    """The ads are landed once; the county table, its cells and its size check serve all sites."""
     dim = flat(county)
-    base = inputs.ads(spark, folder)
+    cells = spatial.cell_index(county.drop("container"), craigslist.CELL_METRES)
+    base = files.land(inputs.ads(spark, folder), shared_folder(spark))
     return tables.listing_table(
         {
-            "craigslist": _craigslist(spark, folder, county),
+            "craigslist": craigslist.build(inputs.craigslist(spark, folder), cells),
             "apartments": apartments.build(inputs.geocoded(spark, folder, base), dim),
             "gosection8": gosection8.build(inputs.gosection8(spark, folder, base), dim),
             "trulia": trulia.build(inputs.trulia(spark, folder, base), dim),
             "zillow": zillow.build(inputs.zillow(spark, folder, base), dim),
             "padmapper": padmapper.build(
-                inputs.padmapper(spark, folder, base), county, inputs.address_book(spark, folder, base)),
+                inputs.padmapper(spark, folder, base), cells, inputs.address_book(spark, folder, base), dim=dim),
         },
-        county,
+        dim,
     )
 
 

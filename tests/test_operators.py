@@ -76,10 +76,66 @@ def test_unit_weights_equal_percentile_disc(spark):
     assert got(ours, "k", "q25", "q50", "q75") == got(disc, "k", "q25", "q50", "q75")
 
 
+def test_fractional_weights_lose_no_quantile(spark):
+    """Against a plain running sum: no NULL, and the value reached up to a rounding error."""
+    rng = random.Random(9)
+    groups = {g: [(rng.choice([10.0, 20.5, 30.0, 900.0, 905.0]) + rng.randint(0, 3), rng.choice([0.1, 0.2, 0.7, 1.3]))
+                  for _ in range(rng.randint(1, 9))] for g in range(300)}
+    groups[-1] = [(float(i), w) for i, w in enumerate((.2, .7, .1, .2, .7, .1))]
+    df = spark.createDataFrame([(g, v, w) for g, rows in groups.items() for v, w in rows], "g int, v double, w double")
+    percents = (5, 25, 50, 75, 100)
+    for r in stats.weighted_quantiles(df, ["g"], "v", "w", percents).collect():
+        rows = sorted(groups[r.g])
+        total = sum(w for _, w in rows)
+        for p in percents:
+            value = r[f"q{p}"]
+            assert value is not None
+            below = sum(w for v, w in rows if v < value)
+            upto = sum(w for v, w in rows if v <= value)
+            assert below * 100 < total * p + 1e-9 and upto * 100 > total * p - 1e-9
+
+
 def test_share(spark):
     df = spark.createDataFrame([(True,), (True,), (False,), (None,)], "b boolean")
     assert got(stats.share_of_total(df, ["b"]), "b", "n", "prop") == [
         (False, 1, 0.25), (None, 1, 0.25), (True, 2, 0.5)]
+    two = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "s string, b boolean")
+    assert got(stats.share_of_total(two, ["s", "b"], within=["s"]), "s", "b", "prop") == [
+        ("a", False, 0.5), ("a", True, 0.5), ("b", True, 1.0)]
+
+
+def test_overlong_ranges_are_kept_without_numbers(spark):
+    df = spark.createDataFrame([(1, 0.0, 3e12), (2, 0.0, 2.0), (3, None, 2.0)], "i int, lo double, hi double")
+    out = reshape.expand_range(df.withColumns({"a": F.lit(100.0), "b": F.lit(200.0)}), "lo", "hi", "a", "b", "beds", "rent")
+    assert got(out, "i", "beds", "rent") == [(1, None, None), (2, 0.0, 100.0), (2, 1.0, 150.0), (2, 2.0, 200.0)]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2020-10-01T20:00:00-07:00", "2020-10-02 03:00:00"), ("2020-10-01 20:00:00+0530", "2020-10-01 14:30:00"),
+    ("2020-10-01T20:00:00Z", "2020-10-01 20:00:00"), ("2020-10-01 20:00:00", "2020-10-01 20:00:00"),
+    ("2020-10-01", "2020-10-01 00:00:00"), ("soon", None), (None, None),
+])
+def test_scrape_time_offsets(spark, text, expected):
+    from rentloom.functions.dates import scraped_at
+    found = spark.createDataFrame([(text,)], "t string").select(scraped_at(F.col("t")).cast("string")).first()[0]
+    assert found == expected
+
+
+def test_shared_folder_is_demanded_off_local(monkeypatch):
+    from rentloom import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+    class Cluster:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Cluster())
 
 
 # --- dedupe -----------------------------------------------------------------
@@ -129,7 +185,11 @@ def test_broadcast_only_when_small(spark):
     fact = spark.range(10).toDF("id")
     assert joins.broadcast_if_small(big) is big
     assert joins.broadcast_if_small(small, max_rows=4) is small
-    assert joins.broadcast_if_small(small, items=F.col("id"), max_items=9) is small
+    long = small.select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert joins.broadcast_if_small(long, max_bytes=5000) is long
+    assert joins.broadcast_if_small(long.select("id", F.array("t").alias("t")), max_bytes=5000).columns == ["id", "t"]
+    empty = spark.range(0)
+    assert joins.broadcast_if_small(empty) is not empty
     plan = fact.hint("merge").join(joins.broadcast_if_small(small), "id")
     assert plan.count() == 5
 
@@ -158,7 +218,7 @@ def test_expand_drops_missing_bounds_and_steps_from_halves(spark):
 def test_absurd_range_does_not_stop_the_job(spark):
     df = spark.createDataFrame([(1.0, 9e12, 1.0, 2.0), (1.0, 2.0, 1.0, 2.0)],
                                "l double, h double, a double, b double")
-    assert reshape.expand_range(df, "l", "h", "a", "b", "beds", "rent").count() == 2
+    assert reshape.expand_range(df, "l", "h", "a", "b", "beds", "rent").count() == 3
 
 
 def test_union_counts_and_fills(spark):
@@ -303,7 +363,7 @@ def test_nearest_equals_brute_force(spark, crowded):
 
     df = spark.createDataFrame(asked, "id long, x double, y double")
     book = spark.createDataFrame(places, "address string, x double, y double")
-    out = enrich.enrich_nearest(df, "x", "y", book, 2.5)
+    out = enrich.enrich_nearest(df, "x", "y", book, 2.5, crowded=8)
     assert got(out, "id", "rev_address") == sorted(((i, nearest(x, y)) for i, x, y in asked), key=str)
 
 
@@ -315,8 +375,40 @@ def test_geoparse(spark):
     assert got(out, "match_address", "match_address2", "temp_add", "lng") == [
         ("12 N Oak Ave", "Seattle, WA 98105", "12 N Oak Ave Seattle, WA 98105", 1.5),
         (None, None, "NA NA", None)]
+    for fields in (["gone"], ["city1"]):
+        with pytest.raises(ValueError):
+            enrich.geoparse(df, "listing_text", fields, book)
+    with pytest.raises(ValueError):
+        enrich.geoparse(df, "listing_text", ["listing_text", "city1"], book.union(book))
+
+
+@pytest.mark.parametrize("text, street, city", [
+    ("Sunny home in Seattle, WA 98101", None, "Seattle, WA 98101"),
+    ("Located near Green Lake. Seattle, WA 98105-1234", None, "Seattle, WA 98105"),
+    ("4500 9th Ave NE, Seattle, WA 98105", "4500 9th Ave NE", "Seattle, WA 98105"),
+    ("1200 Martin Luther King Junior Memorial Way S, Seattle, WA 98144",
+     "1200 Martin Luther King Junior Memorial Way S", "Seattle, WA 98144"),
+    ("at 1234567 N Oak St. St. Paul, MN 55101 now", "1234567 N Oak St", "St. Paul, MN 55101"),
+    ("Come to Llanfairpwllgwyngyllgogerychwyrndrobwllllantysiliogogogoch, WA 98101", None,
+     "Llanfairpwllgwyngyllgogerychwyrndrobwllllantysiliogogogoch, WA 98101"),
+    ("call 555 1234 today", None, None),
+])
+def test_addresses_in_prose(spark, text, street, city):
+    df = spark.createDataFrame([(text,)], "t string")
+    book = spark.createDataFrame([("x", 1.0)], "temp_add string, lng double")
+    row = enrich.geoparse(df, "t", ["t"], book).first()
+    assert (row.match_address, row.match_address2) == (street, city)
+
+
+def test_rows_without_a_key_pass_by_the_look_up(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "i int, k string")
+    book = spark.createDataFrame([("a", 1.5)], "k string, v double")
+    out = enrich.enrich_distinct(df, ["k"], book)
+    assert out.columns == ["i", "k", "v"] and got(out, "i", "v") == [(1, None), (2, 1.5), (3, None)]
+    empty = spark.createDataFrame([("a", 1.5), (None, 9.0)], "k string, v double")
+    assert got(enrich.enrich_distinct(df, ["k"], empty), "i", "v") == [(1, 9.0), (2, 1.5), (3, None)]
     with pytest.raises(ValueError):
-        enrich.geoparse(df, "listing_text", ["gone"], book)
+        enrich.enrich_distinct(df, ["k"], book.union(book))
 
 
 def test_projected_rings(spark):

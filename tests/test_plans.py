@@ -6,8 +6,8 @@ import io
 import pytest
 
 from rentloom.operators import dedupe, spatial, stats
-from rentloom.plans import tables
-from rentloom.sources.tables import apartments_scan, parquet_table, site_scan, spread
+from rentloom.plans import padmapper, tables
+from rentloom.sources.tables import apartments_scan, parquet_table, site_scan
 from rentloom.workload import inputs, queries
 
 
@@ -98,8 +98,15 @@ def test_no_window_without_partition(spark, smallest):
                 assert not inside.startswith("specifiedwindowframe"), name
 
 
-def test_only_scans_with_few_splits_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many, few = spark.range(0, 100, 1, cores), spark.range(0, 100, 1, 1)
-    assert spread(many) is many
-    assert spread(few).rdd.getNumPartitions() == cores
+def test_landed_ads_are_scanned_and_checked_once(spark, smallest):
+    """Line items are read once for all sites; Padmapper reads its rows once."""
+    text = plan(queries.REGISTERED["listing_table"](spark, smallest)).split("(1) ")[0]
+    assert text.count("lineitem") == 0
+    raw = inputs.padmapper(spark, smallest)
+    one = plan(padmapper.typed(raw, queries.flat(queries._county(spark, smallest)))).split("(1) ")[0]
+    assert one.count("Generate") - plan(raw).split("(1) ")[0].count("Generate") == 1
+
+
+def test_rows_without_a_key_are_not_shuffled_for_the_look_up(spark, smallest):
+    text = plan(queries.REGISTERED["geoparse"](spark, smallest))
+    assert "Union" in text

@@ -18,7 +18,9 @@ def test_query(spark, smallest, con, name):
 
 
 def test_contract(spark):
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(queries.REGISTERED) == set(oracles.SQL)
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    assert set(queries.REGISTERED) <= set(entry_point.queries())
     assert entry_point.entry(spark).columns[:4] == ["cbsafp", "metro_name", "source", "cat_beds"]
 
 

@@ -194,6 +194,60 @@ def test_padmapper(rows, county):
     assert (False, 0.0) in got(right, "is_bldg", "beds")
 
 
+def test_padmapper_unit_stands_before_building(rows, county):
+    """Equal beds, baths, rent and address: the unit stays, whatever the links' order."""
+    unit = {"rent": "$1,300", "bedrooms": "1 Bedroom", "name": "5 Oak St", "name_loc": "5 Oak St Bay",
+            "url": "z", "container": "King County WA"}
+    tower = {**PAD_BUILDING, "name": "The Oak", "name_loc": "The Oak 5 Oak St, Bay", "url": "a"}
+    out = padmapper.typed(rows(schemas.PADMAPPER, tower, unit), county)
+    assert got(out, "is_bldg", "inv", "address", "url") == [(False, 1.0, "5 Oak St, Bay", "z")]
+
+
+def test_zillow_unit_stands_before_building(rows, county):
+    building = {"bedrooms": "$1,200\nStudio", "address": "The Ann | 5 Oak St", "url": "a", "container": "King County WA"}
+    unit = {"rent": "$1,200", "bedrooms": "Studio", "address": "5 Oak St", "url": "z", "container": "King County WA"}
+    out = zillow.build(rows(schemas.ZILLOW, building, unit), flat(county))
+    assert got(out, "is_bldg", "bldg_name", "url") == [(False, None, "z")]
+
+
+def test_results_do_not_depend_on_the_order_of_rows(rows, county, spark):
+    """Ads that agree in their keys and differ elsewhere, dealt out in other ways."""
+    import random
+
+    rng = random.Random(4)
+    pick = rng.choice
+    place = "King County WA"
+    market = [{
+        "website": site, "scraped_time": "2020-01-01 00:00:00", "location_identifier": "a", "availablity": "x",
+        "bedrooms": pick(["Studio 1 Bath", "2 Beds 1 Baths"]) if site == "homes.com" else pick(["1 - 2 Beds", "1 Beds"]),
+        "rent": pick(["$1,500+", "$1,500"]) if site == "homes.com" else "$1,500 - $1,600"}
+        for site in ("homes.com", "realtor.com", "rent.com", "forrent.com") for _ in range(12)]
+    names = tuple(market[0])
+    cases = [(f, names, market) for f in (
+        extra_markets.homes, extra_markets.realtor, extra_markets.rent, extra_markets.forrent)]
+    dim = flat(county)
+    cases += [
+        (lambda r: gosection8.build(r, dim), schemas.GOSECTION8, [
+            {"rent": "$900", "beds_bath": f"1\nBed 1 Bath\n{pick(['House', 'Flat', ''])}", "address": "a", "container": place, "url": "u"}
+            for _ in range(15)]),
+        (lambda r: zillow.build(r, dim), schemas.ZILLOW, [
+            {"rent": pick([None, "$900"]), "bedrooms": pick(["$900\nStudio", "Studio"]), "address": pick(["N | a", "M | a", "a"]),
+             "container": place, "url": "u", "unit_type": pick(["Flat", "House"])} for _ in range(25)]),
+        (lambda r: trulia.build(r, dim), schemas.TRULIA, [
+            {"rent": "$900", "beds": "1bd", "line_1": f"a #{pick('123')}", "line_2": "s", "url": "x/for_rent/53033_c/", "tags": pick(["A", "B"])}
+            for _ in range(15)]),
+        (lambda r: padmapper.typed(r, dim), schemas.PADMAPPER, [
+            {**pick([PAD_BUILDING, PAD_UNIT]), "container": place, "url": "u", "text": pick(["s", "t"])} for _ in range(20)]),
+    ]
+    for build, columns, records in cases:
+        found = []
+        for parts in (1, 3, 7):
+            rng.shuffle(records)
+            out = build(rows(columns, *records).repartition(parts))
+            found.append(sorted(map(str, out.collect())))
+        assert found[0] == found[1] == found[2], build
+
+
 def test_padmapper_first_building_row_wins_whole(rows, county):
     """A repeated building ad counts once, even where only the repeat names a size."""
     again = {**PAD_BUILDING, "rent_inv_1B": None, "rent_inv_2B": "2 Bedrooms 1 RENT $9 View"}
@@ -241,6 +295,8 @@ def test_listing_table_labels(spark, county):
         {"padmapper": parts["padmapper"], "forrent": located(spark, (4.0, 600.0, 1.0))},
         county, fixes={quirks.FORRENT_COPY})
     assert got(right, "source", "beds", "inv") == [("Forrent.com", 4.0, 1), ("Padmapper", 2.0, 7)]
+    with pytest.raises(ValueError):
+        tables.located_parts({"padmapper": parts["padmapper"]}, fixes={quirks.FORRENT_COPY})
 
 
 def test_rent_bounds_are_open(spark):
@@ -258,7 +314,7 @@ def test_acs_and_summary(spark, county):
     out = tables.rent_summary(listings, census)
     assert out.schema.simpleString() == schemas.SUMMARY.simpleString()
     assert got(out, "source", "cat_beds", "n", "q25", "q75", "iqr") == [
-        ("2018 ACS", "2", None, 2500.0, 7500.0, 5000.0), ("Trulia", "1", 2, 900.0, 1000.0, 100.0)]
+        ("2018 ACS", "2", None, 1.0, 1.0, 0.0), ("2018 ACS", "2", None, 2500.0, 7500.0, 5000.0), ("Trulia", "1", 2, 900.0, 1000.0, 100.0)]
 
 
 def test_write_outputs(spark, county, tmp_path):
