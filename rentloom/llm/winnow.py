@@ -5,7 +5,7 @@ window of W such hashes the smallest is kept with its position, of equal ones th
 Two texts that share K + W - 1 words in a row share at least one fingerprint.
 
 Both the rolled hashes and the window minima are built by doubling: a run of 2n comes of two
-runs of n, one n further on, so an array is passed over a few times, whatever K and W.
+runs of n, one further on, so an array is passed over a few times, whatever K and W.
 """
 
 from __future__ import annotations
@@ -15,10 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentloom.llm.common import settled
-
-#: Words of a rolled hash and hashes of a window, powers of two.
-K, W = 4, 8
+#: Words of a rolled hash and hashes of a window.
+K, W = 2, 4
 #: A key holds 31 bits of hash above 32 bits that fall as the position rises.
 LOW = (1 << 32) - 1
 #: Scripts written without spaces: every character is a word.
@@ -31,11 +29,17 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def doubled(values: Column, runs: int, join: Callable[[Column, Column], Column]) -> Column:
-    """join over every run of `runs` elements. Behind the last whole run join meets null."""
-    step = 1
-    while step < runs:
-        values = bound(values, lambda v, s=step: F.zip_with(v, F.slice(v, s + 1, F.size(v)), join))
-        step *= 2
+    """join over every run of `runs` elements, out of two runs that may overlap. Behind the
+    last whole run join meets null."""
+
+    def further(step: int) -> Callable[[Column], Column]:
+        return lambda v: F.zip_with(v, F.slice(v, step + 1, F.size(v)), join)
+
+    size = 1
+    while size < runs:
+        step = min(size, runs - size)
+        values = bound(values, further(step))
+        size += step
     return values
 
 
@@ -85,62 +89,56 @@ def written(found: Column) -> Column:
     return F.lower(F.array_join(F.transform(found, lambda x: F.hex(x)), " "))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, for_id, for_chars): the next document by descending doc_id (the first
-    after the last), the one whose next this is, and that one's length.
+def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
+    """Rows with the block they are looked at in: neighbouring doc_ids, about equally many.
 
-    Only ids are sorted. They are dealt out by range, each range is looked through
-    by itself, and the ends of the ranges, two ids each, are joined up.
+    The last row of a block is followed by the first of the block below, which comes along as
+    a guest; the very first follows the last. Only ids are looked through for
+    this; the borders and first ids of at most `blocks` blocks pass the driver.
     """
-    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.max(F.char_length(F.coalesce("text", F.lit("")))).alias("n"))
-    ranged = settled(ids.repartitionByRange("doc_id").select("doc_id", "n", F.spark_partition_id().alias("part")))
-    down = Window.partitionBy("part").orderBy(F.col("doc_id").desc())
-    ends = ranged.groupBy("part").agg(
-        F.max("doc_id").alias("top"), F.min("doc_id").alias("bottom"), F.max_by("n", -F.col("doc_id")).alias("bottom_n"))
-    # one row per partition
-    among = Window.partitionBy(F.lit(0)).orderBy(F.col("part").desc())
-    whole = among.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    around = ends.select(
-        "part",
-        F.coalesce(F.lead("top").over(among), F.first("top").over(whole)).alias("next_top"),
-        F.coalesce(F.lag("bottom").over(among), F.last("bottom").over(whole)).alias("for_bottom"),
-        F.coalesce(F.lag("bottom_n").over(among), F.last("bottom_n").over(whole)).alias("for_bottom_n"))
-    inside = ranged.select(
-        "doc_id", "part", F.lead("doc_id").over(down).alias("next_id"),
-        F.lag("doc_id").over(down).alias("for_id"), F.lag("n").over(down).alias("for_n"))
-    return inside.join(F.broadcast(around), "part").select(
-        "doc_id", F.coalesce("next_id", "next_top").alias("next_id"),
-        F.coalesce("for_id", "for_bottom").alias("for_id"),
-        F.coalesce("for_n", "for_bottom_n").alias("for_chars"))
-
-
-def compared(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
+    ids = docs.select("doc_id")
+    cuts = [i / blocks for i in range(1, blocks)]
+    borders = sorted(set(ids.agg(F.percentile_approx("doc_id", cuts, 100 * blocks).alias("x")).first().x or []))
+    column = F.col("doc_id")
+    block = F.size(F.filter(F.lit(borders).cast("array<bigint>"), lambda b: b <= column)) if borders else F.lit(0)
+    tops = sorted((r.block, r.top) for r in ids.groupBy(block.alias("block")).agg(F.max("doc_id").alias("top")).collect())
+    guests = [(top, tops[(i + 1) % len(tops)][0]) for i, (_, top) in enumerate(tops)]
+    asked = F.broadcast(docs.sparkSession.range(1).select(
+        F.inline(F.arrays_zip(F.lit([g[0] for g in guests]).cast("array<bigint>").alias("doc_id"),
+                              F.lit([g[1] for g in guests]).cast("array<int>").alias("host")))))
+    return docs.join(asked, "doc_id", "left").select(
+        *docs.columns, F.posexplode(F.array_compact(F.array(block.cast("int"), F.col("host")))).alias("guest", "block"))
+
+
+def compared(docs: DataFrame, k: int = K, w: int = W, blocks: int | None = None) -> DataFrame:
     """Every row's fingerprint beside that of its edited text and of its next document.
 
     The edited text has its last third (rounded down) replaced by as many code points from
-    the start of the next document by descending doc_id. Null texts are empty. Rows
-    that share a doc_id each come out; as a next document the one with the smallest
-    hash of its text counts. Rows without doc_id have no next document. Other columns are
-    not read; an empty table gives an empty result.
+    the start of the next document by descending doc_id (after the last: the first). Null texts
+    are empty. Rows that share a doc_id each come out; as a next document the one whose text
+    has the smallest hash counts. Rows without doc_id have no next document. Other columns are
+    not read; an empty table gives an empty result. Texts are shuffled once.
     """
     text = F.coalesce("text", F.lit(""))
-    found = docs.select("doc_id", text.alias("text"), hashes(text, k, w).alias("own"))
-    chained = found.join(settled(neighbours(docs)), "doc_id", "left")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    given = (
-        chained.filter("for_id is not null").withColumn("copy", F.row_number().over(first)).filter("copy = 1")
-        .select(F.col("for_id").alias("doc_id"), F.col("own").alias("next_own"),
-                F.substring("text", F.lit(1), F.floor(F.col("for_chars") / 3).cast("int")).alias("start"))
-    )
+    rows = docs.select(F.col("doc_id"), text.alias("text"))
+    if blocks is None:
+        blocks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(rows.filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")), blocks)
+    down = Window.partitionBy("block").orderBy("guest", F.col("doc_id").desc())
+    following = Window.partitionBy("block").orderBy("rank").rangeBetween(1, 1)
+    ranked = dealt.withColumn("rank", F.dense_rank().over(down)).withColumn("mark", F.xxhash64("text"))
+    own = ranked.withColumn("own", hashes(F.col("text"), k, w))
+    joined = own.withColumn("next", F.min_by(F.struct("text", "own"), "mark").over(following)).filter("guest = 0")
+    alone = rows.filter("doc_id is null").withColumn("own", hashes(F.col("text"), k, w)).withColumn(
+        "next", F.struct(F.lit("").alias("text"), F.array().cast("array<int>").alias("own")))
+    names = ["doc_id", "text", "own", "next"]
+    both = joined.select(*names).unionByName(alone.select(F.col("doc_id").cast("long"), *names[1:]))
     size = F.char_length("text")
     third = F.floor(size / 3).cast("int")
-    joined = chained.select("doc_id", "text", "own").join(given, "doc_id", "left").select(
-        "doc_id", size.cast("long").alias("n_chars"), "own",
-        F.coalesce("next_own", F.array().cast("array<int>")).alias("next_own"),
-        F.concat(F.substring("text", F.lit(1), size - third),
-                 F.substring(F.coalesce("start", F.lit("")), F.lit(1), third)).alias("edited"))
-    return joined.withColumn("edited_own", hashes(F.col("edited"), k, w)).select(
+    edited = both.select(
+        "doc_id", size.cast("long").alias("n_chars"), "own", F.col("next.own").alias("next_own"),
+        F.concat(F.substring("text", F.lit(1), size - third), F.substring("next.text", F.lit(1), third)).alias("edited"))
+    return edited.withColumn("edited_own", hashes(F.col("edited"), k, w)).select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("own")).alias("fingerprint"), written(F.col("edited_own")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
