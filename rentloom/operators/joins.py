@@ -42,11 +42,17 @@ def refuse_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def natural_left(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join on every column name the two tables share."""
+def natural_left(left: DataFrame, right: DataFrame, unique: bool = False) -> DataFrame:
+    """Left join on every column name the two tables share.
+
+    With `unique` a right table that holds a key twice is refused, which takes one small
+    aggregate; without it such a key multiplies rows, as in any join.
+    """
     common = [c for c in left.columns if c in right.columns]
     if not common:
         raise ValueError("natural join of tables without a common column")
+    if unique:
+        refuse_repeated(right, common)
     return left.join(right, common, "left").select(
         *left.columns, *[c for c in right.columns if c not in common]
     )

@@ -429,7 +429,7 @@ def acs_append(spark, folder):
 
 def all_listings(spark, folder, county):
     """The ads are landed once; the county table, its cells and its size check serve all sites."""
-    dim = flat(county)
+    dim = joins.refuse_repeated(flat(county), ["container"])
     cells = spatial.cell_index(county.drop("container"), craigslist.CELL_METRES)
     base = files.land(inputs.ads(spark, folder), shared_folder(spark))
     return tables.listing_table(

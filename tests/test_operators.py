@@ -172,6 +172,9 @@ def test_natural_left(spark):
     assert got(joins.natural_left(left, right), "k", "v", "w") == [(1, "a", 10), (2, "b", None), (None, "c", None)]
     with pytest.raises(ValueError):
         joins.natural_left(left, right.withColumnRenamed("k", "z"))
+    assert joins.natural_left(left, right, unique=True).count() == 3
+    with pytest.raises(ValueError):
+        joins.natural_left(left, right.union(right), unique=True)
 
 
 def test_null_safe_left(spark):
