@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 #: Most members of a group that one task compares with one another; larger groups are
 #: compared block against block, each pair of blocks in a task of its own.
 BLOCK = 2000
+#: Rows of an Arrow batch.
+ROWS = 2000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,9 +68,15 @@ def _sent(application: str, context) -> tempfile.TemporaryDirectory:
 
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with this package at hand on the workers."""
-    context = df.sparkSession.sparkContext
-    _sent(context.applicationId, context)
+    """mapInArrow with this package at hand on the workers.
+
+    Rows hold whole texts, so where the session leaves Spark's default of 10,000 rows to a
+    batch, it is set to ROWS: a batch is held by the executor and by its worker at once.
+    """
+    spark = df.sparkSession
+    _sent(spark.sparkContext.applicationId, spark.sparkContext)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     return df.mapInArrow(run, schema)
 
 
