@@ -119,7 +119,8 @@ def labelled_sample(
     """(doc_id, text, label) of at most `most` rows per label, taken in the order of a hash.
 
     Rows whose remainder is left_out and labels other than 0 and 1 take no part. The sample
-    is at most 2 * most ids, so it may be broadcast; the texts are never shuffled.
+    is at most 2 * most ids, so it may be broadcast; the texts are never shuffled, and are
+    looked for once: the sample is written to the shared folder.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(
         F.col("doc_id").isNotNull() & (remainder("doc_id", divisor) != left_out))
@@ -129,7 +130,7 @@ def labelled_sample(
         for value in (0, 1)
     ]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+    return settled(docs.select("doc_id", "text").join(chosen, "doc_id"))
 
 
 def compared_blocks(members: DataFrame, key: str, item: str, block: int = BLOCK) -> DataFrame:
