@@ -29,3 +29,32 @@ def test_stages_take_effect_in_turn(spark, smallest):
     assert {(r.doc_id, r.doc_tokens) for r in whole} == {(r[0], r[4]) for r in last}
     assert sum(r.length for r in whole) == sum(r[2] for r in last)
     assert packing.WINDOW == 1024
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice(["ba", "ko", "ri", "tu", "me"]) for _ in range(rng.randint(1, 4)))
+    rows = [(i, " ".join(word() for _ in range(60)) + (" zork" * 5 if i % 5 == 1 else ""), "en", None, 300, i) for i in range(60)]
+    rows += [(100, None, None, None, None, 1), (101, "", "en", "s", 0, 1), (None, "no id here", "en", "s", 10, 1),
+             (3, rows[3][1], "en", None, 300, 3), (102, rows[4][1], "en", "s", 300, 1), (103, "word " * 20000, "en", "s", 100000, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score int")
+    labels = spark.createDataFrame(
+        [(i, int(i % 7 != 0), int(i % 5 == 1)) for i in range(60)] + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for table_ in (docs, docs.filter("false")):
+        frame = table_
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            schema = frame.schema
+            if name == "quality":
+                continue  # the texts of this table do not differ in quality
+            frame = spark.createDataFrame(stage(spark, frame, str(tmp_path)).collect(), schema)
+        out = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).collect()
+        assert (len(out) > 0) == (table_ is docs)
+        if table_ is docs:
+            ids = [r.doc_id for r in frame.collect()]
+            assert 100 in ids and None in ids and 102 not in ids and ids.count(3) == 1
+            assert not {i for i in ids if i is not None and i < 60 and i % 5 == 1}
+    scored = corpus_pipeline.STAGES[1][1](spark, docs, str(tmp_path))
+    assert scored.columns == docs.columns and scored.count() <= len(rows)
