@@ -462,11 +462,10 @@ SQL: dict[str, str] = {
         FROM (
           SELECT website, many AS is_bldg FROM markets WHERE website <> 'homes.com' OR d <> 10
           QUALIFY row_number() OVER (
-            PARTITION BY website, street || n_name, b, r,
-              CASE WHEN website = 'forrent.com' THEN CASE WHEN many THEN 1000 + q % 4 ELSE 0 END
-                   WHEN website = 'rent.com' AND NOT many THEN -1 ELSE 0 END,
+            PARTITION BY website, street || n_name, r,
+              CASE WHEN website <> 'rent.com' OR many THEN b END,  -- a unit of Rent.com has no size
               CASE WHEN website = 'forrent.com' AND many THEN q END,
-              CASE WHEN website = 'homes.com' THEN q % 2 END,
+              CASE WHEN website = 'homes.com' AND b > 0 THEN q % 2 END,
               CASE WHEN website = 'homes.com' AND b > 0 THEN area END
             ORDER BY CAST(ship + CASE WHEN q % 3 = 0 THEN 1 ELSE 0 END AS DATE),
               CASE WHEN many THEN b || ' - ' || (b + 2) WHEN b = 0 THEN 'Studio' ELSE CAST(b AS VARCHAR) END,
