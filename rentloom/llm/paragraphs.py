@@ -99,12 +99,13 @@ class Words:
         return first, size, mixed(summed + size.astype(np.uint64))
 
     def pieces(self, reach: int = REACH):
-        """Runs between the smallest hashes of their neighbourhood; a line starts a run."""
+        """Runs between the smallest hashes of their neighbourhood, wherever lines end."""
         pairs = self.hash.copy()
         together = self.text[1:] == self.text[:-1]
         pairs[1:][together] = mixed(self.hash[1:] + self.hash[:-1] * np.uint64(3))[together]
-        begins = self.firsts()
         n = len(pairs)
+        begins = np.ones(n, bool)
+        begins[1:] = ~together
         lowest = np.ones(n, bool)
         for s in range(1, reach + 1):
             if s >= n:
