@@ -146,9 +146,19 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
+def versions(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, text). Rows that share a doc_id but not the text differ in version, so
+    that each text has places of its own; rows equal in both are the same places."""
+    return docs.select("doc_id", F.hash("text").alias("version"), "text")
+
+
+def _named(part: pa.RecordBatch, text: np.ndarray) -> list[pa.Array]:
+    return [part.column(c).take(pa.array(text)) for c in ("doc_id", "version")]
+
+
 def sketched_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, hash, first_char, end_char, words, bands) of every line of LINE words or
-    more; bands: a hash for each band of the line's MinHash."""
+    """(doc_id, version, line, hash, first_char, end_char, words, bands) of every line of LINE
+    words or more; bands: a hash for each band of the line's MinHash."""
 
     def run(batches):
         seeds = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
@@ -169,19 +179,21 @@ def sketched_lines(docs: DataFrame) -> DataFrame:
                     keys = mixed(keys ^ bands[:, :, r])
                 offsets = pa.array(np.arange(len(first) + 1, dtype=np.int32) * BANDS)
                 yield pa.record_batch([
-                    part.column("doc_id").take(pa.array(w.text[first])), pa.array(w.line[first]), _signed(digest),
+                    *_named(part, w.text[first]), pa.array(w.line[first]), _signed(digest),
                     pa.array(w.start[first]), pa.array(w.end[first + size - 1]), pa.array(size),
                     pa.ListArray.from_arrays(offsets, _signed(keys.ravel())),
-                ], ["doc_id", "line", "hash", "first_char", "end_char", "words", "bands"])
+                ], ["doc_id", "version", "line", "hash", "first_char", "end_char", "words", "bands"])
 
     return common.mapped(
-        docs, run, "doc_id long, line long, hash long, first_char long, end_char long, words long, bands array<long>")
+        versions(docs), run,
+        "doc_id long, version int, line long, hash long, first_char long, end_char long, words long, bands array<long>")
 
 
 def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(hash, shingles): distinct shingle hashes, sorted, of the lines (doc_id, line) wanted."""
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    joined = docs.join(by_doc, "doc_id").select("doc_id", "text", "lines")
+    """(hash, shingles): distinct shingle hashes, sorted, of the lines (doc_id, version, line)
+    wanted."""
+    by_doc = wanted.groupBy("doc_id", "version").agg(F.collect_set("line").alias("lines"))
+    joined = versions(docs).join(by_doc, ["doc_id", "version"]).select("text", "lines")
 
     def run(batches):
         for batch in batches:
@@ -214,10 +226,10 @@ def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) ->
     """(a, b): hashes that connect the same lines as all similar pairs do; of what is connected
     in a group of colliding lines each is named with the first one, never all pairs."""
     distinct = lines.groupBy("hash").agg(
-        F.min(F.struct("doc_id", "line")).alias("place"), F.first("bands").alias("bands"))
+        F.min(F.struct("doc_id", "version", "line")).alias("place"), F.first("bands").alias("bands"))
     members = distinct.select("hash", "place", F.explode("bands").alias("key"))
     cells = common.settled(common.compared_blocks(members, "key", "hash", block))
-    wanted = cells.select("place.doc_id", "place.line").distinct()
+    wanted = cells.select("place.doc_id", "place.version", "place.line").distinct()
     full = cells.drop("place").join(sets_of_lines(docs, wanted), "hash")
 
     def run(batches):
@@ -246,24 +258,26 @@ def _places(rows: DataFrame, cluster: str, place: str) -> DataFrame:
     """Rows of clusters that stand in two places or more, with the first of them.
 
     The clusters are summed up before the shuffle and joined back by an ordinary join."""
-    summed = rows.groupBy(cluster).agg(
-        F.min(F.struct("doc_id", place)).alias("kept"), F.max(F.struct("doc_id", place)).alias("other"))
+    at = F.struct("doc_id", "version", place)
+    summed = rows.groupBy(cluster).agg(F.min(at).alias("kept"), F.max(at).alias("other"))
     return rows.join(summed.filter("kept <> other").drop("other"), cluster).withColumn(
-        "removed", ~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col(place) == F.col(f"kept.{place}"))))
+        "removed", at != F.col("kept"))
 
 
 def repeated_lines(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
-    """(doc_id, first_char, end_char, words, kept_doc_id, removed) of clustered lines."""
+    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed) of clustered lines."""
     lines = common.settled(sketched_lines(docs))
     joined = components(line_links(docs, lines, block))
     named = lines.drop("bands").join(joined.withColumnRenamed("node", "hash"), "hash", "left").withColumn(
         "cluster", F.coalesce("component", "hash"))
     return _places(named, "cluster", "line").select(
-        "doc_id", "first_char", "end_char", "words", F.col("kept.doc_id").alias("kept_doc_id"), "removed")
+        "doc_id", "version", "first_char", "end_char", "words", F.col("kept.doc_id").alias("kept_doc_id"),
+        "removed").distinct()
 
 
 def all_pieces(docs: DataFrame) -> DataFrame:
-    """(doc_id, piece, hash, first_char, end_char, words) of every text's pieces."""
+    """(doc_id, version, piece, hash, first_char, end_char, first_word, end_word) of every
+    text's pieces."""
 
     def run(batches):
         for batch in batches:
@@ -274,42 +288,51 @@ def all_pieces(docs: DataFrame) -> DataFrame:
                     continue
                 text = w.text[first]
                 number = np.arange(len(first)) - np.searchsorted(text, text)
+                word = first - np.searchsorted(w.text, text)
                 yield pa.record_batch([
-                    part.column("doc_id").take(pa.array(text)), pa.array(number.astype(np.int32)), _signed(digest),
+                    *_named(part, text), pa.array(number.astype(np.int32)), _signed(digest),
                     pa.array(w.start[first].astype(np.int32)), pa.array(w.end[first + size - 1].astype(np.int32)),
-                    pa.array(size.astype(np.int32)),
-                ], ["doc_id", "piece", "hash", "first_char", "end_char", "words"])
+                    pa.array(word.astype(np.int32)), pa.array((word + size).astype(np.int32)),
+                ], ["doc_id", "version", "piece", "hash", "first_char", "end_char", "first_word", "end_word"])
 
     return common.mapped(
-        docs, run, "doc_id long, piece int, hash long, first_char int, end_char int, words int")
+        versions(docs), run, "doc_id long, version int, piece int, hash long, first_char int, end_char int, "
+        "first_word int, end_word int")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, first_char, end_char, words, kept_doc_id, removed): runs of neighbouring
-    pieces of at least RUN words that all stand elsewhere; removed, or kept, as a whole run."""
+    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): runs of neighbouring
+    pieces of at least RUN words that all stand elsewhere; removed, or kept, as a whole run.
+    A piece of a repeated row has the rank of the same piece in the other rows."""
     places = _places(all_pieces(docs), "hash", "piece")
-    order = Window.partitionBy("doc_id", "removed").orderBy("piece")
-    runs = places.withColumn("run", F.col("piece") - F.row_number().over(order))
-    return runs.groupBy("doc_id", "removed", "run").agg(
+    order = Window.partitionBy("doc_id", "version", "removed").orderBy("piece")
+    runs = places.withColumn("run", F.col("piece") - F.dense_rank().over(order))
+    return runs.groupBy("doc_id", "version", "removed", "run").agg(
         F.min("first_char").cast("long").alias("first_char"), F.max("end_char").cast("long").alias("end_char"),
-        F.sum("words").alias("words"), F.min("kept.doc_id").alias("kept_doc_id"),
+        (F.max("end_word") - F.min("first_word")).cast("long").alias("words"),
+        F.min("kept.doc_id").alias("kept_doc_id"),
     ).filter(F.col("words") >= RUN).select(
-        "doc_id", "first_char", "end_char", "words", "kept_doc_id", "removed")
+        "doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed")
 
 
 def repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     """Passages that stand in two places or more: doc_id, kind (line or pieces), first_char,
     end_char, words, kept_doc_id (where the first place is) and removed (false for the first).
 
-    Null and empty texts have no passage; rows without a doc_id take no part. Rows that share a
-    doc_id are one document, of which equal places are the same place. Other columns are not
-    read; an empty table gives an empty result. doc_id is read as a long.
+    Null and empty texts have no passage; rows without a doc_id take no part. Rows that share
+    doc_id and text are one document, whose places come out once; texts that share a doc_id
+    only are told apart. Other columns are not read; an empty table gives an empty result.
+    doc_id is read as a long.
     """
+    return _repeats(docs, block).drop("version")
+
+
+def _repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = repeated_lines(named, block).withColumn("kind", F.lit("line"))
     pieces = repeated_runs(named).withColumn("kind", F.lit("pieces"))
     return lines.unionByName(pieces).select(
-        "doc_id", "kind", "first_char", "end_char", "words", "kept_doc_id", "removed")
+        "doc_id", "version", "kind", "first_char", "end_char", "words", "kept_doc_id", "removed")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -327,9 +350,11 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the removed passages cut out of their texts; all rows and columns stay."""
-    spans = common.settled(repeats(docs)).filter("removed").groupBy("doc_id").agg(
-        F.collect_list(F.struct("first_char", "end_char")).alias("_spans")).withColumnRenamed("doc_id", "_doc_id")
-    joined = docs.join(spans, F.col("doc_id") == F.col("_doc_id"), "left").drop("_doc_id")
+    spans = common.settled(_repeats(docs)).filter("removed").groupBy(
+        F.col("doc_id").alias("_doc_id"), F.col("version").alias("_version"),
+    ).agg(F.collect_list(F.struct("first_char", "end_char")).alias("_spans"))
+    same = (F.col("doc_id") == F.col("_doc_id")) & (F.hash("text") == F.col("_version"))
+    joined = docs.join(spans, same, "left").drop("_doc_id", "_version")
     names = docs.columns
 
     def run(batches):

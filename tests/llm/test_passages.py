@@ -26,3 +26,21 @@ def test_line_ends_do_not_move_the_borders_of_pieces(spark):
         rows.append((2 * k + 1, wrapped(prose(rng, 81) + passage + prose(rng, 84), 12 + k % 4)))
     told = {r.doc_id for r in par.repeated_runs(frame(spark, rows)).collect() if r.removed}
     assert len(told) >= 38 and all(i % 2 for i in told)
+
+
+def test_repeated_rows_lose_their_passages_like_single_ones(spark):
+    rng, rows, clean = random.Random(4), [], " ".join(prose(random.Random(5), 90))
+    for k in range(20):
+        passage = prose(rng, 60)
+        rows.append((2 * k, " ".join(prose(rng, 80) + passage + prose(rng, 80))))
+        rows += [(2 * k + 1, " ".join(prose(rng, 81) + passage + prose(rng, 84)))] * (2 + k % 2)
+    rows.append((1, clean))  # another text of a doc_id whose other text is cut
+    df = frame(spark, rows)
+    found = [r for r in par.repeats(df).collect() if r.removed]
+    alone = [r for r in par.repeats(frame(spark, sorted(set(rows)))).collect() if r.removed]
+    assert sorted(found) == sorted(alone) and {r.doc_id for r in found} == set(range(1, 40, 2))
+    texts = dict(r for r in rows if r[1] != clean)
+    assert all(r.words == len(texts[r.doc_id][r.first_char: r.end_char].split()) for r in found)
+    out = [tuple(r) for r in par.without_repeats(df).collect()]
+    assert len(out) == len(rows) and (1, clean) in out
+    assert len(set(out)) == len(set(rows)) and not {t for i, t in out if i % 2} & set(texts.values())
