@@ -119,6 +119,21 @@ class Words:
         last = np.maximum.accumulate(np.where(begins, at, 0)) if n else at
         return self.runs(begins | ((at - last) % LONGEST == 0))
 
+    def passages(self, least: int = RUN):
+        """First and last piece and hash of the shortest runs of pieces of one text that have
+        at least `least` words, one from each piece on; and the pieces' first word and words."""
+        first, size, digest = self.pieces()
+        text, ends = self.text[first], first + size
+        last = np.searchsorted(ends, first + least)
+        whole = last < len(first)
+        whole[whole] = text[last[whole]] == text[whole]
+        begin, last = np.flatnonzero(whole), last[whole]
+        joined = mixed(digest[begin])
+        for step in range(1, int((last - begin).max(initial=0)) + 1):
+            more = begin + step <= last
+            joined[more] = mixed(joined[more] * np.uint64(0x9E3779B97F4A7C15) + digest[begin[more] + step])
+        return begin, last, joined, first, size
+
     def shingles(self, first: np.ndarray, size: np.ndarray, words: int = WORDS):
         """Hashes of the shingles of runs of at least `words` words: flat, and sizes."""
         n = len(self.hash) - words + 1
@@ -254,13 +269,14 @@ def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) ->
     return common.mapped(common.sorted_cells(full, "key"), run, "a long, b long").distinct()
 
 
-def _places(rows: DataFrame, cluster: str, place: str) -> DataFrame:
-    """Rows of clusters that stand in two places or more, with the first of them.
+def _places(rows: DataFrame, cluster: str, place: str, apart) -> DataFrame:
+    """Rows of clusters that stand in two places or more, with the first of them; apart() says
+    of kept and other, the first and last place, whether they are two.
 
     The clusters are summed up before the shuffle and joined back by an ordinary join."""
     at = F.struct("doc_id", "version", place)
     summed = rows.groupBy(cluster).agg(F.min(at).alias("kept"), F.max(at).alias("other"))
-    return rows.join(summed.filter("kept <> other").drop("other"), cluster).withColumn(
+    return rows.join(summed.filter("kept <> other"), cluster).filter(apart()).drop("other").withColumn(
         "removed", at != F.col("kept"))
 
 
@@ -270,49 +286,61 @@ def repeated_lines(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     joined = components(line_links(docs, lines, block))
     named = lines.drop("bands").join(joined.withColumnRenamed("node", "hash"), "hash", "left").withColumn(
         "cluster", F.coalesce("component", "hash"))
-    return _places(named, "cluster", "line").select(
+    return _places(named, "cluster", "line", lambda: F.lit(True)).select(
         "doc_id", "version", "first_char", "end_char", "words", F.col("kept.doc_id").alias("kept_doc_id"),
         "removed").distinct()
 
 
-def all_pieces(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, piece, hash, first_char, end_char, first_word, end_word) of every
-    text's pieces."""
+def all_passages(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, piece, pieces, hash, first_char, end_char, first_word, end_word) of the
+    runs of every text's pieces that passages() gives; piece is the first one's number."""
 
     def run(batches):
         for batch in batches:
             for part, texts in _chunks(batch):
                 w = Words(texts)
-                first, size, digest = w.pieces()
-                if len(first) == 0:
+                begin, last, digest, first, size = w.passages()
+                if len(begin) == 0:
                     continue
-                text = w.text[first]
-                number = np.arange(len(first)) - np.searchsorted(text, text)
-                word = first - np.searchsorted(w.text, text)
-                yield pa.record_batch([
-                    *_named(part, text), pa.array(number.astype(np.int32)), _signed(digest),
-                    pa.array(w.start[first].astype(np.int32)), pa.array(w.end[first + size - 1].astype(np.int32)),
-                    pa.array(word.astype(np.int32)), pa.array((word + size).astype(np.int32)),
-                ], ["doc_id", "version", "piece", "hash", "first_char", "end_char", "first_word", "end_word"])
+                text = w.text[first[begin]]
+                number = begin - np.searchsorted(w.text[first], text)
+                zero = np.searchsorted(w.text, text)
+                final = first[last] + size[last] - 1
+                places = (
+                    number, last - begin + 1, w.start[first[begin]], w.end[final], first[begin] - zero, final + 1 - zero)
+                number, pieces, *ends = [pa.array(x.astype(np.int32)) for x in places]
+                yield pa.record_batch(
+                    [*_named(part, text), number, pieces, _signed(digest), *ends],
+                    ["doc_id", "version", "piece", "pieces", "hash", "first_char", "end_char", "first_word", "end_word"])
 
     return common.mapped(
-        versions(docs), run, "doc_id long, version int, piece int, hash long, first_char int, end_char int, "
-        "first_word int, end_word int")
+        versions(docs), run, "doc_id long, version int, piece int, pieces int, hash long, first_char int, "
+        "end_char int, first_word int, end_word int")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): runs of neighbouring
-    pieces of at least RUN words that all stand elsewhere; removed, or kept, as a whole run.
-    A piece of a repeated row has the rank of the same piece in the other rows."""
-    places = _places(all_pieces(docs), "hash", "piece")
-    order = Window.partitionBy("doc_id", "version", "removed").orderBy("piece")
-    runs = places.withColumn("run", F.col("piece") - F.dense_rank().over(order))
-    return runs.groupBy("doc_id", "version", "removed", "run").agg(
+    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
+    least RUN words that stand elsewhere as a whole, joined where they follow one another
+    here and in the kept place. Places that overlap the kept one are no repeats.
+    A passage of a repeated row has the rank of the same one in the other rows."""
+    own, kept, other = ("doc_id", "version"), F.col("kept"), F.col("other")
+
+    def apart(place, kept):
+        return (place["doc_id"] != kept["doc_id"]) | (place["version"] != kept["version"]) | (
+            place["piece"] >= kept["piece"] + F.col("pieces"))
+
+    at = F.struct(*own, "piece")
+    places = _places(all_passages(docs), "hash", "piece", lambda: apart(other, kept)).filter(
+        ~F.col("removed") | apart(at, kept))
+    line = ["doc_id", "version", "removed", "kept_doc_id", "kept_version", "ahead"]
+    runs = places.withColumns({
+        "kept_doc_id": kept["doc_id"], "kept_version": kept["version"], "ahead": F.col("piece") - kept["piece"],
+    })
+    runs = runs.withColumn("run", F.col("piece") - F.dense_rank().over(Window.partitionBy(*line).orderBy("piece")))
+    return runs.groupBy(*line, "run").agg(
         F.min("first_char").cast("long").alias("first_char"), F.max("end_char").cast("long").alias("end_char"),
         (F.max("end_word") - F.min("first_word")).cast("long").alias("words"),
-        F.min("kept.doc_id").alias("kept_doc_id"),
-    ).filter(F.col("words") >= RUN).select(
-        "doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed")
+    ).select("doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed")
 
 
 def repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:

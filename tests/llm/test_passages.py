@@ -44,3 +44,30 @@ def test_repeated_rows_lose_their_passages_like_single_ones(spark):
     out = [tuple(r) for r in par.without_repeats(df).collect()]
     assert len(out) == len(rows) and (1, clean) in out
     assert len(set(out)) == len(set(rows)) and not {t for i, t in out if i % 2} & set(texts.values())
+
+
+def test_short_lines_that_stand_apart_are_no_passage(spark):
+    """Lines of four words, each in an earlier document, in an order that none of them has."""
+    rng = random.Random(6)
+    lines = [" ".join(prose(rng, 4)) for _ in range(60)]
+    rows = [(k, "\n".join([" ".join(prose(rng, 40)), line, " ".join(prose(rng, 40))])) for k, line in enumerate(lines)]
+    rng.shuffle(lines)
+    rows.append((100, "\n".join(lines)))
+    df = frame(spark, rows)
+    assert par.repeats(df).collect() == []
+    assert sorted(map(tuple, par.without_repeats(df).collect())) == rows
+
+
+def test_runs_from_other_documents_are_told_apart(spark):
+    """Every removed run stands, word for word, in the document that it names."""
+    rng, rows = random.Random(8), []
+    parts = [prose(rng, 50) for _ in range(12)]
+    for k, part in enumerate(parts):
+        rows.append((k, " ".join(prose(rng, 40) + part + prose(rng, 40))))
+    rows.append((100, " ".join(w for part in parts for w in part)))
+    rows.append((101, " ".join(prose(rng, 30) * 6)))  # repeats itself
+    texts = dict(rows)
+    found = par.repeats(frame(spark, rows)).filter("kind = 'pieces' and removed").collect()
+    assert {r.kept_doc_id for r in found} == {*range(12), 101}
+    for r in found:
+        assert texts[r.doc_id][r.first_char: r.end_char] in texts[r.kept_doc_id]
