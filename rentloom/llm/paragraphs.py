@@ -1,12 +1,12 @@
 """Repeated passages, by MinHash bands over paragraphs and by pieces that fit anywhere.
 
-A paragraph is a line. Lines are sketched by MinHash over shingles of five words; lines that
+A paragraph is a line, or neighbouring lines that are hard-wrapped (their lines are then
+paragraphs too). Paragraphs are sketched by MinHash over shingles of five words; those that
 collide in a band are joined, compared by their exact Jaccard similarity, and clustered by
 connected components. A passage may also stand inside longer lines or run over line ends, so
 every text is cut as well into pieces whose borders depend only on the words near them: equal
-passages fall into equal pieces wherever they stand. For pieces of a dozen words a similarity
-of 0.8 means equality, so their band is the whole piece. Of each cluster the first place
-(by doc_id, then position) stays.
+passages fall into equal pieces wherever they stand, and runs of pieces meet by the hash of
+the whole run. Of each cluster the first place (by doc_id, then position) stays.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ from rentloom.llm.simhash import cell_pairs, forest
 WORDS, LIKE = 5, 0.8
 #: Bands and rows of a band: a pair at LIKE collides with 1 - (1 - LIKE**ROWS)**BANDS = 99.8 %.
 BANDS, ROWS = 6, 2
-#: Least words of a line, and of a run of pieces, that is removed.
-LINE, RUN = 25, 20
+#: Least words of a paragraph, and of a run of pieces, that is removed. Shorter lines are
+#: headings and other phrases that documents share and keep.
+LINE, RUN = 10, 20
+#: Most characters of a hard-wrapped line.
+WIDE = 200
 #: A piece starts at a word whose hash is the smallest among so many to either side.
 REACH = 4
 #: Most words of a piece.
@@ -98,6 +101,31 @@ class Words:
         summed = np.add.reduceat(mixed(self.hash + place * np.uint64(0x9E3779B97F4A7C15)), first)
         return first, size, mixed(summed + size.astype(np.uint64))
 
+    def paragraphs(self, wide: int = WIDE):
+        """First word, number of words, hash, number and owner of the lines and of the
+        paragraphs that hard-wrapped lines form.
+
+        Neighbours without a blank line between them, of at most `wide` characters, are
+        wrapped alike; a line goes on in the next one unless it has less than half of the
+        longest one's characters. Numbers of lines are odd, those of paragraphs even and
+        before their lines'; the owner is the first line of the paragraph around."""
+        first, size, digest = self.runs(self.firsts())
+        n = len(first)
+        if n == 0:
+            return first, first, digest, first, first
+        text, line = self.text[first], self.line[first]
+        width = self.end[first + size - 1] - self.start[first]
+        near = (text[1:] == text[:-1]) & (line[1:] == line[:-1] + 1) & (np.maximum(width[1:], width[:-1]) <= wide)
+        run = np.flatnonzero(np.append(True, ~near))
+        widest = np.repeat(np.maximum.reduceat(width, run), np.diff(np.append(run, n)))
+        head = np.flatnonzero(np.append(True, ~(near & (2 * width >= widest)[:-1])))
+        count = np.diff(np.append(head, n))
+        owner = np.repeat(line[head], count)
+        begins = np.zeros(len(self.hash), bool)
+        begins[first[head]] = True
+        joined = [x[count > 1] for x in (*self.runs(begins), 2 * line[head], line[head])]
+        return [np.concatenate(x) for x in zip((first, size, digest, 2 * line + 1, owner), joined)]
+
     def pieces(self, reach: int = REACH):
         """Runs between the smallest hashes of their neighbourhood, wherever lines end."""
         pairs = self.hash.copy()
@@ -172,17 +200,18 @@ def _named(part: pa.RecordBatch, text: np.ndarray) -> list[pa.Array]:
 
 
 def sketched_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, line, hash, first_char, end_char, words, bands) of every line of LINE
-    words or more; bands: a hash for each band of the line's MinHash."""
+    """(doc_id, version, line, owner, hash, first_char, end_char, words, bands) of every
+    paragraph of LINE words or more; line and owner: its number and owner as paragraphs()
+    gives them; bands: a hash for each band of its MinHash."""
 
     def run(batches):
         seeds = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
         for batch in batches:
             for part, texts in _chunks(batch):
                 w = Words(texts)
-                first, size, digest = w.runs(w.firsts())
-                keep = size >= LINE
-                first, size, digest = first[keep], size[keep], digest[keep]
+                found = w.paragraphs()
+                keep = found[1] >= LINE
+                first, size, digest, number, owner = [x[keep] for x in found]
                 if len(first) == 0:
                     continue
                 flat, count = w.shingles(first, size)
@@ -194,19 +223,20 @@ def sketched_lines(docs: DataFrame) -> DataFrame:
                     keys = mixed(keys ^ bands[:, :, r])
                 offsets = pa.array(np.arange(len(first) + 1, dtype=np.int32) * BANDS)
                 yield pa.record_batch([
-                    *_named(part, w.text[first]), pa.array(w.line[first]), _signed(digest),
+                    *_named(part, w.text[first]), pa.array(number), pa.array(owner), _signed(digest),
                     pa.array(w.start[first]), pa.array(w.end[first + size - 1]), pa.array(size),
                     pa.ListArray.from_arrays(offsets, _signed(keys.ravel())),
-                ], ["doc_id", "version", "line", "hash", "first_char", "end_char", "words", "bands"])
+                ], ["doc_id", "version", "line", "owner", "hash", "first_char", "end_char", "words", "bands"])
 
     return common.mapped(
         versions(docs), run,
-        "doc_id long, version int, line long, hash long, first_char long, end_char long, words long, bands array<long>")
+        "doc_id long, version int, line long, owner long, hash long, first_char long, end_char long, words long, "
+        "bands array<long>")
 
 
 def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(hash, shingles): distinct shingle hashes, sorted, of the lines (doc_id, version, line)
-    wanted."""
+    """(hash, shingles): distinct shingle hashes, sorted, of the paragraphs (doc_id,
+    version, line) wanted."""
     by_doc = wanted.groupBy("doc_id", "version").agg(F.collect_set("line").alias("lines"))
     joined = versions(docs).join(by_doc, ["doc_id", "version"]).select("text", "lines")
 
@@ -214,9 +244,9 @@ def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for part, texts in _chunks(batch):
                 w = Words(texts)
-                first, size, digest = w.runs(w.firsts())
+                first, size, digest, number, _ = w.paragraphs()
                 asked = [set(x) for x in part.column("lines").to_pylist()]
-                keep = np.array([line in asked[t] for t, line in zip(w.text[first].tolist(), w.line[first].tolist())], bool) & (size >= LINE)
+                keep = np.array([line in asked[t] for t, line in zip(w.text[first].tolist(), number.tolist())], bool)
                 first, size, digest = first[keep], size[keep], digest[keep]
                 flat, count = w.shingles(first, size)
                 sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])] if len(first) else []
@@ -269,24 +299,33 @@ def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) ->
     return common.mapped(common.sorted_cells(full, "key"), run, "a long, b long").distinct()
 
 
-def _places(rows: DataFrame, cluster: str, place: str, apart) -> DataFrame:
+def _places(rows: DataFrame, cluster: str, place: list[str], apart) -> DataFrame:
     """Rows of clusters that stand in two places or more, with the first of them; apart() says
     of kept and other, the first and last place, whether they are two.
 
     The clusters are summed up before the shuffle and joined back by an ordinary join."""
-    at = F.struct("doc_id", "version", place)
+    at = F.struct("doc_id", "version", *place)
     summed = rows.groupBy(cluster).agg(F.min(at).alias("kept"), F.max(at).alias("other"))
     return rows.join(summed.filter("kept <> other"), cluster).filter(apart()).drop("other").withColumn(
         "removed", at != F.col("kept"))
 
 
 def repeated_lines(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
-    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed) of clustered lines."""
+    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed) of clustered
+    paragraphs. A paragraph that is kept and a line of its own are one place, not two."""
     lines = common.settled(sketched_lines(docs))
     joined = components(line_links(docs, lines, block))
     named = lines.drop("bands").join(joined.withColumnRenamed("node", "hash"), "hash", "left").withColumn(
         "cluster", F.coalesce("component", "hash"))
-    return _places(named, "cluster", "line", lambda: F.lit(True)).select(
+    kept, other = F.col("kept"), F.col("other")
+
+    def apart(place):
+        within = [place[c] == kept[c] for c in ("doc_id", "version", "owner")]
+        return ~(within[0] & within[1] & within[2] & (kept["line"] % 2 == 0))
+
+    at = F.struct("doc_id", "version", "line", "owner")
+    places = _places(named, "cluster", ["line", "owner"], lambda: apart(other)).filter(~F.col("removed") | apart(at))
+    return places.select(
         "doc_id", "version", "first_char", "end_char", "words", F.col("kept.doc_id").alias("kept_doc_id"),
         "removed").distinct()
 
@@ -330,7 +369,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
             place["piece"] >= kept["piece"] + F.col("pieces"))
 
     at = F.struct(*own, "piece")
-    places = _places(all_passages(docs), "hash", "piece", lambda: apart(other, kept)).filter(
+    places = _places(all_passages(docs), "hash", ["piece"], lambda: apart(other, kept)).filter(
         ~F.col("removed") | apart(at, kept))
     line = ["doc_id", "version", "removed", "kept_doc_id", "kept_version", "ahead"]
     runs = places.withColumns({

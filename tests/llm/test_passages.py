@@ -71,3 +71,49 @@ def test_runs_from_other_documents_are_told_apart(spark):
     assert {r.kept_doc_id for r in found} == {*range(12), 101}
     for r in found:
         assert texts[r.doc_id][r.first_char: r.end_char] in texts[r.kept_doc_id]
+
+
+def changed(words, at):
+    return [w if i != at else "other" for i, w in enumerate(words)]
+
+
+def test_short_paragraphs_are_clustered(spark):
+    """Exact copies of 10 to 19 words and near copies of 24, each a line among others."""
+    rng, rows = random.Random(9), []
+    for k in range(30):
+        short, longer = prose(rng, 10 + k % 10), prose(rng, 24)
+        for i, words in ((2 * k, longer), (2 * k + 1, changed(longer, 0))):
+            rows.append((i, "\n".join(" ".join(x) for x in (prose(rng, 40), short, prose(rng, 40), words, prose(rng, 40)))))
+    texts = dict(rows)
+    found = par.repeats(frame(spark, rows)).filter("kind = 'line'").collect()
+    told = {(r.doc_id, r.words) for r in found if r.removed}
+    assert told >= {(2 * k + 1, 10 + k % 10) for k in range(30)}
+    assert sum((2 * k + 1, 24) in told for k in range(30)) >= 28
+    assert {r.doc_id % 2 for r in found if r.removed} == {1} and all("\n" not in texts[r.doc_id][r.first_char: r.end_char] for r in found)
+
+
+def test_wrapped_paragraphs_are_joined(spark):
+    """Near copies that are wrapped otherwise, with a word changed in every piece's reach."""
+    rng, rows = random.Random(10), []
+    for k in range(30):
+        words = prose(rng, 200)
+        other = words
+        for at in (20, 65, 110, 155, 195)[: 3 + k % 2]:
+            other = changed(other, at)
+        blocks = [[prose(rng, 50), w, prose(rng, 50)] for w in (words, other)]
+        rows.append((2 * k, "\n\n".join(wrapped(b, 12) for b in blocks[0])))
+        rows.append((2 * k + 1, "\n\n".join(wrapped(b, 13 + k % 3) for b in blocks[1])))
+    found = par.repeated_lines(frame(spark, rows)).collect()
+    assert sum((2 * k + 1, 200) in {(r.doc_id, r.words) for r in found if r.removed} for k in range(30)) >= 28
+    assert {r.doc_id % 2 for r in found if r.removed} == {1}
+
+
+def test_a_wrapped_paragraph_and_its_line_are_no_repeat(spark):
+    rng = random.Random(11)
+    text = " ".join(prose(rng, 30)) + "\nend"
+    assert par.repeated_lines(frame(spark, [(1, text), (1, text)])).collect() == []
+    found = par.repeated_lines(frame(spark, [(1, text), (2, text)])).collect()
+    assert {(r.doc_id, r.removed, r.kept_doc_id) for r in found} == {(1, False, 1), (2, True, 1)}
+    verse = " ".join(prose(rng, 12))
+    found = par.repeated_lines(frame(spark, [(1, "\n".join([verse, " ".join(prose(rng, 12)), verse]))])).collect()
+    assert [(r.removed, r.words) for r in sorted(found, key=lambda r: r.first_char)] == [(False, 12), (True, 12)]
