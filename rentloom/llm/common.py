@@ -5,7 +5,6 @@ from __future__ import annotations
 import functools
 import shutil
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentloom.session import deleted_at_exit, shared_folder
+
 #: Most members of a group that one task compares with one another; larger groups are
 #: compared block against block, each pair of blocks in a task of its own.
 BLOCK = 2000
@@ -25,22 +26,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. One of its own is named only where the
-    setting is missing and the session is local, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_folder()
-
-
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="rentloom-")
-
-
 def settled(df: DataFrame) -> DataFrame:
     """Rows written to the shared folder, so that lost executors cost nothing done before.
     Spark deletes them with the frame where its cleaner is set to."""
@@ -50,11 +35,18 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> str:
+    """Where df is written as Parquet: a folder below the shared one, deleted when the process
+    ends or earlier by session.delete_folder."""
+    path = f"{shared_folder(df.sparkSession)}-{name}"
+    deleted_at_exit(df.sparkSession, path)
+    df.write.parquet(path)
+    return path
+
+
 def landed(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet below the shared folder and read again."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(written(df, name))
 
 
 @functools.cache
@@ -67,6 +59,11 @@ def _sent(application: str, context) -> tempfile.TemporaryDirectory:
     return folder
 
 
+def prepared(spark: SparkSession) -> None:
+    """Sees to it that workers find this package."""
+    _sent(spark.sparkContext.applicationId, spark.sparkContext)
+
+
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with this package at hand on the workers.
 
@@ -74,7 +71,7 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     batch, it is set to ROWS: a batch is held by the executor and by its worker at once.
     """
     spark = df.sparkSession
-    _sent(spark.sparkContext.applicationId, spark.sparkContext)
+    prepared(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     return df.mapInArrow(run, schema)

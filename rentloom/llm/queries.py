@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentloom.llm import bpe, chat, language, packing, paragraphs, quality, simhash, topk, toxicity, winnow
+from rentloom.llm import (
+    bpe, chat, codes, divergence, idfiles, language, packing, paragraphs, quality, simhash, topk, toxicity, winnow,
+)
 from rentloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +90,21 @@ def op8_repeats(spark, folder):
     return paragraphs.repeats(table(spark, folder, "documents"))
 
 
+@query
+def op11_id_files(spark, folder):
+    return idfiles.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_vector_codes(spark, folder):
+    return codes.compressed(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 def _broken(text: str) -> str:
     """SQL for a text with its control strings broken up."""
     out = f"replace({text}, '\\', '\\\\')"
@@ -133,3 +150,83 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+def _steps() -> str:
+    """SQL for the rounds of assignment and update, one after another."""
+    out = []
+    for r in range(codes.ROUNDS + 1):
+        out.append(f"""
+assigned{r} AS (
+  SELECT p.row, p.part, min({{'error': d.error, 'entry': d.entry}}) AS nearest
+  FROM parts p, LATERAL (
+    SELECT b.entry, CAST(list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i]))) AS BIGINT) AS error
+    FROM book{r} b WHERE b.part = p.part) d
+  GROUP BY p.row, p.part)""")
+        if r < codes.ROUNDS:
+            out.append(f"""
+sums{r} AS (
+  SELECT a.part, a.nearest.entry AS entry, u.i, CAST(sum(p.v[u.i]) AS HUGEINT) AS total, count(*) AS n
+  FROM assigned{r} a JOIN parts p ON p.row = a.row AND p.part = a.part, LATERAL (SELECT unnest(range(1, len(p.v) + 1)) AS i) u
+  GROUP BY ALL),
+means{r} AS (
+  SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+  FROM sums{r} GROUP BY part, entry),
+book{r + 1} AS (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+  FROM book{r} b LEFT JOIN means{r} m ON m.part = b.part AND m.entry = b.entry)""")
+    return ",".join(out)
+
+
+SQL["op12_vector_codes"] = f"""
+WITH whole AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+parts AS (
+  SELECT row, p.part, v[p.part * (len(v) // {codes.PARTS}) + 1 : (p.part + 1) * (len(v) // {codes.PARTS})] AS v
+  FROM whole, (SELECT unnest(range({codes.PARTS})) AS part) p),
+book0 AS (SELECT part, row - 1 AS entry, v FROM parts WHERE row <= {codes.ENTRIES}),{_steps()},
+coded AS (
+  SELECT row, string_agg(printf('%02x', nearest.entry), '' ORDER BY part) AS code, CAST(sum(nearest.error) AS BIGINT) AS error
+  FROM assigned{codes.ROUNDS} GROUP BY row),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{codes.ROUNDS})
+SELECT w.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY w.label) AS BIGINT) AS label_error, d.codebooks_sha256
+FROM whole w JOIN coded c USING (row), digest d"""
+
+SQL["op13_divergence"] = f"""
+WITH named AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM named),
+found AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM named),
+held AS (SELECT row, lang, source, term, count(*) AS n FROM found GROUP BY ALL),
+vocabulary AS (
+  SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM held GROUP BY lang, term HAVING count(*) >= {divergence.LEAST}),
+langs AS (
+  SELECT g.lang, count(v.term) AS kinds, coalesce(sum(v.n), 0) AS total
+  FROM (SELECT DISTINCT lang FROM groups) g LEFT JOIN vocabulary v USING (lang) GROUP BY g.lang),
+counts AS (
+  SELECT g.lang, g.source, v.term, coalesce(sum(h.n), 0) AS n
+  FROM groups g JOIN vocabulary v USING (lang) LEFT JOIN held h USING (lang, source, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT c.lang, c.source, c.term, c.n,
+    1 + CAST({divergence.SCALE} AS HUGEINT) * (c.n + {divergence.PLUS}) // (t.total + {divergence.PLUS} * l.kinds) AS p,
+    1 + CAST({divergence.SCALE} AS HUGEINT) * (v.n + {divergence.PLUS}) // (l.total + {divergence.PLUS} * l.kinds) AS q
+  FROM counts c JOIN totals t USING (lang, source) JOIN langs l USING (lang) JOIN vocabulary v USING (lang, term)),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) d
+  ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}"""
