@@ -38,10 +38,14 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="rentloom-")
     path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-    atexit.register(_delete_quietly, spark, path)
+    deleted_at_exit(spark, path)
     return path
 
 
+def deleted_at_exit(spark: SparkSession, path: str) -> None:
+    atexit.register(_delete_quietly, spark, path)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of shared_folder, wherever it is stored."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
