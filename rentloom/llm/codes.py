@@ -93,7 +93,8 @@ def measured(x: np.ndarray, book: np.ndarray, b: int) -> Nearest:
 def followed(x: np.ndarray, book: np.ndarray, drift: np.ndarray, old: Nearest) -> Nearest:
     """Nearest entries after entries moved by at most drift each."""
     n, b = old.near.shape
-    error = squares(x, book[old.own])
+    kind = object if max(np.abs(a).max(initial=0) for a in (x, book)) >= SMALL else np.int64
+    error = squares(x, book[old.own]).astype(kind)
     reach = above(roots(error))
     outer = below(old.outer - drift.max(initial=0))
     low = below(old.low - drift[old.near])
@@ -105,7 +106,7 @@ def followed(x: np.ndarray, book: np.ndarray, drift: np.ndarray, old: Nearest) -
     if len(at):
         asked = np.column_stack((np.ones(len(at), bool), np.arange(b) < depth[at, None]))
         known = np.column_stack((old.own[at], old.near[at])).astype(np.int64)
-        distance = np.zeros(known.shape, object if error.dtype == object else np.int64)
+        distance = np.zeros(known.shape, kind)
         distance[:, 0] = error[at]
         for z in range(1, b + 1):
             rows = np.flatnonzero(asked[:, z])
@@ -127,7 +128,6 @@ def followed(x: np.ndarray, book: np.ndarray, drift: np.ndarray, old: Nearest) -
         again = measured(x[lost], book, b)
         for name in ("own", "near", "low", "outer", "depth"):
             getattr(out, name)[lost] = getattr(again, name)
-        out.error = out.error.astype(again.error.dtype) if again.error.dtype == object else out.error
         out.error[lost] = again.error
     return out
 

@@ -175,14 +175,14 @@ def _partial(cell: pa.Table) -> pa.Table:
     own = groups["own"].to_numpy()
     block_a, block_b = cell["block_a"][0].as_py(), cell["block_b"][0].as_py()
     lacking = groups["terms"][0].as_py() - len(terms.dictionary)
-    left, right, value = [], [], []
+    left, right, value = ([np.empty(0, np.int64)] for _ in range(3))  # a block can be empty
     last = np.flatnonzero(own == block_b)
     for a in np.flatnonzero(own == block_a).tolist():
         others = last[last > a] if block_a == block_b else last
         left.append(np.full(len(others), a))
         right.append(others)
         value.append(np.abs(shares[others] - shares[a]).sum(axis=1) + lacking * np.abs(base[others] - base[a]))
-    left, right, value = (np.concatenate(x).astype(np.int64) for x in (left, right, value))
+    left, right, value = map(np.concatenate, (left, right, value))
     return pa.table({
         "lang": pa.array([cell["lang"][0].as_py()] * len(left), pa.string()),
         "a": names.take(pa.array(left)), "b": names.take(pa.array(right)), "value": value})
