@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
@@ -34,25 +34,30 @@ def broadcast_if_small(
     return F.broadcast(df) if size.n <= max_rows and (size.bytes or 0) <= max_bytes else df
 
 
-def refuse_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """df, unless a key stands in two rows, which would multiply the rows that look it up."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"the look-up has a key twice: {[repeated[0][k] for k in keys]}")
-    return df
+def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df, whose plan fails where a key (a missing one counts) stands in two rows, as such a key
+    would multiply the rows that look it up.
+
+    Nothing runs while the plan is built: rows are counted per key where they are used, with
+    the partitioning and order that a shuffle join on these keys needs anyway.
+    """
+    times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    message = F.concat(F.lit("the look-up has a key twice: "), F.to_json(F.struct(*keys)))
+    counted = df.withColumn("_times", times)
+    return counted.where(F.assert_true(F.col("_times") <= 1, message).isNull()).drop("_times")
 
 
 def natural_left(left: DataFrame, right: DataFrame, unique: bool = False) -> DataFrame:
     """Left join on every column name the two tables share.
 
-    With `unique` a right table that holds a key twice is refused, which takes one small
-    aggregate; without it such a key multiplies rows, as in any join.
+    With `unique` the plan fails where the right table holds a key twice (`unique_keys`);
+    without it such a key multiplies rows, as in any join.
     """
     common = [c for c in left.columns if c in right.columns]
     if not common:
         raise ValueError("natural join of tables without a common column")
     if unique:
-        refuse_repeated(right, common)
+        right = unique_keys(right, common)
     return left.join(right, common, "left").select(
         *left.columns, *[c for c in right.columns if c not in common]
     )

@@ -48,8 +48,35 @@ def deleted_at_exit(spark: SparkSession, path: str) -> None:
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of shared_folder, wherever it is stored."""
+    where, system = stored(spark, path)
+    system.delete(where, True)
+
+
+def stored(spark: SparkSession, path: str):
+    """A path and the file system it lies on."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where, system = stored(spark, path)
+    return system.exists(where)
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    where, system = stored(spark, path)
+    if not system.rename(where, stored(spark, to)[0]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def whole_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders below path that a job wrote to the end, in the order of their names."""
+    where, system = stored(spark, path)
+    if not system.exists(where):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    found = [str(f.getPath().toString()) for f in system.listStatus(where) if f.isDirectory()]
+    return sorted(f for f in found if system.exists(done(f"{f}/_SUCCESS")))
 
 
 def _delete_quietly(spark: SparkSession, path: str) -> None:

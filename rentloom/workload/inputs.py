@@ -336,7 +336,8 @@ def street_of(c: Column) -> Column:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Prose with an address and a nine-digit ZIP somewhere in it, in part twice."""
+    """Prose with an address and a nine-digit ZIP somewhere in it, in part twice. Some texts name no
+    address, so that just the fields tell it; some fields name no city."""
     customer = parquet_table(spark, folder, "customer").join(
         parquet_table(spark, folder, "nation"), col("c_nationkey") == col("n_nationkey"))
     c = col("c_custkey")
@@ -349,16 +350,23 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
         text("Cosy rooms. Visit ", street, " today.\n", opening, city_of(col("n_name")), ", WA ", zip9, " thanks"))
     rows = customer.select(
         street.alias("address1"), F.lit(None).cast("string").alias("neigh1"),
-        city_of(col("n_name")).alias("city1"), F.lit("WA").alias("region1"),
+        F.when(c % 7 != 3, city_of(col("n_name"))).alias("city1"), F.lit("WA").alias("region1"),
         text("https://maps.example.org/maps/search/", c % 50, ".5,-120.25").alias("google_maps_url"),
         body.alias("listing_text"))
     return rows.union(rows.where(col("google_maps_url").contains("/7.5")))
 
 
 def parsed_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer's address with a point; some streets once more under another ZIP, at the
+    place of the map link."""
     customer = parquet_table(spark, folder, "customer").join(
         parquet_table(spark, folder, "nation"), col("c_nationkey") == col("n_nationkey"))
     c = col("c_custkey")
-    return customer.select(
-        text(street_of(c), " ", city_of(col("n_name")), ", WA ", c % 89999 + 10000).alias("temp_add"),
-        (c * 0.5).alias("lng"), (c * 0.25).alias("lat"))
+
+    def row(zip_, lng, lat):
+        return F.struct(
+            text(street_of(c), " ", city_of(col("n_name")), ", WA ", zip_).alias("temp_add"), lng.alias("lng"), lat.alias("lat"))
+
+    first = row(c % 89999 + 10000, c * 0.5, c * 0.25)
+    twin = row(c % 89999 + 10001, F.lit(-120.25), (c % 50) + 0.5)
+    return customer.select(F.inline(F.when(c % 4 == 0, F.array(first, twin)).otherwise(F.array(first))))

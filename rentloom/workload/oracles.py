@@ -309,17 +309,18 @@ post_place AS (
   SELECT c_custkey, c_mktsegment <> 'BUILDING' AS known,
          (c_custkey + 1) || CASE c_custkey % 5 WHEN 0 THEN ' Martin Luther King Junior Memorial Way S'
                                  WHEN 1 THEN ' 9th Ave NE' ELSE ' Main St' END AS address1,
-         translate(n_name, '_0123456789', ' ABCDEFGHIJ') AS city1,
+         translate(n_name, '_0123456789', ' ABCDEFGHIJ') AS town,
          CAST(c_custkey % 89999 + 10000 AS VARCHAR) AS zip,
          CASE c_custkey % 3 WHEN 0 THEN 'Mail: ' WHEN 1 THEN 'Sunny home in '
               ELSE 'Located near Green Lake. ' END AS opening
   FROM customer JOIN nation ON c_nationkey = n_nationkey
 ),
 post_text AS (
-  SELECT c_custkey, address1, CAST(NULL AS VARCHAR) AS neigh1, city1, 'WA' AS region1, known, zip,
+  SELECT c_custkey, address1, CAST(NULL AS VARCHAR) AS neigh1, town,
+         CASE WHEN c_custkey % 7 <> 3 THEN town END AS city1, 'WA' AS region1, known, zip,
          'https://maps.example.org/maps/search/' || c_custkey % 50 || '.5,-120.25' AS google_maps_url,
          CASE WHEN known THEN 'Cosy rooms. Visit ' || address1 || ' today.' || chr(10) || opening
-                   || city1 || ', WA ' || zip || '-1234 thanks'
+                   || town || ', WA ' || zip || '-1234 thanks'
               ELSE 'Call us for the address.' END AS listing_text
   FROM post_place
 )"""
@@ -515,6 +516,11 @@ SQL: dict[str, str] = {
                CASE WHEN d > 0 THEN -125 + 10 * (k % 5) + (l_partkey * 7 % 997) / 100.0::DOUBLE + 0.003::DOUBLE END AS "X",
                CASE WHEN d > 0 THEN 25 + 5 * (k // 5) + (l_partkey * 13 % 499) / 100.0::DOUBLE + 0.001::DOUBLE END AS "Y"
         FROM ads"""),
+    "provider_enrich": sql(ADS, """
+        SELECT ad, CASE WHEN d > 0 THEN l_partkey || ' bell st, ' || n_name END AS address,
+               CASE WHEN d > 0 AND n_name <> 'NATION_7' THEN l_partkey / 100.0::DOUBLE - 120 END AS "X",
+               CASE WHEN d > 0 AND n_name <> 'NATION_7' THEN CAST(l_partkey % 50 AS DOUBLE) END AS "Y"
+        FROM ads"""),
     "reverse_geocode": """
         WITH pts AS (SELECT c_custkey, c_acctbal AS x, c_custkey % 2503 * 4.0::DOUBLE AS y FROM customer),
         places AS (SELECT upper(s_name) AS name, s_acctbal AS x, s_suppkey % 101 * 97.0::DOUBLE AS y FROM supplier),
@@ -524,14 +530,17 @@ SQL: dict[str, str] = {
         best AS (SELECT c_custkey, min((dist, name)) AS m FROM pairs WHERE dist <= 900 GROUP BY c_custkey)
         SELECT pts.c_custkey, m[2] AS rev_address, round(m[1], 6) AS rev_distance
         FROM pts LEFT JOIN best USING (c_custkey)""",
+    # Where the text names no place, the fields do; the ZIP is then that of the look-up's address, of
+    # two the one at the map link.
     "geoparse": sql(POST_TEXT, """
-        SELECT address1, neigh1, city1, region1, google_maps_url, listing_text,
-               CASE WHEN known THEN address1 END AS match_address,
-               CASE WHEN known THEN city1 || ', WA ' || zip END AS match_address2,
-               CASE WHEN known THEN address1 || ' ' || city1 || ', WA ' || zip ELSE 'NA NA' END AS temp_add,
-               CASE WHEN known THEN c_custkey * 0.5::DOUBLE END AS lng,
-               CASE WHEN known THEN c_custkey * 0.25::DOUBLE END AS lat
-        FROM post_text"""),
+        SELECT address1, neigh1, city1, region1, google_maps_url, listing_text, address1 AS match_address,
+               CASE WHEN placed THEN town || ', WA ' || code END AS match_address2,
+               address1 || ' ' || CASE WHEN placed THEN town || ', WA ' || code ELSE 'NA' END AS temp_add,
+               CASE WHEN twin THEN -120.25::DOUBLE WHEN placed THEN c_custkey * 0.5::DOUBLE END AS lng,
+               CASE WHEN twin THEN c_custkey % 50 + 0.5::DOUBLE WHEN placed THEN c_custkey * 0.25::DOUBLE END AS lat
+        FROM (SELECT *, known OR city1 IS NOT NULL AS placed, NOT known AND city1 IS NOT NULL AND c_custkey % 4 = 0 AS twin,
+                     CASE WHEN NOT known AND c_custkey % 4 = 0 THEN CAST(CAST(zip AS INTEGER) + 1 AS VARCHAR) ELSE zip END AS code
+              FROM post_text)"""),
     "site_apartments": sql(ADS, COUNTY, APARTMENTS, "SELECT * FROM apartments"),
     "site_forrent": sql(ADS, MARKETS, """
         SELECT address, many AS is_bldg, CAST(b + i AS DOUBLE) AS beds,

@@ -173,8 +173,8 @@ def test_natural_left(spark):
     with pytest.raises(ValueError):
         joins.natural_left(left, right.withColumnRenamed("k", "z"))
     assert joins.natural_left(left, right, unique=True).count() == 3
-    with pytest.raises(ValueError):
-        joins.natural_left(left, right.union(right), unique=True)
+    with pytest.raises(Exception, match="twice"):
+        joins.natural_left(left, right.union(right), unique=True).collect()
 
 
 def test_null_safe_left(spark):
@@ -329,26 +329,63 @@ def test_enrich_by_three_fields(spark):
     assert got(out, "state", "X") == [("WA", 5), (None, None)]
 
 
-def test_provider_sees_each_key_once_and_is_retried(spark, tmp_path):
-    log = str(tmp_path / "calls")
-
+def logged(log):
+    """A provider that writes down what it is asked; it fails at its first call and knows no b."""
     def provider(frame):
         import os
         first = not os.path.exists(log)
         with open(log, "a") as f:
-            f.write("".join(f"{a}\n" for a in frame.address))
+            f.write("".join("failed\n" if first else f"{a}\n" for a in frame.address))
         if first:
             raise RuntimeError("first call fails")
-        return frame.assign(X=frame.address.str.len().astype("float"))
-
-    df = spark.createDataFrame([("ab",)] * 20 + [("abc",)] * 20, "address string").coalesce(1)
-    out = enrich.enrich_distinct(
-        df, ["address"], provider=provider, schema="address string, X double")
-    assert got(out.distinct(), "address", "X") == [("ab", 2.0), ("abc", 3.0)] and out.count() == 40
+        known = frame[frame.address != "b"]
+        return known.assign(X=known.address.fillna("").str.len().astype("float"))
+    return provider
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_provider_sees_each_key_once_and_is_retried(spark, tmp_path, missing):
+    log, store = tmp_path / "calls", str(tmp_path / "store")
+    keys = ["ab", "abc", "b"] + [None] * missing
+    df = spark.createDataFrame([(k,) for k in keys for _ in range(20)], "address string").coalesce(1)
+
+    def asked():
+        return sorted(line for line in log.read_text().splitlines() if line != "failed")
+
+    def enriched(rows, **more):
+        return enrich.enrich_distinct(rows, ["address"], provider=logged(str(log)), schema="address string, X double", **more)
+
+    out = enriched(df, store=store)
+    want = sorted([("ab", 2.0), ("abc", 3.0), ("b", None)] + [(None, 0.0)] * missing, key=str)
+    for _ in range(2):  # a join that runs again asks nothing
+        assert got(out.distinct(), "address", "X") == want and out.count() == 20 * len(keys)
+    assert asked() == sorted(map(str, keys))
+    more = enriched(df.union(spark.createDataFrame([("abcd",)], "address string")), store=store)
+    assert got(more.distinct(), "address", "X") == sorted([*want, ("abcd", 4.0)], key=str)
+    assert asked() == sorted([*map(str, keys), "abcd"])  # nor does a later call, not even without an answer
+    both = out.union(more)
+    assert both.count() == 40 * len(keys) + 1 and both.where("address = 'abcd' AND X = 4").count() == 1
+    assert enriched(df.limit(0), store=store).count() == 0 and asked() == sorted([*map(str, keys), "abcd"])
     with pytest.raises(ValueError):
         enrich.enrich_distinct(df, [])
 
 
+def test_a_provider_that_answers_twice_or_fails_leaves_the_store_as_it_was(spark, tmp_path):
+    store = str(tmp_path / "store")
+    df = spark.createDataFrame([("a",), ("b",)], "address string")
+    schema = "address string, X double"
+    enrich.stored_answers(df.where("address = 'a'"), lambda f: f.assign(X=1.0), schema, store)
+
+    def fails(frame):
+        raise RuntimeError("out of service")
+
+    for bad in (fails, lambda f: f.assign(X=1.0).loc[[*f.index, *f.index]]):
+        with pytest.raises(Exception, match="out of service|twice"):
+            enrich.stored_answers(df, bad, schema, store, attempts=2)
+    again = enrich.stored_answers(df, lambda f: f.assign(X=2.0), schema, store)
+    assert got(again, "address", "X") == [("a", 1.0), ("b", 2.0)]
+
+
 @pytest.mark.parametrize("crowded", [False, True])
 def test_nearest_equals_brute_force(spark, crowded):
     rng = random.Random(17)
@@ -381,8 +418,39 @@ def test_geoparse(spark):
     for fields in (["gone"], ["city1"]):
         with pytest.raises(ValueError):
             enrich.geoparse(df, "listing_text", fields, book)
-    with pytest.raises(ValueError):
-        enrich.geoparse(df, "listing_text", ["listing_text", "city1"], book.union(book))
+    with pytest.raises(Exception, match="twice"):
+        enrich.geoparse(df, "listing_text", ["listing_text", "city1"], book.union(book)).collect()
+
+
+FIELDS = ["address1", "neigh1", "city1", "region1", "google_maps_url", "listing_text"]
+
+
+@pytest.mark.parametrize("record, want", [
+    # the text tells all; fields that say otherwise count nothing
+    (("9 Elm St", None, "Tacoma", "OR", None, "12 Oak Ave. Seattle, WA 98105"), ("12 Oak Ave", "Seattle, WA 98105", 1.0)),
+    # street from the first field that has one, the rest from the text
+    (("near the park", "12 Oak Ave", "Tacoma", "WA", None, "Seattle, WA 98105-1234"), ("12 Oak Ave", "Seattle, WA 98105", 1.0)),
+    # city and region from fields, ZIP from the text or from a field
+    (("12 Oak Ave", None, " Seattle ", "WA", None, "ZIP 98105-1234"), ("12 Oak Ave", "Seattle, WA 98105", 1.0)),
+    (("12 Oak Ave", None, "Seattle", "WA", None, None), ("12 Oak Ave", "Seattle, WA 98105", 1.0)),
+    # no ZIP anywhere: of two addresses the one at the map link
+    (("12 Oak Ave", None, "Seattle", "WA", "https://m.example.org/maps/search/47.9,-122.0", "call"), ("12 Oak Ave", "Seattle, WA 98199", 2.0)),
+    (("12 Oak Ave", None, "Seattle", "WA", "https://m.example.org/maps/search/47.1,-122.0", ""), ("12 Oak Ave", "Seattle, WA 98105", 1.0)),
+    # nothing to choose from, and nothing at all
+    (("13 Oak Ave", None, "Seattle", "WA", None, "x"), ("13 Oak Ave", "Seattle, WA", None)),
+    ((None, None, "Seattle", "WA", None, "x"), (None, "Seattle, WA", None)),
+    ((None, None, "", "WA", None, None), (None, None, None)),
+])
+def test_fields_fill_in_what_the_text_lacks(spark, record, want):
+    df = spark.createDataFrame([record], ", ".join(f"{f} string" for f in FIELDS))
+    book = spark.createDataFrame(
+        [("12 Oak Ave Seattle, WA 98105", -122.0, 47.0, 1.0), ("12 Oak Ave Seattle, WA 98199", -122.0, 48.0, 2.0)],
+        "temp_add string, lng double, lat double, n double")
+    out = enrich.geoparse(df, "listing_text", FIELDS, book)
+    assert out.columns == [*FIELDS, "match_address", "match_address2", "temp_add", "lng", "lat", "n"]
+    [row] = out.collect()
+    assert (row.match_address, row.match_address2, row.n) == want
+    assert row.temp_add == f"{want[0] or 'NA'} {want[1] or 'NA'}"
 
 
 @pytest.mark.parametrize("text, street, city", [
@@ -410,8 +478,36 @@ def test_rows_without_a_key_pass_by_the_look_up(spark):
     assert out.columns == ["i", "k", "v"] and got(out, "i", "v") == [(1, None), (2, 1.5), (3, None)]
     empty = spark.createDataFrame([("a", 1.5), (None, 9.0)], "k string, v double")
     assert got(enrich.enrich_distinct(df, ["k"], empty), "i", "v") == [(1, 9.0), (2, 1.5), (3, None)]
-    with pytest.raises(ValueError):
-        enrich.enrich_distinct(df, ["k"], book.union(book))
+    for twice in (book.union(book), empty.union(empty.where("k is null"))):
+        with pytest.raises(Exception, match="twice"):
+            enrich.enrich_distinct(df, ["k"], twice).count()
+
+
+def test_nothing_runs_while_a_look_up_is_planned(spark, smallest):
+    from rentloom.workload import inputs
+
+    context = spark.sparkContext
+    rows = inputs.ads(spark, smallest).selectExpr("ad", "concat(l_partkey, ' bell st, ', n_name) AS address")
+    book = inputs.address_book(spark, smallest)
+    context.setJobGroup("planning", "planning")
+    try:
+        enrich.enrich_distinct(rows, ["address"], book, normalize=F.upper)
+        joins.natural_left(rows, book, unique=True)
+        assert list(context.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_look_up_is_read_once_and_missing_keys_are_dealt_out(spark, tmp_path):
+    spark.createDataFrame([("a", 1.5), (None, 9.0)], "k string, v double").write.parquet(str(tmp_path / "book"))
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'a' END AS k")
+    out = enrich.enrich_distinct(df, ["k"], spark.read.parquet(str(tmp_path / "book")).hint("merge"))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.split("Initial Plan")[0].count("FileScan") == 1
+    assert out.groupBy("v").count().collect().__len__() == 2
+    groups = [r.n for r in df.where("k is null").selectExpr(
+        f"pmod(xxhash64(id, k, '_match'), {enrich.SALTS}) AS s").groupBy("s").agg(F.count("*").alias("n")).collect()]
+    assert len(groups) == enrich.SALTS and max(groups) < 120
 
 
 def test_projected_rings(spark):
