@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def keep_first(
@@ -16,12 +19,14 @@ def keep_first(
     The order should name all columns by which equal-key rows differ and that matter
     later; with none given it is a hash of the whole row, which reads every column.
     Spark trims each key to one row per map task before the shuffle
-    (WindowGroupLimit), so a hot key reaches its reducer as a handful of rows.
+    (WindowGroupLimit), so a hot key reaches its reducer as a handful of rows. A hash of the
+    key stands before it, because rows are sorted by their first column's bits and compared in
+    full only where these are equal.
     """
     if not keys:
         raise ValueError("keep_first needs a key")
     by = list(order) or [F.xxhash64(*df.columns)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    rank = F.row_number().over(Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*by))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
@@ -30,3 +35,52 @@ def keep_latest(
 ) -> DataFrame:
     """Most recent row per key; rows without a date come last."""
     return keep_first(df, keys, [F.col(date).desc_nulls_last(), *order])
+
+
+class Source(NamedTuple):
+    """Rows of one table, the key they are deduplicated by, and which row of a key is first:
+    numbers and texts, ascending, missing ones first."""
+
+    rows: DataFrame
+    keys: Sequence[Column]
+    order: Sequence[Column]
+
+
+def descending_date(date: Column) -> Column:
+    """A number that puts later dates first and missing ones last."""
+    return F.coalesce(-F.unix_date(date).cast("double"), F.lit(float("inf")))
+
+
+def _is_text(kind) -> bool:
+    return isinstance(kind, StringType)
+
+
+def keep_first_stacked(sources: Mapping[str, Source], columns: Mapping[str, str], tag: str = "site") -> DataFrame:
+    """The first row per key of each table, all tables in one shuffle.
+
+    `columns` names what is kept of a row, with types; a table that lacks a column has NULL
+    there, and `tag` holds the table's name. Keys and orders may differ in number and type from
+    table to table: numbers go to number columns, texts to text columns, so that all tables
+    share one window. Numbers are compared as doubles.
+    """
+    slots: dict[str, dict[str, Column]] = {}
+    for name, source in sources.items():
+        own = slots[name] = {}
+        for part, exprs in (("k", source.keys), ("o", source.order)):
+            kinds = [f.dataType for f in source.rows.select(*[e.alias(str(i)) for i, e in enumerate(exprs)]).schema]
+            for i, (expr, kind) in enumerate(zip(exprs, kinds)):
+                # a key's place does not matter, an order's does
+                at = sum(_is_text(k) == _is_text(kind) for k in kinds[:i]) if part == "k" else i
+                own[f"_{part}{at}{'t' if _is_text(kind) else 'n'}"] = expr if _is_text(kind) else expr.cast("double")
+    used = sorted({s for own in slots.values() for s in own})
+
+    def shaped(name: str, source: Source) -> DataFrame:
+        empty = {s: F.lit(None).cast("string" if s.endswith("t") else "double") for s in used}
+        kept = [
+            (F.col(c) if c in source.rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
+        return source.rows.select(
+            F.lit(name).alias(tag), *kept, *[(empty | slots[name])[s].alias(s) for s in used])
+
+    stack = reduce(DataFrame.union, [shaped(n, s) for n, s in sources.items()])
+    keys = [tag, *[s for s in used if s.startswith("_k")]]
+    return keep_first(stack, keys, [s for s in used if s.startswith("_o")]).select(tag, *columns)

@@ -33,6 +33,17 @@ def sentinel_to_null(
     return df.withColumns({c: clean(c) for c in names})
 
 
+def inlined(df: DataFrame, kept: Sequence[str], cells: Column) -> DataFrame:
+    """One row per struct of the array `cells`, with the columns kept; none where it is empty.
+
+    The array is worked out once a row, in compiled code: a generator given an expression
+    interprets it, and one that drops empty arrays has it worked out again for a filter.
+    """
+    rows = df.select(*kept, cells.alias("_cells"))
+    return rows.select(*kept, F.posexplode_outer("_cells").alias("_at", "_cell")).where("_at IS NOT NULL").select(
+        *kept, "_cell.*")
+
+
 def split_building_unit(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     """Building ads and unit ads; rows where the predicate is unknown are in neither."""
     return df.where(predicate), df.where(~predicate)
@@ -80,8 +91,7 @@ def expand_range(
     """One row per step from lo to hi, in place; rows with a missing bound are dropped."""
     bounds = [F.col(c) for c in (lo, hi, value_lo, value_hi)]
     kept = [c for c in df.columns if c not in (out_step, out_value)]
-    return df.select(
-        *kept, F.inline(range_cells(*bounds, out_step, out_value, single_value)))
+    return inlined(df, kept, range_cells(*bounds, out_step, out_value, single_value))
 
 
 def building_ranges(df: DataFrame, single_value: bool = False) -> DataFrame:
@@ -101,7 +111,7 @@ def building_ranges(df: DataFrame, single_value: bool = False) -> DataFrame:
                       parse_number(F.col("rent")).alias("rent"))
     cells = F.when(F.col("is_bldg"), ranges).when(~F.col("is_bldg"), F.array(single))
     kept = [c for c in split.columns if c not in ("beds", "rent")]
-    return split.select(*kept, F.inline(cells))
+    return inlined(split, kept, cells)
 
 
 def unpivot_sizes(
@@ -113,7 +123,7 @@ def unpivot_sizes(
     ])
     kept = [c for c in df.columns if c not in (step, value)]
     present = F.filter(cells, lambda cell: cell[value].isNotNull())
-    return df.select(*kept, F.inline(present))
+    return inlined(df, kept, present)
 
 
 def offers_in_text(df: DataFrame, text: Column, out: str) -> DataFrame:
@@ -159,7 +169,7 @@ def inventory_by_size(df: DataFrame, columns: Sequence[str] = fixed.PADMAPPER_SI
     a count give no row. Both values come from one text, so no pivot is needed.
     """
     kept = [c for c in df.columns if c not in (*columns, "beds", "inv", "rent")]
-    return df.select(*kept, F.inline(size_cells(columns)))
+    return inlined(df, kept, size_cells(columns))
 
 
 def pivot_inventory(

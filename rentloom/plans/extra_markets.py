@@ -15,9 +15,7 @@ from rentloom.functions.text import (
     extract, number_in, parse_number, replace_all, replace_first_text, studio_as_zero,
 )
 from rentloom.operators.dedupe import keep_first
-from rentloom.operators.reshape import (
-    building_ranges, harmonize_union, overlong, sentinel_to_null, split_range,
-)
+from rentloom.operators.reshape import building_ranges, overlong, sentinel_to_null, split_range
 from rentloom.operators.stats import share_of_total
 from rentloom.plans import quirks
 from rentloom.sources.tables import site_scan
@@ -163,11 +161,25 @@ def forrent(extra_markets: DataFrame, fixes=frozenset(), order=ORDER) -> DataFra
         forrent_ads(extra_markets, order), single_value=quirks.SINGLE_SIZE in fixes)
 
 
+def distinct_ads(extra_markets: DataFrame, fixes=frozenset()) -> DataFrame:
+    """website and is_bldg of one ad per address and size of all four sites, in one scan and one
+    shuffle: every column is typed by its row's site. Sizes and rents of Forrent.com are texts, as
+    they may be ranges, and so are keys of their own."""
+    forrent = F.col("website") == fixed.SITE_FORRENT
+    priced = (F.col("website") != fixed.SITE_HOMES) | (F.col("rent") != fixed.HOMES_NO_RENT)
+    units = F.when(F.col("website") == fixed.SITE_RENT, extract(F.col("availablity"), fixed.RENT_UNITS)).otherwise(
+        F.col("availablity"))
+    typed = clean_fields(dated(extra_markets.where(priced)), fixes).withColumns({
+        **{c: F.when(~forrent, F.col(c)) for c in ("beds", "rent")},
+        "text_beds": F.when(forrent, studio_as_zero(F.col("raw_bedrooms"))),
+        "text_rent": F.when(forrent, F.col("raw_rent")),
+        "availablity": units,
+    })
+    rows = sentinel_to_null(typed).withColumnRenamed("location_identifier", "address")
+    keys = ["website", *DEDUPE_KEYS, "text_beds", "text_rent"]
+    return keep_first(rows, keys, [*ORDER, "is_bldg"]).select("website", "is_bldg")
+
+
 def building_share(extra_markets: DataFrame) -> DataFrame:
     """Ads and their part of a site's ads by building flag, per site, after its dedupe."""
-    sites = {
-        fixed.SITE_FORRENT: forrent_ads, fixed.SITE_HOMES: homes, fixed.SITE_REALTOR: realtor,
-        fixed.SITE_RENT: rent,
-    }
-    ads = [f(extra_markets).select(F.lit(site).alias("website"), "is_bldg") for site, f in sites.items()]
-    return share_of_total(harmonize_union(ads), ["website", "is_bldg"], within=["website"])
+    return share_of_total(distinct_ads(extra_markets), ["website", "is_bldg"], within=["website"])

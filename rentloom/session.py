@@ -19,6 +19,8 @@ def local_session(name: str, cores: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # the JVM only interprets methods of more bytes, so Spark had better split them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -12,7 +12,7 @@ from rentloom.functions import text as tx
 from rentloom.functions.geo import albers_5070, url_coordinates, url_county
 from rentloom.operators import dedupe, enrich, joins, reshape, spatial, stats
 from rentloom.plans import (
-    apartments, craigslist, extra_markets, gosection8, padmapper, tables, trulia, zillow,
+    apartments, craigslist, extra_markets, gosection8, padmapper, stacked, tables, trulia, zillow,
 )
 from rentloom.plans.county import county_table, flat
 from rentloom.session import shared_folder
@@ -22,6 +22,8 @@ from rentloom.workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
+#: Cells of the county table that serves several sites.
+CELL_METRES = 20_000.0
 
 
 def query(fn: Query) -> Query:
@@ -450,22 +452,19 @@ def acs_append(spark, folder):
 
 
 def all_listings(spark, folder, county):
-    """The ads are landed once; the county table, its cells and its size check serve all sites."""
+    """The ads are landed once; the county table, its cells and its size check serve all sites,
+    which are deduplicated together."""
     dim = joins.broadcast_if_small(joins.unique_keys(county.drop("geometry"), ["container"]))
-    cells = spatial.cell_index(county.drop("container"), craigslist.CELL_METRES)
+    cells = spatial.cell_index(county.drop("container"), CELL_METRES)
     base = files.land(inputs.ads(spark, folder), shared_folder(spark))
-    return tables.listing_table(
+    located = stacked.located(
         {
-            "craigslist": craigslist.build(inputs.craigslist(spark, folder), cells),
-            "apartments": apartments.build(inputs.geocoded(spark, folder, base), dim),
-            "gosection8": gosection8.build(inputs.gosection8(spark, folder, base), dim),
-            "trulia": trulia.build(inputs.trulia(spark, folder, base), dim),
-            "zillow": zillow.build(inputs.zillow(spark, folder, base), dim),
-            "padmapper": padmapper.build(
-                inputs.padmapper(spark, folder, base), cells, inputs.address_book(spark, folder, base), dim=dim),
+            "craigslist": inputs.craigslist(spark, folder), "apartments": inputs.geocoded(spark, folder, base),
+            "gosection8": inputs.gosection8(spark, folder, base), "trulia": inputs.trulia(spark, folder, base),
+            "zillow": inputs.zillow(spark, folder, base), "padmapper": inputs.padmapper(spark, folder, base),
         },
-        dim,
-    )
+        dim, cells, inputs.address_book(spark, folder, base), shared_folder(spark), CELL_METRES)
+    return tables.classified(located, dim)
 
 
 @query

@@ -6,7 +6,9 @@ import io
 import pytest
 
 from rentloom.operators import dedupe, spatial, stats
-from rentloom.plans import padmapper, tables
+from rentloom.plans import apartments, craigslist, gosection8, padmapper, stacked, tables, trulia, zillow
+from rentloom.session import shared_folder
+from rentloom.sources import files
 from rentloom.sources.tables import apartments_scan, parquet_table, site_scan
 from rentloom.workload import inputs, queries
 
@@ -107,6 +109,52 @@ def test_landed_ads_are_scanned_and_checked_once(spark, smallest):
     assert one.count("Generate") - plan(raw).split("(1) ")[0].count("Generate") == 1
 
 
-def test_rows_without_a_key_are_not_shuffled_for_the_look_up(spark, smallest):
+def _raw_sites(spark, smallest):
+    base = inputs.ads(spark, smallest)
+    return {
+        "craigslist": inputs.craigslist(spark, smallest), "apartments": inputs.geocoded(spark, smallest, base),
+        "gosection8": inputs.gosection8(spark, smallest, base), "trulia": inputs.trulia(spark, smallest, base),
+        "zillow": inputs.zillow(spark, smallest, base), "padmapper": inputs.padmapper(spark, smallest, base)}
+
+
+def test_all_sites_are_deduplicated_in_one_shuffle(spark, smallest):
+    dim = queries.flat(queries._county(spark, smallest))
+    text = plan(stacked.deduplicated(_raw_sites(spark, smallest), dim))
+    by_site = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning") and "site#" in line]
+    assert len(by_site) == 1
+    tree = text.split("(1) ")[0]
+    # Padmapper's ads are told apart once more before they are split by size
+    assert tree.count("WindowGroupLimit") == 4 and tree.count("SortMergeJoin") == 0
+
+
+def test_the_stack_keeps_what_each_site_keeps(spark, smallest):
+    """Rows per site as from the sites' own plans, before and after they are located."""
+    raw = _raw_sites(spark, smallest)
+    county = queries._county(spark, smallest)
+    dim, book = queries.flat(county), inputs.address_book(spark, smallest)
+    alone = tables.located_parts({
+        "craigslist": craigslist.build(raw["craigslist"], county), "apartments": apartments.build(raw["apartments"], dim),
+        "gosection8": gosection8.build(raw["gosection8"], dim), "trulia": trulia.build(raw["trulia"], dim),
+        "zillow": zillow.build(raw["zillow"], dim), "padmapper": padmapper.build(raw["padmapper"], county, book)})
+    cells = spatial.cell_index(county.drop("container"), 20_000.0)
+    together = stacked.located(raw, dim, cells, book, shared_folder(spark), 20_000.0)
+    assert together.columns == alone.columns
+    assert together.exceptAll(alone).count() == alone.exceptAll(together).count() == 0
+
+
+def test_a_table_in_folders_per_site_is_read_in_part(spark, smallest, tmp_path):
+    table = files.land(inputs.extra_markets(spark, smallest), str(tmp_path / "markets"), by=["website"])
+    text = plan(site_scan(table, "homes.com"))
+    assert "(website#" in next(line for line in text.splitlines() if line.startswith("PartitionFilters"))
+    assert site_scan(table, "homes.com").count() == site_scan(inputs.extra_markets(spark, smallest), "homes.com").count() > 0
+
+
+def test_shares_of_four_sites_take_one_scan_and_one_dedupe(spark, smallest):
+    tree = plan(queries.REGISTERED["building_share"](spark, smallest)).split("(1) ")[0]
+    assert tree.count("WindowGroupLimit") == 2 and "Union" not in tree
+    assert tree.count("Scan parquet") == 4  # line items, suppliers, nations, regions
+
+
+def test_rows_without_a_key_are_dealt_out_for_the_look_up(spark, smallest):
     text = plan(queries.REGISTERED["geoparse"](spark, smallest))
-    assert "Union" in text
+    assert any("_salt" in line for line in text.splitlines() if line.startswith("Left keys"))
