@@ -14,6 +14,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,13 @@ from rentloom.llm.packing import byte_of_letter
 AT_ONCE, LONG = 4000, 1 << 25
 #: Pairs of tokens whose verdict is kept.
 VERDICTS = 2_000_000
+#: Parts of texts that a worker remembers with their ids, and the longest of them. There are two
+#: such tables; the older one goes when the newer one is full.
+REMEMBERED, SHORT = 150_000, 48
+#: Letters of a word that is merged in a plain list.
+PLAIN = 32
+#: Letters by which the longest token that starts with them is looked up.
+PREFIX = 3
 #: White space on which Python and the vocabulary's rules differ.
 ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
 SPACE = regex.compile(r"\p{White_Space}+")
@@ -63,7 +71,14 @@ class Vocabulary:
         # longest match: tokens that end a word, by their letters, and all others
         self.last = {t[: -len(self.suffix)]: i for t, i in self.id_of.items() if t.endswith(self.suffix)}
         self.inner = {t: i for t, i in self.id_of.items() if not t.endswith(self.suffix)}
+        self.reach: dict[str, int] = {}
+        for t in self.inner:
+            for n in range(1, min(len(t), PREFIX) + 1):
+                if n == PREFIX or n == len(t):
+                    self.reach[t[:n]] = max(self.reach.get(t[:n], 0), len(t))
         self.longest = max(map(len, [*self.last, *self.inner]))
+        self.fresh: dict[str, bytes] = {}
+        self.stale: dict[str, bytes] = {}
         letter = {b: c for c, b in byte_of_letter().items()}
         self.letters = {chr(b): letter[b] for b in range(256)}
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
@@ -73,8 +88,11 @@ class Vocabulary:
 
     def exact(self, pieces: list[str]) -> list[str]:
         """Merges the pair of the lowest rank, leftmost first, until none is left. Kept as a
-        linked list with a heap, so a long word costs little more than its length."""
+        linked list with a heap, so a long word costs little more than its length; a short one
+        in a plain list, which costs less there."""
         n = len(pieces)
+        if n <= PLAIN:
+            return self._exact_short(list(pieces))
         pieces, after, before = list(pieces), [*range(1, n), -1], [-1, *range(n - 1)]
         rank = self.rank
         heap = [(r, i, pieces[i], pieces[i + 1]) for i in range(n - 1)
@@ -94,18 +112,33 @@ class Vocabulary:
                     heapq.heappush(heap, (r, left, pieces[left], pieces[right]))
         return [p for p, g in zip(pieces, gone) if not g]
 
+    def _exact_short(self, pieces: list[str]) -> list[str]:
+        rank, none = self.rank.get, len(self.rank)
+        ranks = [rank(pair, none) for pair in zip(pieces, pieces[1:])]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            pieces[i: i + 2] = [pieces[i] + pieces[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((pieces[i], pieces[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((pieces[i - 1], pieces[i]), none)
+        return pieces
+
     def spelled(self, letters: str, ends: bool) -> list[str]:
         return [*letters[:-1], letters[-1] + self.suffix] if ends else list(letters)
 
     def guess(self, letters: str) -> list[int]:
         """Ids of the longest matches from the left; every single letter is a token."""
         out, at, n = [], 0, len(letters)
-        last, inner, longest = self.last, self.inner, self.longest
+        last, inner, longest, reach = self.last, self.inner, self.longest, self.reach
         while at < n:
             if n - at <= longest and (i := last.get(letters[at:] if at else letters)) is not None:
                 out.append(i)
                 break
-            for size in range(min(longest, n - at - 1) or 1, 0, -1):
+            # no token is longer than the longest one with these first letters
+            most = reach.get(letters[at: at + PREFIX], PREFIX - 1)
+            for size in range(min(most, n - at - 1) or 1, 0, -1):
                 if (i := inner.get(letters[at: at + size])) is not None:
                     out.append(i)
                     at += size
@@ -180,6 +213,22 @@ class Vocabulary:
         ids = dict(zip(words, self.encode_words(words))) if words else {}
         return [[i for p in ps for i in (ids[p] if isinstance(p, str) else (p,))] for ps in parts]
 
+    def remembered(self, chunks: list[str]) -> list[bytes]:
+        """Ids of different chunks, as 32-bit integers in bytes; short chunks are kept for the
+        batches that follow."""
+        if len(self.fresh) > REMEMBERED:
+            self.stale, self.fresh = self.fresh, {}
+        fresh, stale, lacking = self.fresh, self.stale, []
+        for c in chunks:
+            if c not in fresh:
+                if (ids := stale.get(c)) is None:
+                    lacking.append(c)
+                else:
+                    fresh[c] = ids
+        found = {c: array("i", ids).tobytes() for c, ids in zip(lacking, self.encode_chunks(lacking))}
+        fresh.update((c, ids) for c, ids in found.items() if len(c) <= SHORT)
+        return [found[c] if c in found else fresh[c] for c in chunks]
+
     def encode(self, texts: list[str]) -> pa.Array:
         """list<int32> of ids; no token spans white space, so each different part between
         white space is encoded once."""
@@ -187,9 +236,9 @@ class Vocabulary:
         plain = [SPACE.sub(" ", t) if i in odd else t for i, t in enumerate(texts)]
         pieces = pa.array([t.split(" ") if i in odd else t.split() for i, t in enumerate(plain)], pa.list_(pa.string()))
         coded = pc.dictionary_encode(pieces.flatten())
-        spelled = self.encode_chunks(coded.dictionary.to_pylist())
-        ends = np.cumsum([0, *map(len, spelled)])
-        ids = pa.array(np.fromiter((i for s in spelled for i in s), np.int32, int(ends[-1])))
+        spelled = self.remembered(coded.dictionary.to_pylist())
+        ends = np.cumsum([0, *map(len, spelled)]) // 4
+        ids = pa.array(np.frombuffer(b"".join(spelled), np.int32))
         taken = pa.LargeListArray.from_arrays(ends, ids).take(coded.indices)
         cuts = taken.offsets.to_numpy()[pieces.offsets.to_numpy()]
         return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), taken.flatten())
@@ -250,9 +299,24 @@ def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame
     return common.mapped(encoded.select(key, "ids"), run, f"{key} {kind}, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame:
+    """(key, ids, decoded): what encode gives and what decode makes of it, in one pass."""
+
+    def run(batches):
+        rules = vocabulary(tokenizer)
+        for batch in batches:
+            texts = common.texts(batch)
+            for a, b in _slices(list(map(len, texts)), AT_ONCE, LONG):
+                ids = rules.encode(texts[a:b])
+                yield pa.record_batch([batch.column(key).slice(a, b - a), ids, rules.decode(ids)], [key, "ids", "decoded"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return common.mapped(docs.select(key, "text"), run, f"{key} {kind}, ids array<int>, decoded string")
+
+
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Counts and checksums of the ids and of the text decoded from them."""
-    found = decode(encode(docs, tokenizer), tokenizer)
+    found = round_trip(docs, tokenizer)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),

@@ -61,3 +61,24 @@ def test_nulls_repeats_empty_and_clashing_columns(spark):
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_what_is_remembered_is_bounded_and_changes_nothing(monkeypatch):
+    import random
+
+    import public_tokenizers
+
+    from rentloom.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeioutrnslkwé-'9") for _ in range(rng.randint(1, 40))) for _ in range(900)] + ["x" * 500, "中文" * 60]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(60)]
+    want = bpe.Vocabulary(path).encode(texts).to_pylist()
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    small = bpe.Vocabulary(path)
+    got = [ids for i in range(0, 60, 3) for ids in small.encode(texts[i: i + 3]).to_pylist()]
+    assert got == want and got == [small.encode([t]).to_pylist()[0] for t in texts]
+    assert len(small.fresh) <= 50 + 3 * 60 and all(len(c) <= bpe.SHORT for c in small.fresh)
+    monkeypatch.setattr(bpe, "PLAIN", 0)  # heap and list merge alike
+    assert bpe.Vocabulary(path).encode(texts).to_pylist() == want
