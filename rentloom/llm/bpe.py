@@ -10,6 +10,7 @@ checked as arrays. Words with a pair that fails are merged exactly.
 from __future__ import annotations
 
 import functools
+import gc
 import heapq
 import json
 import re
@@ -251,8 +252,11 @@ class Vocabulary:
 
 @functools.cache
 def vocabulary(path: str) -> Vocabulary:
-    """One for each worker process, which runs many tasks."""
-    return Vocabulary(path)
+    """One for each worker process, which runs many tasks. It is never garbage, so it is taken out
+    of what the collector looks through."""
+    known = Vocabulary(path)
+    gc.freeze()
+    return known
 
 
 def _slices(sizes: list[int], rows: int, total: int):
