@@ -386,6 +386,21 @@ def test_a_provider_that_answers_twice_or_fails_leaves_the_store_as_it_was(spark
     assert got(again, "address", "X") == [("a", 1.0), ("b", 2.0)]
 
 
+def test_nearest_takes_two_jobs_to_plan_whatever_its_depth(spark, tmp_path):
+    spark.range(300).selectExpr("id", "id / 1e6 AS x", "0.0D AS y", "string(id) AS address").write.parquet(str(tmp_path / "p"))
+    book = spark.read.parquet(str(tmp_path / "p")).drop("id")
+    context = spark.sparkContext
+    context.setJobGroup("nearest", "nearest")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which runs each stage as a job of its own
+    try:
+        out = enrich.enrich_nearest(spark.range(5).selectExpr("id", "0.1D AS x", "0.0D AS y"), "x", "y", book, 1.0, crowded=2)
+        assert len(context.statusTracker().getJobIdsForGroup("nearest")) <= 3  # and one for the footer of what is read
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.rev_address for r in out.collect()] == ["299"] * 5
+
+
 @pytest.mark.parametrize("crowded", [False, True])
 def test_nearest_equals_brute_force(spark, crowded):
     rng = random.Random(17)
