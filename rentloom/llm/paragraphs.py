@@ -15,6 +15,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,15 +29,18 @@ from rentloom.llm.simhash import cell_pairs, forest
 WORDS, LIKE = 5, 0.8
 #: Bands and rows of a band: a pair at LIKE collides with 1 - (1 - LIKE**ROWS)**BANDS = 99.8 %.
 BANDS, ROWS = 6, 2
-#: Least words of a paragraph, and of a run of pieces, that is removed. Shorter lines are
-#: headings and other phrases that documents share and keep.
-LINE, RUN = 10, 20
+#: Least words of a paragraph that is removed, and of a run of pieces that is told. Shorter
+#: paragraphs are told too, but they are headings and phrases that documents share and keep.
+HEADING, RUN = 10, 20
 #: Most characters of a hard-wrapped line.
 WIDE = 200
 #: A piece starts at a word whose hash is the smallest among so many to either side.
 REACH = 4
 #: Most words of a piece.
 LONGEST = 32
+#: A character of a script that writes no spaces between words, and a word.
+UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
+WORD = regex.compile(rf"{UNSPACED.pattern}|(?:(?!{UNSPACED.pattern})\S)+")
 #: Word hashes that a task remembers; documents and characters worked on at once.
 REMEMBERED, AT_ONCE, CHUNK = 300_000, 2000, 1 << 22
 
@@ -64,19 +68,26 @@ def _space() -> np.ndarray:
 class Words:
     """Words of many texts as one array of hashes, with the text, line and place of each.
 
-    Words are runs without white space, lower-cased."""
+    Words are runs without white space, lower-cased; in scripts that write no spaces every
+    character is one."""
 
     def __init__(self, texts: list[str]):
-        split = [t.lower().split() for t in texts]
+        unspaced = {i for i, t in enumerate(texts) if not t.isascii() and UNSPACED.search(t)}
+        places = {i: [m.span() for m in WORD.finditer(texts[i])] for i in unspaced}
+        split = [
+            [t[a:b].lower() for a, b in places[i]] if i in unspaced else t.lower().split() for i, t in enumerate(texts)]
         known = _hashes()
         self.hash = np.fromiter((known[w] for s in split for w in s), np.uint64, sum(map(len, split)))
         sizes = [len(s) for s in split]
         self.text = np.repeat(np.arange(len(texts)), sizes)
         starts, ends, lines = [], [], []
-        for t in texts:
+        for i, t in enumerate(texts):
             codes = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-            space = np.concatenate(([True], _space()[codes], [True]))
-            edges = np.flatnonzero(space[1:] != space[:-1])
+            if i in unspaced:
+                edges = np.array(places[i], np.int64).ravel()
+            else:
+                space = np.concatenate(([True], _space()[codes], [True]))
+                edges = np.flatnonzero(space[1:] != space[:-1])
             starts.append(edges[0::2])
             ends.append(edges[1::2])
             lines.append(np.searchsorted(np.flatnonzero(codes == 10), edges[0::2]))
@@ -199,39 +210,76 @@ def _named(part: pa.RecordBatch, text: np.ndarray) -> list[pa.Array]:
     return [part.column(c).take(pa.array(text)) for c in ("doc_id", "version")]
 
 
-def sketched_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, line, owner, hash, first_char, end_char, words, bands) of every
-    paragraph of LINE words or more; line and owner: its number and owner as paragraphs()
-    gives them; bands: a hash for each band of its MinHash."""
+SKETCH = (
+    "doc_id long, version int, hash long, first_char int, end_char int, words int, line int, owner int, "
+    "bands array<long>, piece int, pieces int, first_word int, end_word int")
+
+
+def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
+    """Paragraphs and passages of every text, found in one look at it.
+
+    Paragraphs of `least` words or more (a shingle at least) have line and owner (number and
+    owner as paragraphs() gives them), words, and bands, a hash for each band of the MinHash.
+    Runs of pieces that passages() gives have piece (the first one's number), pieces,
+    first_word and end_word. Both have the hash of their words and their place.
+    """
+    names = [f.split()[0] for f in SKETCH.split(", ")]
+    kinds = [pa.list_(pa.int64()) if n == "bands" else pa.int64() if n in ("doc_id", "hash") else pa.int32() for n in names]
+
+    def rows(part: pa.RecordBatch, text: np.ndarray, **columns) -> pa.RecordBatch:
+        found = dict(zip(("doc_id", "version"), _named(part, text))) | {
+            n: x if isinstance(x, pa.Array) else pa.array(x.astype(np.int32)) for n, x in columns.items()}
+        return pa.record_batch([found.get(n, pa.nulls(len(text), k)) for n, k in zip(names, kinds)], names)
+
+    def paragraphs(part: pa.RecordBatch, w: Words, seeds: np.ndarray):
+        found = w.paragraphs()
+        keep = found[1] >= max(least, WORDS)
+        first, size, digest, number, owner = [x[keep] for x in found]
+        if len(first) == 0:
+            return
+        flat, count = w.shingles(first, size)
+        at = np.cumsum(count) - count
+        smallest = np.stack([np.minimum.reduceat(mixed(flat ^ s), at) for s in seeds], axis=1)
+        bands = smallest.reshape(-1, BANDS, ROWS)
+        keys = mixed(bands[:, :, 0] + np.arange(BANDS, dtype=np.uint64))
+        for r in range(1, ROWS):
+            keys = mixed(keys ^ bands[:, :, r])
+        offsets = pa.array(np.arange(len(first) + 1, dtype=np.int32) * BANDS)
+        yield rows(
+            part, w.text[first], hash=_signed(digest), first_char=w.start[first], end_char=w.end[first + size - 1], words=size,
+            line=number, owner=owner, bands=pa.ListArray.from_arrays(offsets, _signed(keys.ravel())))
+
+    def passages(part: pa.RecordBatch, w: Words):
+        begin, last, digest, first, size = w.passages()
+        if len(begin) == 0:
+            return
+        text = w.text[first[begin]]
+        zero = np.searchsorted(w.text, text)
+        final = first[last] + size[last] - 1
+        yield rows(
+            part, text, hash=_signed(digest), first_char=w.start[first[begin]], end_char=w.end[final],
+            piece=begin - np.searchsorted(w.text[first], text), pieces=last - begin + 1, first_word=first[begin] - zero,
+            end_word=final + 1 - zero)
 
     def run(batches):
         seeds = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
         for batch in batches:
             for part, texts in _chunks(batch):
                 w = Words(texts)
-                found = w.paragraphs()
-                keep = found[1] >= LINE
-                first, size, digest, number, owner = [x[keep] for x in found]
-                if len(first) == 0:
-                    continue
-                flat, count = w.shingles(first, size)
-                at = np.cumsum(count) - count
-                least = np.stack([np.minimum.reduceat(mixed(flat ^ s), at) for s in seeds], axis=1)
-                bands = least.reshape(-1, BANDS, ROWS)
-                keys = mixed(bands[:, :, 0] + np.arange(BANDS, dtype=np.uint64))
-                for r in range(1, ROWS):
-                    keys = mixed(keys ^ bands[:, :, r])
-                offsets = pa.array(np.arange(len(first) + 1, dtype=np.int32) * BANDS)
-                yield pa.record_batch([
-                    *_named(part, w.text[first]), pa.array(number), pa.array(owner), _signed(digest),
-                    pa.array(w.start[first]), pa.array(w.end[first + size - 1]), pa.array(size),
-                    pa.ListArray.from_arrays(offsets, _signed(keys.ravel())),
-                ], ["doc_id", "version", "line", "owner", "hash", "first_char", "end_char", "words", "bands"])
-
-    return common.mapped(
-        versions(docs), run,
-        "doc_id long, version int, line long, owner long, hash long, first_char long, end_char long, words long, "
-        "bands array<long>")
+                yield from paragraphs(part, w, seeds)
+                yield from passages(part, w)
+
+    return common.mapped(versions(docs), run, SKETCH)
+
+
+def lines_of(sketches: DataFrame) -> DataFrame:
+    return sketches.filter("line is not null").select(
+        "doc_id", "version", "line", "owner", "hash", "first_char", "end_char", "words", "bands")
+
+
+def passages_of(sketches: DataFrame) -> DataFrame:
+    return sketches.filter("piece is not null").select(
+        "doc_id", "version", "piece", "pieces", "hash", "first_char", "end_char", "first_word", "end_word")
 
 
 def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -270,12 +318,12 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: f
 def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) -> DataFrame:
     """(a, b): hashes that connect the same lines as all similar pairs do; of what is connected
     in a group of colliding lines each is named with the first one, never all pairs."""
-    distinct = lines.groupBy("hash").agg(
-        F.min(F.struct("doc_id", "version", "line")).alias("place"), F.first("bands").alias("bands"))
-    members = distinct.select("hash", "place", F.explode("bands").alias("key"))
-    cells = common.settled(common.compared_blocks(members, "key", "hash", block))
-    wanted = cells.select("place.doc_id", "place.version", "place.line").distinct()
-    full = cells.drop("place").join(sets_of_lines(docs, wanted), "hash")
+    members = lines.select("hash", F.explode("bands").alias("key")).distinct()
+    cells = common.landed(common.compared_blocks(members, "key", "hash", block), "cells")
+    # one place of every paragraph that is to be compared, to read its words at
+    asked = lines.select("hash", "doc_id", "version", "line").join(cells.select("hash").distinct(), "hash")
+    wanted = asked.groupBy("hash").agg(F.min(F.struct("doc_id", "version", "line")).alias("place")).select("place.*")
+    full = cells.join(sets_of_lines(docs, wanted), "hash")
 
     def run(batches):
         for table in common.whole_cells(batches, "key"):
@@ -310,10 +358,10 @@ def _places(rows: DataFrame, cluster: str, place: list[str], apart) -> DataFrame
         "removed", at != F.col("kept"))
 
 
-def repeated_lines(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
+def repeated_lines(docs: DataFrame, block: int = common.BLOCK, sketches: DataFrame | None = None) -> DataFrame:
     """(doc_id, version, first_char, end_char, words, kept_doc_id, removed) of clustered
     paragraphs. A paragraph that is kept and a line of its own are one place, not two."""
-    lines = common.settled(sketched_lines(docs))
+    lines = lines_of(common.landed(sketched(docs), "sketches") if sketches is None else sketches)
     joined = components(line_links(docs, lines, block))
     named = lines.drop("bands").join(joined.withColumnRenamed("node", "hash"), "hash", "left").withColumn(
         "cluster", F.coalesce("component", "hash"))
@@ -326,42 +374,16 @@ def repeated_lines(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     at = F.struct("doc_id", "version", "line", "owner")
     places = _places(named, "cluster", ["line", "owner"], lambda: apart(other)).filter(~F.col("removed") | apart(at))
     return places.select(
-        "doc_id", "version", "first_char", "end_char", "words", F.col("kept.doc_id").alias("kept_doc_id"),
-        "removed").distinct()
-
-
-def all_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, piece, pieces, hash, first_char, end_char, first_word, end_word) of the
-    runs of every text's pieces that passages() gives; piece is the first one's number."""
-
-    def run(batches):
-        for batch in batches:
-            for part, texts in _chunks(batch):
-                w = Words(texts)
-                begin, last, digest, first, size = w.passages()
-                if len(begin) == 0:
-                    continue
-                text = w.text[first[begin]]
-                number = begin - np.searchsorted(w.text[first], text)
-                zero = np.searchsorted(w.text, text)
-                final = first[last] + size[last] - 1
-                places = (
-                    number, last - begin + 1, w.start[first[begin]], w.end[final], first[begin] - zero, final + 1 - zero)
-                number, pieces, *ends = [pa.array(x.astype(np.int32)) for x in places]
-                yield pa.record_batch(
-                    [*_named(part, text), number, pieces, _signed(digest), *ends],
-                    ["doc_id", "version", "piece", "pieces", "hash", "first_char", "end_char", "first_word", "end_word"])
-
-    return common.mapped(
-        versions(docs), run, "doc_id long, version int, piece int, pieces int, hash long, first_char int, "
-        "end_char int, first_word int, end_word int")
+        "doc_id", "version", *[F.col(c).cast("long").alias(c) for c in ("first_char", "end_char", "words")],
+        F.col("kept.doc_id").alias("kept_doc_id"), "removed").distinct()
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
     """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
     least RUN words that stand elsewhere as a whole, joined where they follow one another
     here and in the kept place. Places that overlap the kept one are no repeats.
     A passage of a repeated row has the rank of the same one in the other rows."""
+    passages = passages_of(common.landed(sketched(docs), "sketches") if sketches is None else sketches)
     own, kept, other = ("doc_id", "version"), F.col("kept"), F.col("other")
 
     def apart(place, kept):
@@ -369,7 +391,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
             place["piece"] >= kept["piece"] + F.col("pieces"))
 
     at = F.struct(*own, "piece")
-    places = _places(all_passages(docs), "hash", ["piece"], lambda: apart(other, kept)).filter(
+    places = _places(passages, "hash", ["piece"], lambda: apart(other, kept)).filter(
         ~F.col("removed") | apart(at, kept))
     line = ["doc_id", "version", "removed", "kept_doc_id", "kept_version", "ahead"]
     runs = places.withColumns({
@@ -396,8 +418,9 @@ def repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
 
 def _repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = repeated_lines(named, block).withColumn("kind", F.lit("line"))
-    pieces = repeated_runs(named).withColumn("kind", F.lit("pieces"))
+    sketches = common.landed(sketched(named), "sketches")
+    lines = repeated_lines(named, block, sketches).withColumn("kind", F.lit("line"))
+    pieces = repeated_runs(named, sketches).withColumn("kind", F.lit("pieces"))
     return lines.unionByName(pieces).select(
         "doc_id", "version", "kind", "first_char", "end_char", "words", "kept_doc_id", "removed")
 
@@ -415,9 +438,10 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """docs with the removed passages cut out of their texts; all rows and columns stay."""
-    spans = common.settled(_repeats(docs)).filter("removed").groupBy(
+def without_repeats(docs: DataFrame, heading: int = HEADING) -> DataFrame:
+    """docs with the removed passages cut out of their texts; all rows and columns stay, and so
+    do paragraphs of fewer than `heading` words."""
+    spans = common.landed(_repeats(docs), "repeats").filter(F.col("removed") & (F.col("words") >= heading)).groupBy(
         F.col("doc_id").alias("_doc_id"), F.col("version").alias("_version"),
     ).agg(F.collect_list(F.struct("first_char", "end_char")).alias("_spans"))
     same = (F.col("doc_id") == F.col("_doc_id")) & (F.hash("text") == F.col("_version"))

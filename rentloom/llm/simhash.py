@@ -54,16 +54,16 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     return int(np.packbits(bits).view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long. Null texts count as empty."""
+def fingerprints(docs: DataFrame, words: int = WORDS, key: str = "doc_id") -> DataFrame:
+    """(key, fp): fp holds the 64 bits as a signed long. Null texts count as empty."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(t, words) for t in common.texts(batch)], np.uint64)
         return pa.record_batch(
-            [batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            [batch.column(key), pa.array(found.view(np.int64))], [key, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return common.in_batches(docs.select("doc_id", "text"), step, f"doc_id {kind}, fp long")
+    kind = docs.schema[key].dataType.simpleString()
+    return common.in_batches(docs.select(key, "text"), step, f"{key} {kind}, fp long")
 
 
 def block_masks(blocks: int) -> list[int]:
@@ -191,16 +191,23 @@ def components_by_fingerprint(docs: DataFrame, words: int = WORDS, bits: int = B
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents whose doc_id is the smallest of its component, columns as given.
+    """One document of every component, columns as given: the text of the smallest doc_id.
 
-    Of rows that share a doc_id one is kept, chosen by a hash of its columns. Rows without
-    a doc_id cannot be named by a component and stay.
+    Texts that share a doc_id are told apart, so each stays unless its own component keeps
+    another; of rows equal in doc_id and text one stays, chosen by a hash of its columns. Rows
+    without a doc_id cannot be named by a component and stay.
     """
-    found = components_by_fingerprint(docs.filter("doc_id is not null"))
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    named = docs.filter("doc_id is not null").select(
+        F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")).alias("doc"), "text")
+    prints = common.settled(fingerprints(named, key="doc"))
+    joined = components(links(prints.select("fp").distinct(), BITS, BLOCKS, common.BLOCK))
+    groups = prints.groupBy("fp").agg(F.min("doc").alias("doc")).join(joined.withColumnRenamed("node", "fp"), "fp", "left")
+    kept = groups.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc").alias("doc")).select(
+        F.col("doc.doc_id").alias("_doc_id"), F.col("doc.version").alias("_version"))
+    same = (F.col("doc_id") == F.col("_doc_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_version"))
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
     rows = (
-        docs.join(kept, "doc_id", "left_semi")
+        docs.join(kept, same, "left_semi")
         .withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
     )
     return rows.unionByName(docs.filter("doc_id is null")).select(*docs.columns)

@@ -37,7 +37,9 @@ def test_embedded_passages_go_and_clean_documents_stay(spark, corpus):
     texts, holders = corpus
     df = spark.createDataFrame([(i, t, "k") for i, t in texts.items()], "doc_id long, text string, kind string")
     found = par.repeats(df).collect()
-    told = {r.doc_id for r in found}
+    # the heading of nine words that all share is told, and kept
+    assert {r.doc_id for r in found if r.words == 9} == set(texts)
+    told = {r.doc_id for r in found if r.words >= par.HEADING}
     assert told == {i for held in holders.values() for i in held}
     assert all(texts[r.doc_id][r.first_char: r.end_char].strip() for r in found)
     out = {r.doc_id: r for r in par.without_repeats(df).collect()}
@@ -85,6 +87,19 @@ def test_exact_similarity():
     assert {(i, j) for i, j, n in zip(left, right, near) if n} == {(0, 1), (0, 4), (1, 4)}
 
 
+def test_short_paragraphs_and_scripts_without_spaces(spark):
+    han = "".join(chr(0x4E00 + RNG.randrange(4000)) for _ in range(600))
+    near = han[:200] + "変" + han[201:]
+    five = " ".join(prose(5))
+    rows = [(1, f"{five}\n\n{han}"), (2, f"{' '.join(prose(30))}\n\n{near}"), (3, f"{five}\n\nnothing else"), (4, "สวัสดี" * 3)]
+    got = par.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    lines = {(r.doc_id, text[r.doc_id][r.first_char: r.end_char], r.removed) for r in got if r.kind == "line"}
+    assert lines == {(1, han, False), (2, near, True), (1, five, False), (3, five, True)}
+    words = par.Words(["ab 中文x Ü\n9", "İa b"])
+    assert [(words.start[i], words.end[i]) for i in range(len(words.hash))] == [(0, 2), (3, 4), (4, 5), (5, 6), (7, 8), (9, 10), (0, 2), (3, 4)]
+
+
 def test_nulls_repeated_rows_and_empty(spark):
     text = " ".join(prose(60))
     rows = [(1, None, 2), (2, "", 2), (3, text, 2), (4, "x " + text, 2), (3, text, 2), (None, text, 2), (6, "again " * 3000, 2)]

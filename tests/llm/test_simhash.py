@@ -84,6 +84,15 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert simhash.components_by_fingerprint(empty).collect() == simhash.without_near_copies(empty).collect() == []
 
 
+def test_texts_under_one_id_are_all_kept_or_kept_elsewhere(spark):
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "red green blue white black grey"
+    rows = [(1, a, 1), (1, b, 2), (2, b, 3), (2, c, 4), (3, c, 5), (1, a, 1), (4, None, 6), (5, "", 7), (4, "", 8)]
+    kept = [(r.doc_id, r.text or "") for r in simhash.without_near_copies(
+        spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()]
+    assert sorted(t for _, t in set(kept)) == sorted(["", a, b, c])  # one of each group, none lost
+    assert {(1, a), (1, b), (2, c)} <= set(kept)
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(5)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 40)] + [(7, 7), (None, 3), (3, None), (1, 0)]
