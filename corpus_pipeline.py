@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentloom.llm import packing, paragraphs, quality, simhash, toxicity
-from rentloom.llm.common import landed, table
+from rentloom.llm.common import table, written
+from rentloom.session import delete_folder
 
 
 def harmless(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -53,7 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    """Each stage's table goes when the next one is written; the last goes with the process."""
+    docs, before = table(spark, folder, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = landed(stage(spark, docs, folder), name)
+        path = written(stage(spark, docs, folder), name)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, folder)
