@@ -204,10 +204,12 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     groups = prints.groupBy("fp").agg(F.min("doc").alias("doc")).join(joined.withColumnRenamed("node", "fp"), "fp", "left")
     kept = groups.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc").alias("doc")).select(
         F.col("doc.doc_id").alias("_doc_id"), F.col("doc.version").alias("_version"))
-    same = (F.col("doc_id") == F.col("_doc_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_version"))
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
+    # the join and the choice among equal rows share one shuffle of the texts
+    told = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = (F.col("doc_id") == F.col("_doc_id")) & (F.col("_text") == F.col("_version"))
+    first = Window.partitionBy("doc_id", "_text").orderBy(F.xxhash64(*docs.columns))
     rows = (
-        docs.join(kept, same, "left_semi")
-        .withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
+        told.join(kept, same, "left_semi")
+        .withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy", "_text")
     )
     return rows.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
