@@ -61,4 +61,6 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
         if before:
             delete_folder(spark, before)
         docs, before = spark.read.parquet(path), path
+        # Spark deletes shuffle files of frames that are gone when the driver collects garbage
+        spark._jvm.System.gc()
     return STAGES[-1][1](spark, docs, folder)
