@@ -116,7 +116,7 @@ def labelled_sample(
     """(doc_id, text, label) of at most `most` rows per label, taken in the order of a hash.
 
     Rows whose remainder is left_out and labels other than 0 and 1 take no part. The sample
-    is at most 2 * most ids, so it may be broadcast; the texts are never shuffled, and are
+    is at most 2 * most ids, so it may be broadcast; only its texts are shuffled, one of each id, and they are
     looked for once: the sample is written to the shared folder.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(
@@ -126,8 +126,18 @@ def labelled_sample(
         known.filter(F.col("label") == value).distinct().orderBy(*order).limit(most)
         for value in (0, 1)
     ]
-    chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    return settled(docs.select("doc_id", "text").join(chosen, "doc_id"))
+    return settled(one_text_each(docs, parts[0].unionByName(parts[1]), ["doc_id"]))
+
+
+def one_text_each(docs: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
+    """ids, which must be few, with the text of the docs that share its columns `on`; of several
+    under one id that with the smallest hash.
+
+    Every task keeps one text per id before the shuffle, so a sample has as many rows as ids
+    even where an id holds a large share of docs."""
+    found = docs.select(*on, "text").join(F.broadcast(ids), on)
+    best = F.min(F.struct(F.xxhash64("text").alias("mark"), "text")).alias("best")
+    return found.groupBy(*ids.columns).agg(best).select(*ids.columns, "best.text")
 
 
 def compared_blocks(members: DataFrame, key: str, item: str, block: int = BLOCK) -> DataFrame:

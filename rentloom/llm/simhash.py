@@ -2,20 +2,23 @@
 
 Candidate pairs agree on some of the fixed bit blocks of the fingerprint (pigeonhole, so no
 pair within the distance is missed). Pivot distance tables then do the deciding work: the
-Hamming distances of every fingerprint to fixed reference fingerprints are computed once,
-a pair whose distances to any reference differ by more than the bound cannot be near (the
-triangle inequality), and only what is left is compared bit by bit.
+Hamming distances of every fingerprint to fixed reference fingerprints are computed once, as
+a column beside it. A pair whose distances to any reference differ by more than the bound
+cannot be near (the triangle inequality): candidates are ordered by the first distance, so only
+neighbours within the bound are paired at all, the greatest difference over the other
+references discards among those, and only what is left is compared bit by bit.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentloom.llm import common
@@ -77,12 +80,12 @@ def _signed(x: int) -> int:
 
 
 def keyed(distinct: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
-    """(key, fp): one row for each choice of blocks - bits blocks. Of any pair within the
+    """(key, fp, ...): one row for each choice of blocks - bits blocks. Of any pair within the
     distance at least one choice agrees in full."""
     masks = block_masks(blocks)
     chosen = [sum(c) for c in itertools.combinations(masks, blocks - bits)]
     keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(chosen)]
-    return distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
+    return distinct.withColumn("key", F.explode(F.array(*keys)))
 
 
 def pivots(count: int = PIVOTS) -> np.ndarray:
@@ -90,12 +93,30 @@ def pivots(count: int = PIVOTS) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b"pivot %d" % i) for i in range(count)], np.uint64)
 
 
+def tabled(distinct: DataFrame, count: int = PIVOTS) -> DataFrame:
+    """distinct with d0, d1, ...: longs that each hold eight distances, to as many references,
+    the first in the lowest byte."""
+    references = [_signed(int(p)) for p in pivots(count)]
+
+    def packed(part: list[int]) -> Column:
+        distances = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))).cast("long") for p in part]
+        return functools.reduce(
+            lambda a, b: a.bitwiseOR(b), [F.shiftleft(d, 8 * i) for i, d in enumerate(distances)])
+
+    return distinct.withColumns({
+        f"d{i // 8}": packed(references[i: i + 8]) for i in range(0, count, 8)})
+
+
+def table_names(count: int = PIVOTS) -> list[str]:
+    return [f"d{i}" for i in range(-(-count // 8))]
+
+
 def near_pairs(fps: np.ndarray, left: np.ndarray, right: np.ndarray, bits: int,
-               references: np.ndarray) -> np.ndarray:
-    """Which of the pairs (left[i], right[i]) of fps differ by at most bits."""
-    table = np.bitwise_count(fps[:, None] ^ references[None, :]).astype(np.int8)
+               table: np.ndarray) -> np.ndarray:
+    """Which of the pairs (left[i], right[i]) of fps differ by at most bits. table: a row of
+    distances to the references for each of fps."""
     keep = np.ones(len(left), bool)
-    for j in range(len(references)):
+    for j in range(table.shape[1]):
         at = np.flatnonzero(keep)
         keep[at] = np.abs(table[left[at], j] - table[right[at], j]) <= bits
     at = np.flatnonzero(keep)
@@ -103,18 +124,22 @@ def near_pairs(fps: np.ndarray, left: np.ndarray, right: np.ndarray, bits: int,
     return keep
 
 
-def cell_pairs(group: np.ndarray, own: np.ndarray, same: np.ndarray,
-               most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def cell_pairs(group: np.ndarray, own: np.ndarray, same: np.ndarray, most: int = 1 << 20,
+               place: np.ndarray | None = None, reach: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs to compare, cell by cell, at most about `most` at a time. group: cell
-    numbers, sorted. In a cell of two blocks (same is false) only pairs across them count."""
+    numbers, sorted. In a cell of two blocks (same is false) only pairs across them count.
+    With `place`, sorted within each cell, only pairs whose places differ by at most reach."""
     n = len(group)
     ends = np.searchsorted(group, group, side="right")
     lefts, rights, held = [], [], 0
+    open_ = np.arange(n)
     for step in range(1, int((ends - np.arange(n)).max(initial=0))):
-        i = np.flatnonzero(np.arange(n) + step < ends)
-        if len(i) == 0:
+        open_ = open_[open_ + step < ends[open_]]
+        if place is not None:
+            open_ = open_[place[open_ + step] - place[open_] <= reach]
+        if len(open_) == 0:
             break
-        i = i[same[i] | (own[i] != own[i + step])]
+        i = open_[same[open_] | (own[open_] != own[open_ + step])]
         lefts.append(i)
         rights.append(i + step)
         held += len(i)
@@ -145,8 +170,9 @@ def links(distinct: DataFrame, bits: int = BITS, blocks: int = BLOCKS, block: in
     """(a, b): rows that connect the same fingerprints as all pairs within the distance do. Of
     what is connected in a cell each member is named with the smallest one, never all pairs."""
 
+    names = table_names(count)
+
     def run(batches):
-        references = pivots(count)
         for cells in common.whole_cells(batches, "key"):
             fps = cells.column("fp").to_numpy().view(np.uint64)
             columns = [cells.column(c).to_numpy() for c in ("key", "cell_a", "cell_b")]
@@ -154,10 +180,14 @@ def links(distinct: DataFrame, bits: int = BITS, blocks: int = BLOCKS, block: in
             for c in columns:
                 new[1:] |= c[1:] != c[:-1]
             group = np.cumsum(new)
-            own, same = cells.column("own").to_numpy(), columns[1] == columns[2]
+            packed = np.column_stack([cells.column(c).to_numpy() for c in names]).astype("<i8")
+            table = packed.view(np.int8).reshape(len(fps), -1)[:, :count]
+            order = np.lexsort((table[:, 0], group))
+            fps, table = fps[order], table[order]
+            own, same = cells.column("own").to_numpy()[order], (columns[1] == columns[2])[order]
             found = []
-            for left, right in cell_pairs(group, own, same):
-                near = near_pairs(fps, left, right, bits, references)
+            for left, right in cell_pairs(group, own, same, place=table[:, 0], reach=bits):
+                near = near_pairs(fps, left, right, bits, table[:, 1:])
                 found.append((left[near], right[near]))
             root = forest(len(fps), found)
             at = np.flatnonzero(root != np.arange(len(fps)))
@@ -165,7 +195,7 @@ def links(distinct: DataFrame, bits: int = BITS, blocks: int = BLOCKS, block: in
             yield pa.record_batch(
                 [pa.array(signed[at]), pa.array(signed[root[at]])], ["a", "b"])
 
-    cells = common.compared_blocks(keyed(distinct, bits, blocks), "key", "fp", block)
+    cells = common.compared_blocks(keyed(tabled(distinct, count), bits, blocks), "key", "fp", block)
     return common.mapped(common.sorted_cells(cells, "key"), run, "a long, b long").distinct()
 
 

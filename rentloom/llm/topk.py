@@ -1,10 +1,11 @@
 """Exact top-k by inner product, located by refining global score histograms.
 
 All scores are computed block against block, once per round, and never kept. In each round a
-block reports, per query, how many of its scores fall into each bucket, from the top
-down to its own k-th score; the sums over all blocks tell in which bucket the global k-th
-score lies, and the next round cuts that bucket into buckets. After the last round the k-th
-value is known exactly, every block returns what reaches it, and ties are broken by id.
+block counts, per query, how many of its scores fall into each bucket of the range that can
+still hold the k-th score; nothing is selected inside a block. The sums over all blocks tell in which
+bucket the k-th score lies and how many of that bucket's scores are still wanted, and the next round cuts that
+bucket into buckets. After the last round the k-th value is known exactly, every block returns
+what reaches it, and ties are broken by id.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +24,9 @@ from rentloom.llm import common
 CANDIDATES, QUERIES = 4096, 256
 #: Buckets into which a round cuts the scores still possible, as a power of two.
 STEP = 9
-#: Scores must stay below this to be exact in 64 bits.
-LIMIT = 1 << 62
+#: Scores must stay below this, so that the width of their range fits into 64 bits too.
+LIMIT = 1 << 61
+TOO_WIDE = "a score does not fit into 64 bits"
 
 
 def whole_vectors(rows: DataFrame, scale: int = 256) -> DataFrame:
@@ -67,19 +70,31 @@ def blocks(vectors: DataFrame, size: int, count: int) -> DataFrame:
 
 
 def scored(ids_q: bytes, data_q: bytes, ids_c: bytes, data_c: bytes, dims: int):
-    """(query ids, candidate ids, scores), scores as longs, a query's own row at the bottom."""
+    """(query ids, candidate ids, scores), scores as longs, a query's own row at the bottom.
+
+    Scores are as exact as the block needs: in doubles below 2**53, else in longs; candidates
+    that might leave those are multiplied as whole numbers of any size. Only a score that
+    really is LIMIT or more is refused."""
     qi, ci = np.frombuffer(ids_q, np.int64), np.frombuffer(ids_c, np.int64)
     q = np.frombuffer(data_q, np.int64).reshape(len(qi), dims)
     c = np.frombuffer(data_c, np.int64).reshape(len(ci), dims)
+    own = qi[:, None] == ci[None, :]
     if dims == 0:
         scores = np.zeros((len(qi), len(ci)), np.int64)
     else:
-        most = float(np.abs(q).max()) * float(np.abs(c).max()) * dims
-        if most >= LIMIT:
-            raise OverflowError("a score does not fit into 64 bits")
-        # sums below 2**53 are exact in doubles
-        scores = (q.astype(float) @ c.T.astype(float)).astype(np.int64) if most < 2**53 else q @ c.T
-    scores[qi[:, None] == ci[None, :]] = -np.iinfo(np.int64).max
+        most = np.abs(c).max(1).astype(float) * float(np.abs(q).max()) * dims
+        if most.max() < 2**53:
+            scores = (q.astype(float) @ c.T.astype(float)).astype(np.int64)
+        else:
+            wide = most >= LIMIT
+            scores = np.empty((len(qi), len(ci)), np.int64)
+            scores[:, ~wide] = q @ c[~wide].T
+            exact = q.astype(object) @ c[wide].T.astype(object)
+            exact[own[:, wide]] = 0
+            if np.abs(exact).max(initial=0) >= LIMIT:
+                raise OverflowError(TOO_WIDE)
+            scores[:, wide] = exact.astype(np.int64)
+    scores[own] = -np.iinfo(np.int64).max
     return qi, ci, scores
 
 
@@ -90,6 +105,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5,
 
     queries, candidates: (vec_id, v, dims) as whole_vectors gives them. Rows with the
     query's own vec_id are no candidates for it. Vectors meet only those of equal length.
+    A score of 2**61 or more (LIMIT) is refused; large components alone are not.
     Rows that repeat are rows of their own and may both be returned; a query id that
     repeats is one query (its smallest vector counts). Empty tables give an empty result.
     """
@@ -100,57 +116,53 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5,
     if not sizes[0][0] or not sizes[1][0]:
         return candidates.sparkSession.createDataFrame(
             [], "query_id long, rank int, vec_id long, score long")
-    bound = max(1, int(sizes[0][1] or 0) * int(sizes[1][1] or 0) * int(sizes[0][2]))
-    if bound >= LIMIT:
-        raise OverflowError("a score does not fit into 64 bits")
+    bound = min(LIMIT - 1, max(1, int(sizes[0][1] or 0) * int(sizes[1][1] or 0) * int(sizes[0][2])))
     n_blocks = -(-sizes[1][0] // candidate_block)
-    left = common.settled(blocks(queries, query_block, -(-sizes[0][0] // query_block)))
+    left = common.settled(blocks(queries, query_block, -(-sizes[0][0] // query_block))).withColumnsRenamed(
+        {"block": "query_block", "ids": "q_ids", "data": "q_data"})
     right = common.settled(blocks(candidates, candidate_block, n_blocks))
-    # each query block is sent to every candidate block, by an equi-join on the block
-    sent = left.withColumnRenamed("block", "query_block").withColumnsRenamed(
-        {"ids": "q_ids", "data": "q_data"}).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    met = sent.join(right, ["dims", "block"])
-    low = -bound
-    bits = int(2 * bound + 1).bit_length()
-    bounds = None  # per query: first score of the bucket that holds the k-th, and the count above
+    low, bits = -bound, int(2 * bound + 1).bit_length()
+    bounds = None
     while bits > 0:
         wide = max(0, bits - step)
-        counts = _histogram(met, bounds, k, low, bits, wide)
-        down = Window.partitionBy("query_id").orderBy(F.col("start").desc())
-        summed = counts.groupBy("query_id", "start").agg(F.sum("n").alias("n"))
-        running = summed.withColumn("upto", F.sum("n").over(down))
-        total = Window.partitionBy("query_id")
-        located = running.withColumn("least", F.max("upto").over(total)).filter(
-            (F.col("upto") >= F.least(F.lit(k), F.col("least"))) & (F.col("upto") - F.col("n") < k))
-        bounds = common.settled(located.groupBy("query_id").agg(F.max("start").alias("start")))
+        counts = _histogram(_met(left, right, bounds, n_blocks), k, low, bits, wide)
+        try:
+            bounds = common.settled(_located(counts))
+        except PythonException as e:
+            if TOO_WIDE in str(e):
+                raise OverflowError(TOO_WIDE) from e
+            raise
         bits = wide
-    found = _reaching(met, bounds, k)
+    found = _reaching(_met(left, right, bounds, n_blocks), k)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
-def _with_bounds(met: DataFrame, bounds: DataFrame | None) -> DataFrame:
-    """The start of each query's bucket beside the blocks, in the order of the query ids.
-
-    A query block's bounds are as many as its ids, so the packed row stays bounded."""
+def _met(left: DataFrame, right: DataFrame, bounds: DataFrame | None, n_blocks: int) -> DataFrame:
+    """Each query block beside every candidate block, by an equi-join on the block, with the
+    bounds of its queries, which are as many as its ids. Blocks none of whose queries has a
+    candidate are left out once that is known."""
     if bounds is None:
-        return met.withColumn("bounds", F.lit(None).cast("map<bigint,bigint>"))
-    ids = met.select("query_block", "q_ids").distinct()
+        asked = left.withColumn("bounds", F.lit(None).cast("array<struct<query_id:bigint,start:bigint,wanted:bigint>>"))
+    else:
+        by_block = bounds.groupBy("dims", "query_block").agg(
+            F.collect_list(F.struct("query_id", "start", "wanted")).alias("bounds"))
+        asked = left.join(by_block, ["dims", "query_block"])
+    sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    return sent.join(right, ["dims", "block"])
 
-    def unpack(batches):
-        for batch in batches:
-            for b, packed in zip(batch.column("query_block").to_pylist(), batch.column("q_ids").to_pylist()):
-                found = np.frombuffer(packed, np.int64)
-                yield pa.record_batch([
-                    pa.array(np.full(len(found), b, np.int32)), pa.array([packed] * len(found)), pa.array(found),
-                ], ["query_block", "q_ids", "query_id"])
 
-    each = common.mapped(ids, unpack, "query_block int, q_ids binary, query_id long").join(bounds, "query_id")
-    by_block = each.groupBy("query_block", "q_ids").agg(
-        F.map_from_entries(F.collect_list(F.struct("query_id", "start"))).alias("bounds"))
-    return met.join(by_block, ["query_block", "q_ids"])
+def _located(counts: DataFrame) -> DataFrame:
+    """(dims, query_block, query_id, start, wanted): the bucket that holds each query's k-th
+    score (the last one, where there are fewer), and which of its scores from the top that is."""
+    summed = counts.groupBy("dims", "query_block", "query_id", "start", "wanted").agg(F.sum("n").alias("n"))
+    down = Window.partitionBy("query_id").orderBy(F.col("start").desc())
+    running = summed.withColumns({
+        "upto": F.sum("n").over(down), "total": F.sum("n").over(Window.partitionBy("query_id"))})
+    rank, above = F.least("wanted", "total"), F.col("upto") - F.col("n")
+    return running.filter((F.col("upto") >= rank) & (above < rank)).select(
+        "dims", "query_block", "query_id", "start", (rank - above).alias("wanted"))
 
 
 def _rows(batches) -> Iterator[dict]:
@@ -158,41 +170,46 @@ def _rows(batches) -> Iterator[dict]:
         yield from batch.to_pylist()
 
 
-def _histogram(met, bounds, k, low, bits, wide) -> DataFrame:
-    """(query_id, start, n): scores per bucket of 2**wide, from the top down to a block's
-    k-th score, inside the bucket of 2**bits that bounds names; scores above it are counted
-    at their own bucket too, so the running sums stay whole."""
+def _histogram(met: DataFrame, k: int, low: int, bits: int, wide: int) -> DataFrame:
+    """(dims, query_block, query_id, start, wanted, n): all scores of a block counted in
+    buckets of 2**wide, inside each query's range of 2**bits."""
 
     def run(batches):
         for row in _rows(batches):
-            qi, ci, scores = scored(row["q_ids"], row["q_data"], row["ids"], row["data"], row["dims"])
-            if row["bounds"] is not None:
-                held = dict(row["bounds"])
-                floor = np.array([held.get(int(q), low) for q in qi], np.int64)
+            qi, _, scores = scored(row["q_ids"], row["q_data"], row["ids"], row["data"], row["dims"])
+            if row["bounds"] is None:
+                asked = np.arange(len(qi))
+                first, wanted = np.full(len(qi), low, np.int64), np.full(len(qi), k, np.int64)
             else:
-                floor = np.full(len(qi), low, np.int64)
-            top = min(k, len(ci))
-            best = -np.partition(-scores, top - 1, axis=1)[:, :top] if top else scores[:, :0]
-            # a block's k-th score bounds the global one from below
-            at = best >= floor[:, None]
-            queries = np.repeat(qi, top).reshape(best.shape)[at]
-            starts = ((best[at] - low) >> wide << wide) + low
-            pairs, n = np.unique(np.stack([queries, starts]), axis=1, return_counts=True)
-            yield pa.record_batch(
-                [pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n.astype(np.int64))], ["query_id", "start", "n"])
-
-    return common.mapped(_with_bounds(met, bounds).select(
-        "q_ids", "q_data", "ids", "data", "dims", "bounds"), run, "query_id long, start long, n long")
-
-
-def _reaching(met, bounds, k) -> DataFrame:
+                held = {b["query_id"]: (b["start"], b["wanted"]) for b in row["bounds"]}
+                asked = np.flatnonzero([q in held for q in qi.tolist()])
+                first, wanted = np.array([held[q] for q in qi[asked].tolist()], np.int64).reshape(-1, 2).T
+            # a query's own row lies below every range
+            within = scores[asked] - np.maximum(first, low)[:, None]
+            inside = (scores[asked] >= first[:, None]) & (within < 1 << bits)
+            across = 1 << (bits - wide)
+            at = (np.arange(len(asked)) * across)[:, None] + (within >> wide)
+            n = np.bincount(at[inside], minlength=len(asked) * across)
+            filled = np.flatnonzero(n)
+            query, bucket = filled // across, filled % across
+            yield pa.record_batch([
+                pa.array(np.full(len(filled), row["dims"], np.int32)),
+                pa.array(np.full(len(filled), row["query_block"], np.int32)),
+                pa.array(qi[asked][query]), pa.array(first[query] + (bucket << wide)), pa.array(wanted[query]),
+                pa.array(n[filled]),
+            ], ["dims", "query_block", "query_id", "start", "wanted", "n"])
+
+    return common.mapped(met, run, "dims int, query_block int, query_id long, start long, wanted long, n long")
+
+
+def _reaching(met: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score): scores that reach the k-th. Of a block's ties at most k,
     those with the smallest ids, can be among the best."""
 
     def run(batches):
         for row in _rows(batches):
             qi, ci, scores = scored(row["q_ids"], row["q_data"], row["ids"], row["data"], row["dims"])
-            held = dict(row["bounds"])
+            held = {b["query_id"]: b["start"] for b in row["bounds"]}
             order = np.argsort(ci, kind="stable")
             ci, scores = ci[order], scores[:, order]
             parts = []
@@ -203,5 +220,4 @@ def _reaching(met, bounds, k) -> DataFrame:
             yield pa.record_batch(
                 [pa.array(np.concatenate(x)) for x in zip(*parts)], ["query_id", "vec_id", "score"])
 
-    return common.mapped(_with_bounds(met, bounds).select(
-        "q_ids", "q_data", "ids", "data", "dims", "bounds"), run, "query_id long, vec_id long, score long")
+    return common.mapped(met, run, "query_id long, vec_id long, score long")

@@ -140,3 +140,97 @@ def test_grams_do_not_depend_on_the_batch():
     for i, t in enumerate(texts):
         alone, _, has = language.grams([t])
         assert alone.tolist() == hashes[owner == i].tolist() and has[0] == lettered[i]
+
+
+def test_samples_stay_bounded_with_a_hot_language_and_a_hot_id(spark):
+    rows = [(i, f"text {i}", "en" if i % 50 else "de") for i in range(3000)] + [(7, f"copy {i}", "en") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    ids = language._first_ids(docs.select("doc_id", "lang"), 100)
+    got = [(r.lang, r.doc_id) for r in ids.collect()]
+    first = {k: sorted((common_hash, i) for common_hash, i in v)[:100] for k, v in hashed(spark, rows).items()}
+    assert sorted(got) == sorted((k, i) for k, v in first.items() for _, i in v)
+    hot = spark.createDataFrame([(7, "en"), (50, "de"), (51, "en")], "doc_id long, lang string")
+    texts = sorted((r.doc_id, r.lang) for r in common.one_text_each(docs, hot, ["doc_id", "lang"]).collect())
+    assert texts == [(7, "en"), (50, "de"), (51, "en")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, quality int")
+    sample = common.labelled_sample(docs, labels, "quality", 4, 2, 200)
+    assert sample.count() == sample.select("doc_id").distinct().count() == 400
+
+
+def hashed(spark, rows):
+    """(hash as it orders ids, id) of each language's ids."""
+    out = {}
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("doc_id", "lang").distinct()
+    for r in df.selectExpr("doc_id", "lang", "shiftrightunsigned(xxhash64(doc_id), 12) AS h").collect():
+        out.setdefault(r.lang, []).append((r.h, r.doc_id))
+    return out
+
+
+def test_filters_hold_the_exact_grams(spark):
+    """The masks against plain sets: every n-gram of a language's set is found, and what else
+    is found is as rare as the chance that the model takes off."""
+    rng = random.Random(4)
+    letters = {"aa": "abcde", "bb": "defgh", "cc": "ghijk"}
+    rows = [(i, " ".join("".join(rng.choice(letters[lang]) for _ in range(5)) for _ in range(60)), lang)
+            for i in range(90) for lang in [sorted(letters)[i % 3]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    size = 1 << 16
+    model = language.fit(docs, size=size)
+    assert model.languages == ("aa", "bb", "cc")
+    counts = {lang: {} for lang in letters}
+    for i, text, lang in rows:
+        if crc(i, 4) != 2:
+            for g in language.grams([text])[0].tolist():
+                counts[lang][g] = counts[lang].get(g, 0) + 1
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    top = {}
+    for lang, c in counts.items():
+        for g, n in c.items():
+            top[g] = max(top.get(g, 0), n / total[lang])
+    sets = {lang: {g for g, n in c.items() if n >= language.TIMES and n / total[lang] >= language.SHARE * top[g] * (1 - 1e-9)}
+            for lang, c in counts.items()}
+    every = np.array(sorted(top), np.uint64)
+    masks = model.masks[0]
+    found = masks[language.slots(every, 0, size)]
+    for probe in range(1, language.PROBES):
+        found &= masks[language.slots(every, probe, size)]
+    for j, lang in enumerate(model.languages):
+        told = {int(g) for g, f in zip(every, found) if int(f) >> j & 1}
+        assert sets[lang] <= told
+        outside = len(every) - len(sets[lang])
+        assert len(told - sets[lang]) <= 5 + 3 * model.chance[j] * outside
+
+
+def test_matches_equal_a_plain_scan():
+    """Every entry tried at every beginning of a word, without an automaton."""
+    rng = random.Random(6)
+    syllables = ["zo", "rk", "mo", "ro", "n", "sa", "int"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    for _ in range(200):
+        weights = {word() + rng.choice(["", " "]): rng.choice([1.0, 2.0, 4.0]) for _ in range(8)}
+        text = " ".join(word() for _ in range(30))
+        match = toxicity.matcher(toxicity.Model(weights, frozenset()))
+        hits = weight = 0
+        for w in toxicity.words(text):
+            of = [x for e, x in weights.items() if (w + " ").startswith(e)]
+            if of:
+                hits, weight = hits + 1, weight + max(of)
+        assert match(text)[2] == hits and match(text)[1] == pytest.approx(weight)
+
+
+def test_scores_equal_plain_sums_of_sizes(spark):
+    """Sizes of all kilobytes of a text, each compressed by itself; formula written out."""
+    import zstandard
+
+    docs, labels = made(spark, 120)
+    model = quality.fit(docs, labels)
+    by = [zstandard.ZstdCompressor(
+        level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False,
+        write_checksum=False, write_dict_id=False) for d in (model.good, model.bad)]
+    found = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    for r in docs.collect():
+        raw = (r.text or "").encode()
+        good, bad = (sum(len(c.compress(raw[i: i + 1024])) for i in range(0, len(raw), 1024)) for c in by)
+        x = (10 * (bad - good) / (bad + good), 20 * max(0, 0.25 - good / len(raw)), np.log(1 + len(raw)) / 4) if raw else (0, 0, 0)
+        z = sum(w * v for w, v in zip(model.weights, (*x, 1)))
+        assert found[r.doc_id] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)

@@ -68,8 +68,26 @@ def test_pivots_only_discard(spark):
     fps = rng.integers(0, 1 << 63, 300).astype(np.uint64)
     fps[150:] = fps[:150] ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64))
     left, right = np.triu_indices(300, 1)
-    near = simhash.near_pairs(fps, left, right, 4, simhash.pivots())
+    table = np.bitwise_count(fps[:, None] ^ simhash.pivots()[None, :]).astype(np.int8)
+    near = simhash.near_pairs(fps, left, right, 4, table)
     assert (near == (np.bitwise_count(fps[left] ^ fps[right]) <= 4)).all()
+    # the column that is written once holds the same distances
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(fps.view(np.int64).tolist())], "i long, fp long")
+    rows = simhash.tabled(df).orderBy("i").collect()
+    packed = np.array([[r[c] for c in simhash.table_names()] for r in rows], "<i8")
+    assert (packed.view(np.int8).reshape(300, -1) == table).all()
+
+
+def test_cells_ordered_by_a_place_lose_no_near_pair():
+    rng = np.random.default_rng(2)
+    group = np.sort(rng.integers(0, 9, 400))
+    place = rng.integers(0, 64, 400).astype(np.int8)
+    place = place[np.lexsort((place, group))]
+    own, same = rng.integers(0, 2, 400), (group % 2 == 0)
+    got = [p for left, right in simhash.cell_pairs(group, own, same, 100, place, 4) for p in zip(left.tolist(), right.tolist())]
+    want = {(i, j) for i, j in itertools.combinations(range(400), 2)
+            if group[i] == group[j] and (same[i] or own[i] != own[j]) and place[j] - place[i] <= 4}
+    assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_nulls_repeats_and_clashing_columns(spark):
