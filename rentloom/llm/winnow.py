@@ -61,22 +61,26 @@ def _selected(found: Column, k: int, w: int) -> Column:
     return F.array_distinct(windows)
 
 
+def keys(text: Column, k: int = K, w: int = W) -> Column:
+    """The fingerprint as one long per hash, in the order of positions; see fingerprint."""
+    return bound(words(F.coalesce(text, F.lit(""))), lambda found: _selected(found, k, w))
+
+
+def hash_of(key: Column) -> Column:
+    return F.shiftrightunsigned(key, 32).cast("int")
+
+
+def position_of(key: Column) -> Column:
+    return F.lit(LOW) - key.bitwiseAND(F.lit(LOW))
+
+
 def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
     """array<struct<hash int, position bigint>> in the order of positions (words, from 0).
 
     Null counts as empty, and a text without words has no fingerprint. A text of fewer than
     k words has one, of all its words; one of fewer than w hashes has its smallest.
     """
-    keys = bound(words(F.coalesce(text, F.lit(""))), lambda found: _selected(found, k, w))
-    return F.transform(keys, lambda x: F.struct(
-        F.shiftrightunsigned(x, 32).cast("int").alias("hash"),
-        (F.lit(LOW) - x.bitwiseAND(F.lit(LOW))).alias("position")))
-
-
-def hashes(text: Column, k: int = K, w: int = W) -> Column:
-    """The hashes of the fingerprint alone, in the order of positions."""
-    keys = bound(words(F.coalesce(text, F.lit(""))), lambda found: _selected(found, k, w))
-    return F.transform(keys, lambda x: F.shiftrightunsigned(x, 32).cast("int"))
+    return F.transform(keys(text, k, w), lambda x: F.struct(hash_of(x).alias("hash"), position_of(x).alias("position")))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -86,7 +90,11 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def written(found: Column) -> Column:
-    return F.lower(F.array_join(F.transform(found, lambda x: F.hex(x)), " "))
+    return F.lower(F.array_join(F.transform(found, lambda x: F.hex(hash_of(x))), " "))
+
+
+def places(found: Column) -> Column:
+    return F.transform(found, lambda x: position_of(x).cast("int"))
 
 
 def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
@@ -111,7 +119,8 @@ def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
 
 
 def compared(docs: DataFrame, k: int = K, w: int = W, blocks: int | None = None) -> DataFrame:
-    """Every row's fingerprint beside that of its edited text and of its next document.
+    """Every row's fingerprint beside that of its edited text and of its next document, with the
+    positions of both (`positions`, `edited_positions`: word numbers from 0, one per hash).
 
     The edited text has its last third (rounded down) replaced by as many code points from
     the start of the next document by descending doc_id (after the last: the first). Null texts
@@ -127,10 +136,10 @@ def compared(docs: DataFrame, k: int = K, w: int = W, blocks: int | None = None)
     down = Window.partitionBy("block").orderBy("guest", F.col("doc_id").desc())
     following = Window.partitionBy("block").orderBy("rank").rangeBetween(1, 1)
     ranked = dealt.withColumn("rank", F.dense_rank().over(down)).withColumn("mark", F.xxhash64("text"))
-    own = ranked.withColumn("own", hashes(F.col("text"), k, w))
+    own = ranked.withColumn("own", keys(F.col("text"), k, w))
     joined = own.withColumn("next", F.min_by(F.struct("text", "own"), "mark").over(following)).filter("guest = 0")
-    alone = rows.filter("doc_id is null").withColumn("own", hashes(F.col("text"), k, w)).withColumn(
-        "next", F.struct(F.lit("").alias("text"), F.array().cast("array<int>").alias("own")))
+    alone = rows.filter("doc_id is null").withColumn("own", keys(F.col("text"), k, w)).withColumn(
+        "next", F.struct(F.lit("").alias("text"), F.array().cast("array<bigint>").alias("own")))
     names = ["doc_id", "text", "own", "next"]
     both = joined.select(*names).unionByName(alone.select(F.col("doc_id").cast("long"), *names[1:]))
     size = F.char_length("text")
@@ -138,8 +147,9 @@ def compared(docs: DataFrame, k: int = K, w: int = W, blocks: int | None = None)
     edited = both.select(
         "doc_id", size.cast("long").alias("n_chars"), "own", F.col("next.own").alias("next_own"),
         F.concat(F.substring("text", F.lit(1), size - third), F.substring("next.text", F.lit(1), third)).alias("edited"))
-    return edited.withColumn("edited_own", hashes(F.col("edited"), k, w)).select(
+    alike = [F.transform(c, hash_of) for c in ("own", "edited_own", "next_own")]
+    return edited.withColumn("edited_own", keys(F.col("edited"), k, w)).select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("own")).alias("fingerprint"), written(F.col("edited_own")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_own")).alias("near_next"))
+        places(F.col("own")).alias("positions"), places(F.col("edited_own")).alias("edited_positions"),
+        likeness(alike[0], alike[1]).alias("near_edited"), likeness(alike[0], alike[2]).alias("near_next"))

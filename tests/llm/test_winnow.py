@@ -79,6 +79,12 @@ def test_query_against_brute_force(spark, smallest, small):
             a, b = set(r.fingerprint.split()), set(other.split())
             assert abs(value - (len(a & b) / len(a | b) if a | b else 1.0)) < 1e-12
         assert r.near_edited == 1 or r.fingerprint != r.edited_fingerprint
+        assert len(r.positions) == len(r.fingerprint.split()) and r.positions == sorted(set(r.positions))
+        assert len(r.edited_positions) == len(r.edited_fingerprint.split())
+    # equal places come from equal words: what an edited text shares with its own stands there too
+    r = max(got.values(), key=lambda r: len(r.positions))
+    kept = [(p, h) for p, h in zip(r.positions, r.fingerprint.split()) if p < max(r.positions) // 2]
+    assert kept and set(kept) <= set(zip(r.edited_positions, r.edited_fingerprint.split()))
     by_text = {}
     for i, t in texts.items():
         by_text.setdefault(t, set()).add(got[i].fingerprint)
