@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -13,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentloom.session import deleted_at_exit, shared_folder
+from rentloom.session import delete_folder, deleted_at_exit, shared_folder
 
 #: Most members of a group that one task compares with one another; larger groups are
 #: compared block against block, each pair of blocks in a task of its own.
@@ -26,12 +28,37 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Tables that are only needed inside the `passing` blocks that are open, the innermost last.
+_passing: list[list[str]] = []
+
+
+def freed(spark: SparkSession) -> None:
+    """Shuffle files of frames that nothing refers to any more are deleted now. Spark does so when
+    the driver collects garbage, which else happens long after a step is written down."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession):
+    """Tables landed inside are deleted at the end, with the shuffle files made on the way. What
+    is to stay is `written` inside, so nothing left needs them, were an executor lost."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            delete_folder(spark, path)
+        freed(spark)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Rows written to the shared folder, so that lost executors cost nothing done before.
     Spark deletes them with the frame where its cleaner is set to."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
+    freed(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -40,13 +67,17 @@ def written(df: DataFrame, name: str) -> str:
     ends or earlier by session.delete_folder."""
     path = f"{shared_folder(df.sparkSession)}-{name}"
     deleted_at_exit(df.sparkSession, path)
+    freed(df.sparkSession)
     df.write.parquet(path)
     return path
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet below the shared folder and read again."""
-    return df.sparkSession.read.parquet(written(df, name))
+    path = written(df, name)
+    if _passing:
+        _passing[-1].append(path)
+    return df.sparkSession.read.parquet(path)
 
 
 @functools.cache

@@ -441,7 +441,10 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 def without_repeats(docs: DataFrame, heading: int = HEADING) -> DataFrame:
     """docs with the removed passages cut out of their texts; all rows and columns stay, and so
     do paragraphs of fewer than `heading` words."""
-    spans = common.landed(_repeats(docs), "repeats").filter(F.col("removed") & (F.col("words") >= heading)).groupBy(
+    spark = docs.sparkSession
+    with common.passing(spark):
+        found = common.written(_repeats(docs), "repeats")
+    spans = spark.read.parquet(found).filter(F.col("removed") & (F.col("words") >= heading)).groupBy(
         F.col("doc_id").alias("_doc_id"), F.col("version").alias("_version"),
     ).agg(F.collect_list(F.struct("first_char", "end_char")).alias("_spans"))
     same = (F.col("doc_id") == F.col("_doc_id")) & (F.hash("text") == F.col("_version"))
