@@ -103,9 +103,18 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     """
     spark = df.sparkSession
     prepared(spark)
+
+    def returning(batches):
+        try:
+            yield from run(batches)
+        finally:
+            # a worker lives on for other stages; what it needed here goes back to the system
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
+
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(returning, schema)
 
 
 def in_batches(
