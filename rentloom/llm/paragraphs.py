@@ -1,12 +1,13 @@
-"""Repeated passages, by MinHash bands over paragraphs and by pieces that fit anywhere.
+"""Repeated passages, by MinHash bands over paragraphs and by word runs that fit anywhere.
 
 A paragraph is a line, or neighbouring lines that are hard-wrapped (their lines are then
 paragraphs too). Paragraphs are sketched by MinHash over shingles of five words; those that
 collide in a band are joined, compared by their exact Jaccard similarity, and clustered by
 connected components. A passage may also stand inside longer lines or run over line ends, so
-every text is cut as well into pieces whose borders depend only on the words near them: equal
-passages fall into equal pieces wherever they stand, and runs of pieces meet by the hash of
-the whole run. Of each cluster the first place (by doc_id, then position) stays.
+runs of GRAM words are picked from every text, one at least of any WINDOW neighbours and by their
+words alone: whatever RUN words two places share, a picked run is among them. Places that
+share picked runs are compared on their texts and extended word by word to both sides.
+Of each cluster the first place (by doc_id, then position) stays.
 """
 
 from __future__ import annotations
@@ -29,15 +30,16 @@ from rentloom.llm.simhash import cell_pairs, forest
 WORDS, LIKE = 5, 0.8
 #: Bands and rows of a band: a pair at LIKE collides with 1 - (1 - LIKE**ROWS)**BANDS = 99.8 %.
 BANDS, ROWS = 6, 2
-#: Least words of a paragraph that is removed, and of a run of pieces that is told. Shorter
+#: Least words of a paragraph that is removed, and of a passage inside lines that is told. Shorter
 #: paragraphs are told too, but they are headings and phrases that documents share and keep.
 HEADING, RUN = 10, 20
 #: Most characters of a hard-wrapped line.
 WIDE = 200
-#: A piece starts at a word whose hash is the smallest among so many to either side.
-REACH = 4
-#: Most words of a piece.
-LONGEST = 32
+#: Words of a run that is picked, and neighbouring runs of which one is: RUN words hold a window.
+GRAM = RUN // 2 + 1
+WINDOW = RUN - GRAM + 1
+#: Words to either side of a match that are compared with its first place.
+BESIDE = RUN
 #: A character of a script that writes no spaces between words, and a word.
 UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 WORD = regex.compile(rf"{UNSPACED.pattern}|(?:(?!{UNSPACED.pattern})\S)+")
@@ -137,41 +139,26 @@ class Words:
         joined = [x[count > 1] for x in (*self.runs(begins), 2 * line[head], line[head])]
         return [np.concatenate(x) for x in zip((first, size, digest, 2 * line + 1, owner), joined)]
 
-    def pieces(self, reach: int = REACH):
-        """Runs between the smallest hashes of their neighbourhood, wherever lines end."""
-        pairs = self.hash.copy()
-        together = self.text[1:] == self.text[:-1]
-        pairs[1:][together] = mixed(self.hash[1:] + self.hash[:-1] * np.uint64(3))[together]
-        n = len(pairs)
-        begins = np.ones(n, bool)
-        begins[1:] = ~together
-        lowest = np.ones(n, bool)
-        for s in range(1, reach + 1):
-            if s >= n:
-                break
-            same = self.text[s:] == self.text[:-s]
-            lowest[s:] &= ~same | (pairs[s:] < pairs[:-s])
-            lowest[:-s] &= ~same | (pairs[:-s] <= pairs[s:])
-        begins |= lowest
-        # where words repeat and repeat, no hash is the smallest; such runs are cut by count
-        at = np.arange(n)
-        last = np.maximum.accumulate(np.where(begins, at, 0)) if n else at
-        return self.runs(begins | ((at - last) % LONGEST == 0))
-
-    def passages(self, least: int = RUN):
-        """First and last piece and hash of the shortest runs of pieces of one text that have
-        at least `least` words, one from each piece on; and the pieces' first word and words."""
-        first, size, digest = self.pieces()
-        text, ends = self.text[first], first + size
-        last = np.searchsorted(ends, first + least)
-        whole = last < len(first)
-        whole[whole] = text[last[whole]] == text[whole]
-        begin, last = np.flatnonzero(whole), last[whole]
-        joined = mixed(digest[begin])
-        for step in range(1, int((last - begin).max(initial=0)) + 1):
-            more = begin + step <= last
-            joined[more] = mixed(joined[more] * np.uint64(0x9E3779B97F4A7C15) + digest[begin[more] + step])
-        return begin, last, joined, first, size
+    def picked(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of the runs of GRAM words that are the smallest, the rightmost
+        of equals, of WINDOW neighbours in one text, wherever lines end."""
+        n = len(self.hash) - RUN + 1
+        if n <= 0:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        runs = np.zeros(n + WINDOW - 1, np.uint64)
+        for i in range(GRAM):
+            runs *= np.uint64(0x9E3779B97F4A7C15)
+            runs += self.hash[i: i + len(runs)]
+        runs = mixed(runs)
+        best, at = runs[:n].copy(), np.arange(n)
+        for i in range(1, WINDOW):
+            lower = runs[i: i + n] <= best
+            at[lower] = np.flatnonzero(lower) + i
+            np.minimum(best, runs[i: i + n], out=best)
+        chosen = np.zeros(len(runs), bool)
+        chosen[at[self.text[:n] == self.text[RUN - 1:]]] = True
+        first = np.flatnonzero(chosen)
+        return first, runs[first]
 
     def shingles(self, first: np.ndarray, size: np.ndarray, words: int = WORDS):
         """Hashes of the shingles of runs of at least `words` words: flat, and sizes."""
@@ -212,7 +199,7 @@ def _named(part: pa.RecordBatch, text: np.ndarray) -> list[pa.Array]:
 
 SKETCH = (
     "doc_id long, version int, hash long, first_char int, end_char int, words int, line int, owner int, "
-    "bands array<long>, piece int, pieces int, first_word int, end_word int")
+    "bands array<long>, word int")
 
 
 def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
@@ -220,8 +207,8 @@ def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
 
     Paragraphs of `least` words or more (a shingle at least) have line and owner (number and
     owner as paragraphs() gives them), words, and bands, a hash for each band of the MinHash.
-    Runs of pieces that passages() gives have piece (the first one's number), pieces,
-    first_word and end_word. Both have the hash of their words and their place.
+    Runs that picked() gives have word, the number of their first one. Both have the hash of
+    their words; paragraphs have their place as well.
     """
     names = [f.split()[0] for f in SKETCH.split(", ")]
     kinds = [pa.list_(pa.int64()) if n == "bands" else pa.int64() if n in ("doc_id", "hash") else pa.int32() for n in names]
@@ -250,16 +237,9 @@ def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
             line=number, owner=owner, bands=pa.ListArray.from_arrays(offsets, _signed(keys.ravel())))
 
     def passages(part: pa.RecordBatch, w: Words):
-        begin, last, digest, first, size = w.passages()
-        if len(begin) == 0:
-            return
-        text = w.text[first[begin]]
-        zero = np.searchsorted(w.text, text)
-        final = first[last] + size[last] - 1
-        yield rows(
-            part, text, hash=_signed(digest), first_char=w.start[first[begin]], end_char=w.end[final],
-            piece=begin - np.searchsorted(w.text[first], text), pieces=last - begin + 1, first_word=first[begin] - zero,
-            end_word=final + 1 - zero)
+        first, digest = w.picked()
+        text = w.text[first]
+        yield rows(part, text, hash=_signed(digest), word=first - np.searchsorted(w.text, text))
 
     def run(batches):
         seeds = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
@@ -278,8 +258,7 @@ def lines_of(sketches: DataFrame) -> DataFrame:
 
 
 def passages_of(sketches: DataFrame) -> DataFrame:
-    return sketches.filter("piece is not null").select(
-        "doc_id", "version", "piece", "pieces", "hash", "first_char", "end_char", "first_word", "end_word")
+    return sketches.filter("word is not null").select("doc_id", "version", "word", "hash")
 
 
 def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -378,30 +357,152 @@ def repeated_lines(docs: DataFrame, block: int = common.BLOCK, sketches: DataFra
         F.col("kept.doc_id").alias("kept_doc_id"), "removed").distinct()
 
 
-def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
-    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
-    least RUN words that stand elsewhere as a whole, joined where they follow one another
-    here and in the kept place. Places that overlap the kept one are no repeats.
-    A passage of a repeated row has the rank of the same one in the other rows."""
-    passages = passages_of(common.landed(sketched(docs), "sketches") if sketches is None else sketches)
-    own, kept, other = ("doc_id", "version"), F.col("kept"), F.col("other")
-
-    def apart(place, kept):
-        return (place["doc_id"] != kept["doc_id"]) | (place["version"] != kept["version"]) | (
-            place["piece"] >= kept["piece"] + F.col("pieces"))
-
-    at = F.struct(*own, "piece")
-    places = _places(passages, "hash", ["piece"], lambda: apart(other, kept)).filter(
-        ~F.col("removed") | apart(at, kept))
-    line = ["doc_id", "version", "removed", "kept_doc_id", "kept_version", "ahead"]
-    runs = places.withColumns({
-        "kept_doc_id": kept["doc_id"], "kept_version": kept["version"], "ahead": F.col("piece") - kept["piece"],
-    })
-    runs = runs.withColumn("run", F.col("piece") - F.dense_rank().over(Window.partitionBy(*line).orderBy("piece")))
+def _edges(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Where the words of a text start and end, and whether it holds scripts without spaces."""
+    if not text.isascii() and UNSPACED.search(text):
+        places = np.array([m.span() for m in WORD.finditer(text)], np.int64).reshape(-1, 2)
+        return places[:, 0], places[:, 1], True
+    space = np.concatenate(([True], _space()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], [True]))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    return edges[0::2], edges[1::2], False
+
+
+def _split(text: str, unspaced: bool) -> list[str]:
+    return [m.group().lower() for m in WORD.finditer(text)] if unspaced else text.lower().split()
+
+
+AROUND = (
+    "doc_id long, version int, a int, b int, words_are binary, first_char int, end_char int, "
+    "left array<long>, right array<long>, starts array<int>, ends array<int>")
+
+
+def around(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Words a to b of the texts wanted: a digest of 128 bits of them, where they stand, and the
+    hashes, starts and ends of the BESIDE words before (nearest first) and after them."""
+    by_doc = wanted.distinct().groupBy("doc_id", "version").agg(F.collect_list(F.struct("a", "b")).alias("asked"))
+    joined = versions(docs).join(by_doc, ["doc_id", "version"])
+    fields = [f.split() for f in AROUND.split(", ")]
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+             "array<int>": pa.list_(pa.int32())}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in fields])
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
+
+    def rows(doc_id: int, version: int, text: str, asked: list[dict]):
+        known = _hashes()
+        start, end, unspaced = _edges(text)
+
+        def words(a: int, b: int) -> list[str]:
+            return _split(text[start[a]: end[b - 1]], unspaced) if a < b else []
+
+        def hashes(found: list[str]) -> np.ndarray:
+            return np.array([known[w] for w in found], np.uint64).view(np.int64)
+
+        for a, b in ((x["a"], x["b"]) for x in asked):
+            low, high = max(0, a - BESIDE), min(len(start), b + BESIDE)
+            digest = xxhash.xxh3_128_digest(" ".join(words(a, b)).encode("utf-8", "surrogatepass"))
+            yield (
+                doc_id, version, a, b, digest, start[a], end[b - 1], hashes(words(low, a)[::-1]), hashes(words(b, high)),
+                start[low:a][::-1].astype(np.int32), end[b:high].astype(np.int32))
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "version", "text", "asked")]
+            found = []
+            for row in zip(*columns):
+                found += rows(*row)
+                if len(found) >= AT_ONCE:
+                    yield batch_of(found)
+                    found = []
+            if found:
+                yield batch_of(found)
+
+    # rows that share doc_id and text give the same; tasks drop what they repeat before the shuffle
+    return common.mapped(joined, run, AROUND).dropDuplicates(["doc_id", "version", "a", "b"])
+
+
+def shared_runs(sketches: DataFrame, gram: int = GRAM) -> DataFrame:
+    """(doc_id, version, a, b, kept_doc_id, kept_version, ahead): words a to b that picked runs
+    cover without a gap here and, `ahead` words before, in the first place that holds them.
+
+    Hashes are counted alone, so that places are shuffled on only for those that occur twice."""
+    picked = passages_of(sketches)
+    twice = picked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
+    found = common.landed(picked.join(twice.hint("shuffle_hash"), "hash"), "twice")
+    at = F.struct("doc_id", "version", "word")
+    summed = found.groupBy("hash").agg(F.min(at).alias("kept"))
+    kept = F.col("kept")
+    own = (F.col("doc_id") == kept["doc_id"]) & (F.col("version") == kept["version"])
+    places = found.join(summed, "hash").filter(~own | (F.col("word") >= kept["word"] + gram)).select(
+        "doc_id", "version", "word", kept["doc_id"].alias("kept_doc_id"), kept["version"].alias("kept_version"),
+        (F.col("word") - kept["word"]).alias("ahead"))
+    line = ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"]
+    ordered = Window.partitionBy(*line).orderBy("word")
+    gap = F.coalesce(F.col("word") - F.lag("word").over(ordered) > gram, F.lit(False)).cast("int")
+    runs = places.withColumn("gap", gap).withColumn("run", F.sum("gap").over(ordered))
     return runs.groupBy(*line, "run").agg(
+        F.min("word").alias("a"), (F.max("word") + gram).alias("b")).drop("run")
+
+
+def _equal(left: str, right: str):
+    """How many elements two arrays have in common from the first on."""
+    same = F.zip_with(left, right, lambda x, y: x.eqNullSafe(y))
+    other = F.array_position(same, False).cast("int")
+    return F.when(other == 0, F.size(same)).otherwise(other - 1)
+
+
+def _joined(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Passages (first_word, end_word, first_char, end_char) that overlap, as one."""
+    ordered = Window.partitionBy(*by).orderBy("first_word", "end_word")
+    before = F.max("end_word").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    begins = rows.distinct().withColumn("begins", F.coalesce(F.col("first_word") > before, F.lit(False)).cast("int"))
+    return begins.withColumn("run", F.sum("begins").over(ordered)).groupBy(*by, "run").agg(
         F.min("first_char").cast("long").alias("first_char"), F.max("end_char").cast("long").alias("end_char"),
-        (F.max("end_word") - F.min("first_word")).cast("long").alias("words"),
-    ).select("doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed")
+        (F.max("end_word") - F.min("first_word")).cast("long").alias("words"))
+
+
+def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int = RUN) -> DataFrame:
+    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
+    least `least` words that stand elsewhere as a whole, compared on the texts (a digest of 128
+    bits within, word by word at the ends). In one text a passage ends where its copy begins.
+    A passage of a repeated row has the rank of the same one in the other rows. Every picked run
+    is compared with its first place alone: words that only a later place continues are missed
+    where that first place breaks off before `least` words."""
+    sketches = common.landed(sketched(docs), "sketches") if sketches is None else sketches
+    runs = common.landed(shared_runs(sketches), "runs")
+    first = runs.select(
+        F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), (F.col("a") - F.col("ahead")).alias("a"),
+        (F.col("b") - F.col("ahead")).alias("b"))
+    places = common.landed(around(docs, runs.select("doc_id", "version", "a", "b").unionByName(first)), "around")
+    kept = places.select(*[F.col(c).alias(f"kept_{c}") for c in places.columns]).withColumnsRenamed(
+        {"kept_doc_id": "at_doc_id", "kept_version": "at_version"})
+    both = runs.join(places, ["doc_id", "version", "a", "b"]).join(kept, (
+        (F.col("kept_doc_id") == F.col("at_doc_id")) & (F.col("kept_version") == F.col("at_version"))
+        & (F.col("a") - F.col("ahead") == F.col("kept_a")) & (F.col("b") - F.col("ahead") == F.col("kept_b"))))
+    inside = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("version") == F.col("kept_version"))
+    room = F.when(inside, F.greatest(F.lit(0), F.col("ahead") - F.col("b") + F.col("a"))).otherwise(2 * BESIDE)
+    verified = both.filter("words_are = kept_words_are").withColumn(
+        "before", F.least(_equal("left", "kept_left"), room)).withColumn(
+        "after", F.least(_equal("right", "kept_right"), room - F.col("before"))).filter(
+        F.col("b") - F.col("a") + F.col("before") + F.col("after") >= least)
+
+    def place(of: str, *names: str) -> list:
+        def edge(char: str, chars: str, more: str):
+            return F.when(F.col(more) == 0, F.col(of + char)).otherwise(F.get(F.col(of + chars), F.col(more) - 1)).alias(char)
+
+        return [
+            *names, (F.col(of + "a") - F.col("before")).alias("first_word"), (F.col(of + "b") + F.col("after")).alias("end_word"),
+            edge("first_char", "starts", "before"), edge("end_char", "ends", "after")]
+
+    line = ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"]
+    told = common.landed(verified.select(*place("", *line), F.struct(*place("kept_")).alias("kept")), "told")
+    removed = _joined(told.drop("kept"), line).withColumn("removed", F.lit(True))
+    stays = _joined(told.select(
+        F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), "kept.*"), ["doc_id", "version"])
+    stays = stays.withColumn("kept_doc_id", F.col("doc_id")).withColumn("removed", F.lit(False))
+    names = ["doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed"]
+    return removed.select(*names).unionByName(stays.select(*names))
 
 
 def repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:

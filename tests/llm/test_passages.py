@@ -117,3 +117,84 @@ def test_a_wrapped_paragraph_and_its_line_are_no_repeat(spark):
     verse = " ".join(prose(rng, 12))
     found = par.repeated_lines(frame(spark, [(1, "\n".join([verse, " ".join(prose(rng, 12)), verse]))])).collect()
     assert [(r.removed, r.words) for r in sorted(found, key=lambda r: r.first_char)] == [(False, 12), (True, 12)]
+
+
+def inside(words, start, end):
+    """The words within the span, by counting those before it."""
+    return words[start:end].lower().split()
+
+
+def test_every_exact_passage_from_the_least_length_on_is_found_whole(spark):
+    """20 to 60 words inside longer lines: recall and share of the passage that is cut."""
+    rng, rows, passages = random.Random(21), [], {}
+    for k in range(200):
+        passage = prose(rng, 20 + k % 41)
+        passages[2 * k + 1] = passage
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, " ".join(prose(rng, rng.randint(0, 60)) + passage + prose(rng, rng.randint(0, 60)))))
+    texts = dict(rows)
+    found = {r.doc_id: r for r in par.repeated_runs(frame(spark, rows)).collect() if r.removed}
+    assert set(found) == set(passages)
+    for i, r in found.items():
+        got = texts[i][r.first_char: r.end_char].split()
+        assert " ".join(passages[i]) in " ".join(got) and r.words == len(got) and r.kept_doc_id == i - 1
+
+
+def test_passages_against_all_windows(spark):
+    """A word is told where it lies in RUN words that stand in two places; brute force. The
+    passages begin and break off at many words, so that first places often share too few."""
+    rng = random.Random(22)
+    parts = [prose(rng, rng.randint(12, 45)) for _ in range(25)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            part = rng.choice(parts)
+            at = rng.randint(0, 8)
+            words += part[at:] if rng.random() < 0.5 else part[: len(part) - at]
+            words += prose(rng, rng.randint(0, 15))
+        rows.append((i, wrapped(words, 9)))
+    split = {i: t.split() for i, t in rows}
+    seen = {}
+    for i, words in split.items():
+        for a in range(len(words) - par.RUN + 1):
+            seen.setdefault(tuple(words[a: a + par.RUN]), []).append((i, a))
+    twice, later = set(), set()
+    for held in seen.values():
+        for i, a in held if len(held) > 1 else []:
+            twice |= {(i, a + j) for j in range(par.RUN)}
+            later |= {(i, a + j) for j in range(par.RUN) if (i, a) != min(held)}
+    texts, told, removed = dict(rows), set(), set()
+    for r in par.repeated_runs(frame(spark, rows)).collect():
+        before = len(texts[r.doc_id][: r.first_char].split())
+        span = {(r.doc_id, before + j) for j in range(r.words)}
+        assert len(inside(texts[r.doc_id], r.first_char, r.end_char)) == r.words
+        told |= span
+        removed |= span if r.removed else set()
+        if r.removed:
+            assert " ".join(inside(texts[r.doc_id], r.first_char, r.end_char)) in " ".join(split[r.kept_doc_id])
+    assert told <= twice and removed <= later
+    assert len(removed) >= 0.9 * len(later) and len(told) >= 0.9 * len(twice)
+
+
+def test_passages_of_scripts_without_spaces_inside_lines(spark):
+    rng = random.Random(23)
+
+    def han(n):
+        return "".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(n))
+
+    same = han(40)
+    rows = [(1, han(90) + same + han(70)), (2, "x " + han(33) + same + han(120)), (3, han(200))]
+    texts = dict(rows)
+    found = par.repeated_runs(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.removed, r.words, texts[r.doc_id][r.first_char: r.end_char]) for r in found} == {
+        (1, False, 40, same), (2, True, 40, same)}
+
+
+def test_a_text_that_repeats_itself_keeps_its_first_period(spark):
+    rng = random.Random(24)
+    verse = prose(rng, 25)
+    rows = [(1, " ".join(verse * 4)), (2, "na " * 500), (3, None), (4, "")]
+    out = {r.doc_id: r.text for r in par.without_repeats(frame(spark, rows)).collect()}
+    assert out[1].split()[:25] == verse and len(out[1].split()) < 50
+    assert 11 <= len(out[2].split()) < 40 and out[3] is None and out[4] == ""
