@@ -40,6 +40,8 @@ GRAM = RUN // 2 + 1
 WINDOW = RUN - GRAM + 1
 #: Words to either side of a match that are compared with its first place.
 BESIDE = RUN
+#: Words to either side of a picked run of which four bits each go with it.
+NEAR = 8
 #: A character of a script that writes no spaces between words, and a word.
 UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 WORD = regex.compile(rf"{UNSPACED.pattern}|(?:(?!{UNSPACED.pattern})\S)+")
@@ -139,12 +141,13 @@ class Words:
         joined = [x[count > 1] for x in (*self.runs(begins), 2 * line[head], line[head])]
         return [np.concatenate(x) for x in zip((first, size, digest, 2 * line + 1, owner), joined)]
 
-    def picked(self) -> tuple[np.ndarray, np.ndarray]:
+    def picked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First words and hashes of the runs of GRAM words that are the smallest, the rightmost
-        of equals, of WINDOW neighbours in one text, wherever lines end."""
+        of equals, of WINDOW neighbours in one text, wherever lines end; and four bits of each of
+        the NEAR words before (low half, nearest lowest) and after."""
         n = len(self.hash) - RUN + 1
         if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
         runs = np.zeros(n + WINDOW - 1, np.uint64)
         for i in range(GRAM):
             runs *= np.uint64(0x9E3779B97F4A7C15)
@@ -158,7 +161,14 @@ class Words:
         chosen = np.zeros(len(runs), bool)
         chosen[at[self.text[:n] == self.text[RUN - 1:]]] = True
         first = np.flatnonzero(chosen)
-        return first, runs[first]
+        near = np.zeros(len(first), np.uint64)
+        for i in range(NEAR):
+            for at, shift in ((first - 1 - i, 4 * i), (first + GRAM + i, 32 + 4 * i)):
+                within = np.clip(at, 0, len(self.hash) - 1)
+                here = (at == within) & (self.text[within] == self.text[first])
+                bits = np.where(here, self.hash[within] >> np.uint64(60), np.uint64(0))
+                near |= bits << np.uint64(shift)
+        return first, runs[first], near
 
     def shingles(self, first: np.ndarray, size: np.ndarray, words: int = WORDS):
         """Hashes of the shingles of runs of at least `words` words: flat, and sizes."""
@@ -199,7 +209,7 @@ def _named(part: pa.RecordBatch, text: np.ndarray) -> list[pa.Array]:
 
 SKETCH = (
     "doc_id long, version int, hash long, first_char int, end_char int, words int, line int, owner int, "
-    "bands array<long>, word int")
+    "bands array<long>, word int, near long")
 
 
 def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
@@ -207,11 +217,11 @@ def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
 
     Paragraphs of `least` words or more (a shingle at least) have line and owner (number and
     owner as paragraphs() gives them), words, and bands, a hash for each band of the MinHash.
-    Runs that picked() gives have word, the number of their first one. Both have the hash of
+    Runs that picked() gives have word, the number of their first one, and near. Both have the hash of
     their words; paragraphs have their place as well.
     """
     names = [f.split()[0] for f in SKETCH.split(", ")]
-    kinds = [pa.list_(pa.int64()) if n == "bands" else pa.int64() if n in ("doc_id", "hash") else pa.int32() for n in names]
+    kinds = [pa.list_(pa.int64()) if n == "bands" else pa.int64() if n in ("doc_id", "hash", "near") else pa.int32() for n in names]
 
     def rows(part: pa.RecordBatch, text: np.ndarray, **columns) -> pa.RecordBatch:
         found = dict(zip(("doc_id", "version"), _named(part, text))) | {
@@ -237,9 +247,9 @@ def sketched(docs: DataFrame, least: int = WORDS) -> DataFrame:
             line=number, owner=owner, bands=pa.ListArray.from_arrays(offsets, _signed(keys.ravel())))
 
     def passages(part: pa.RecordBatch, w: Words):
-        first, digest = w.picked()
+        first, digest, near = w.picked()
         text = w.text[first]
-        yield rows(part, text, hash=_signed(digest), word=first - np.searchsorted(w.text, text))
+        yield rows(part, text, hash=_signed(digest), near=_signed(near), word=first - np.searchsorted(w.text, text))
 
     def run(batches):
         seeds = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
@@ -258,7 +268,7 @@ def lines_of(sketches: DataFrame) -> DataFrame:
 
 
 def passages_of(sketches: DataFrame) -> DataFrame:
-    return sketches.filter("word is not null").select("doc_id", "version", "word", "hash")
+    return sketches.filter("word is not null").select("doc_id", "version", "word", "near", "hash")
 
 
 def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -422,27 +432,39 @@ def around(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return common.mapped(joined, run, AROUND).dropDuplicates(["doc_id", "version", "a", "b"])
 
 
-def shared_runs(sketches: DataFrame, gram: int = GRAM) -> DataFrame:
+def shared_runs(sketches: DataFrame, gram: int = GRAM, least: int = RUN) -> DataFrame:
     """(doc_id, version, a, b, kept_doc_id, kept_version, ahead): words a to b that picked runs
     cover without a gap here and, `ahead` words before, in the first place that holds them.
 
-    Hashes are counted alone, so that places are shuffled on only for those that occur twice."""
+    Hashes are counted alone, so that places are shuffled on only for those that occur twice.
+    Left out is what cannot reach `least` words, as bits of the words beside it differ too soon."""
     picked = passages_of(sketches)
     twice = picked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
     found = common.landed(picked.join(twice.hint("shuffle_hash"), "hash"), "twice")
-    at = F.struct("doc_id", "version", "word")
+    at = F.struct("doc_id", "version", "word", "near")
     summed = found.groupBy("hash").agg(F.min(at).alias("kept"))
     kept = F.col("kept")
     own = (F.col("doc_id") == kept["doc_id"]) & (F.col("version") == kept["version"])
+    differ = F.col("near").bitwiseXOR(kept["near"])
+
+    def alike(bits):
+        """Words whose bits agree, from the nearest on: four zero bits each, below the first one."""
+        return F.least(F.shiftright(F.bit_count(bits.bitwiseAND(-bits) - 1), 2), F.lit(NEAR))
+
     places = found.join(summed, "hash").filter(~own | (F.col("word") >= kept["word"] + gram)).select(
         "doc_id", "version", "word", kept["doc_id"].alias("kept_doc_id"), kept["version"].alias("kept_version"),
-        (F.col("word") - kept["word"]).alias("ahead"))
+        (F.col("word") - kept["word"]).alias("ahead"),
+        alike(differ.bitwiseAND(F.lit((1 << 32) - 1))).alias("before"), alike(F.shiftrightunsigned(differ, 32)).alias("after"))
     line = ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"]
     ordered = Window.partitionBy(*line).orderBy("word")
     gap = F.coalesce(F.col("word") - F.lag("word").over(ordered) > gram, F.lit(False)).cast("int")
     runs = places.withColumn("gap", gap).withColumn("run", F.sum("gap").over(ordered))
     return runs.groupBy(*line, "run").agg(
-        F.min("word").alias("a"), (F.max("word") + gram).alias("b")).drop("run")
+        F.min("word").alias("a"), (F.max("word") + gram).alias("b"), F.min_by("before", "word").alias("before"),
+        F.max_by("after", "word").alias("after"),
+    ).filter(
+        (F.col("b") - F.col("a") + F.col("before") + F.col("after") >= least) | (F.col("before") == NEAR) | (F.col("after") == NEAR)
+    ).drop("run", "before", "after")
 
 
 def _equal(left: str, right: str):
@@ -470,7 +492,7 @@ def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int
     is compared with its first place alone: words that only a later place continues are missed
     where that first place breaks off before `least` words."""
     sketches = common.landed(sketched(docs), "sketches") if sketches is None else sketches
-    runs = common.landed(shared_runs(sketches), "runs")
+    runs = common.landed(shared_runs(sketches, least=least), "runs")
     first = runs.select(
         F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), (F.col("a") - F.col("ahead")).alias("a"),
         (F.col("b") - F.col("ahead")).alias("b"))

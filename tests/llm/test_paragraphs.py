@@ -132,11 +132,11 @@ def test_query_leaves_no_repeat_over_fifty_words(spark, smallest, small):
 def test_picked_runs_do_not_depend_on_the_batch():
     texts = [" ".join(prose(n)) + "\n" + " ".join(prose(n)) for n in (1, 5, 40, 200)] + ["", "a " * 100]
     words = par.Words(texts)
-    first, digest = words.picked()
+    first, digest, near = words.picked()
     for i, t in enumerate(texts):
         alone = par.Words([t]).picked()
         mine = words.text[first] == i
-        assert digest[mine].tolist() == alone[1].tolist()
+        assert digest[mine].tolist() == alone[1].tolist() and near[mine].tolist() == alone[2].tolist()
         assert (first[mine] - np.searchsorted(words.text, i)).tolist() == alone[0].tolist()
         # any RUN words hold a picked run
         n = int((words.text == i).sum())
@@ -145,7 +145,7 @@ def test_picked_runs_do_not_depend_on_the_batch():
 
 def test_picked_runs_against_plain_windows():
     words = par.Words([" ".join(RNG.choices("abc", k=300)), " ".join(prose(120))])
-    first, digest = words.picked()
+    first, digest, _ = words.picked()
     whole = {}
     for f, d in zip(first.tolist(), digest.tolist()):
         assert whole.setdefault(tuple(words.hash[f: f + par.GRAM].tolist()), d) == d
