@@ -39,7 +39,7 @@ WIDE = 200
 GRAM = RUN // 2 + 1
 WINDOW = RUN - GRAM + 1
 #: Words to either side of a match that are compared with its first place.
-BESIDE = RUN
+BESIDE = WINDOW
 #: Words to either side of a picked run of which four bits each go with it.
 NEAR = 8
 #: A character of a script that writes no spaces between words, and a word.
@@ -367,66 +367,41 @@ def repeated_lines(docs: DataFrame, block: int = common.BLOCK, sketches: DataFra
         F.col("kept.doc_id").alias("kept_doc_id"), "removed").distinct()
 
 
-def _edges(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Where the words of a text start and end, and whether it holds scripts without spaces."""
-    if not text.isascii() and UNSPACED.search(text):
-        places = np.array([m.span() for m in WORD.finditer(text)], np.int64).reshape(-1, 2)
-        return places[:, 0], places[:, 1], True
-    space = np.concatenate(([True], _space()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], [True]))
-    edges = np.flatnonzero(space[1:] != space[:-1])
-    return edges[0::2], edges[1::2], False
-
-
-def _split(text: str, unspaced: bool) -> list[str]:
-    return [m.group().lower() for m in WORD.finditer(text)] if unspaced else text.lower().split()
-
-
 AROUND = (
     "doc_id long, version int, a int, b int, words_are binary, first_char int, end_char int, "
-    "left array<long>, right array<long>, starts array<int>, ends array<int>")
+    "left array<int>, right array<int>, starts array<int>, ends array<int>")
 
 
 def around(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Words a to b of the texts wanted: a digest of 128 bits of them, where they stand, and the
-    hashes, starts and ends of the BESIDE words before (nearest first) and after them."""
+    """Words a to b of the texts wanted: 128 bits of their hashes, where they stand, and of the
+    BESIDE words before (nearest first) and after them 32 bits of the hash, starts and ends."""
     by_doc = wanted.distinct().groupBy("doc_id", "version").agg(F.collect_list(F.struct("a", "b")).alias("asked"))
     joined = versions(docs).join(by_doc, ["doc_id", "version"])
-    fields = [f.split() for f in AROUND.split(", ")]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
-             "array<int>": pa.list_(pa.int32())}
-    schema = pa.schema([(name, kinds[kind]) for name, kind in fields])
-
-    def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
-
-    def rows(doc_id: int, version: int, text: str, asked: list[dict]):
-        known = _hashes()
-        start, end, unspaced = _edges(text)
+    names = [f.split()[0] for f in AROUND.split(", ")]
 
-        def words(a: int, b: int) -> list[str]:
-            return _split(text[start[a]: end[b - 1]], unspaced) if a < b else []
-
-        def hashes(found: list[str]) -> np.ndarray:
-            return np.array([known[w] for w in found], np.uint64).view(np.int64)
-
-        for a, b in ((x["a"], x["b"]) for x in asked):
-            low, high = max(0, a - BESIDE), min(len(start), b + BESIDE)
-            digest = xxhash.xxh3_128_digest(" ".join(words(a, b)).encode("utf-8", "surrogatepass"))
-            yield (
-                doc_id, version, a, b, digest, start[a], end[b - 1], hashes(words(low, a)[::-1]), hashes(words(b, high)),
-                start[low:a][::-1].astype(np.int32), end[b:high].astype(np.int32))
+    def lists(values: np.ndarray, first: np.ndarray, count: np.ndarray, step: int) -> pa.Array:
+        ends = np.cumsum(count)
+        at = np.repeat(first, count) + step * (np.arange(int(count.sum())) - np.repeat(ends - count, count))
+        return pa.ListArray.from_arrays(
+            pa.array(np.append(0, ends).astype(np.int32)), pa.array(values[at].astype(np.int32)))
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "version", "text", "asked")]
-            found = []
-            for row in zip(*columns):
-                found += rows(*row)
-                if len(found) >= AT_ONCE:
-                    yield batch_of(found)
-                    found = []
-            if found:
-                yield batch_of(found)
+            for part, texts in _chunks(batch):
+                w = Words(texts)
+                begin = np.searchsorted(w.text, np.arange(len(texts) + 1))
+                asked = part.column("asked")
+                text = asked.value_parent_indices().to_numpy()
+                a, b = [asked.flatten().field(n).to_numpy().astype(np.int64) for n in ("a", "b")]
+                first, end = a + begin[text], b + begin[text]
+                low, high = np.minimum(a, BESIDE), np.minimum(begin[text + 1] - end, BESIDE)
+                digests = [xxhash.xxh3_128_digest(w.hash[i:j].tobytes()) for i, j in zip(first.tolist(), end.tolist())]
+                short = (w.hash & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                yield pa.record_batch([
+                    *_named(part, text), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(digests, pa.binary()),
+                    pa.array(w.start[first].astype(np.int32)), pa.array(w.end[end - 1].astype(np.int32)),
+                    lists(short, first - 1, low, -1), lists(short, end, high, 1),
+                    lists(w.start, first - 1, low, -1), lists(w.end, end, high, 1)], names)
 
     # rows that share doc_id and text give the same; tasks drop what they repeat before the shuffle
     return common.mapped(joined, run, AROUND).dropDuplicates(["doc_id", "version", "a", "b"])
@@ -484,15 +459,9 @@ def _joined(rows: DataFrame, by: list[str]) -> DataFrame:
         (F.max("end_word") - F.min("first_word")).cast("long").alias("words"))
 
 
-def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int = RUN) -> DataFrame:
-    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
-    least `least` words that stand elsewhere as a whole, compared on the texts (a digest of 128
-    bits within, word by word at the ends). In one text a passage ends where its copy begins.
-    A passage of a repeated row has the rank of the same one in the other rows. Every picked run
-    is compared with its first place alone: words that only a later place continues are missed
-    where that first place breaks off before `least` words."""
-    sketches = common.landed(sketched(docs), "sketches") if sketches is None else sketches
-    runs = common.landed(shared_runs(sketches, least=least), "runs")
+def _compared(docs: DataFrame, runs: DataFrame, least: int) -> DataFrame:
+    """Runs that stand here and in their first place, word for word, extended to both sides:
+    their places (first_word, end_word, first_char, end_char) and, as kept, the first ones."""
     first = runs.select(
         F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), (F.col("a") - F.col("ahead")).alias("a"),
         (F.col("b") - F.col("ahead")).alias("b"))
@@ -517,14 +486,27 @@ def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int
             *names, (F.col(of + "a") - F.col("before")).alias("first_word"), (F.col(of + "b") + F.col("after")).alias("end_word"),
             edge("first_char", "starts", "before"), edge("end_char", "ends", "after")]
 
-    line = ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"]
-    told = common.landed(verified.select(*place("", *line), F.struct(*place("kept_")).alias("kept")), "told")
-    removed = _joined(told.drop("kept"), line).withColumn("removed", F.lit(True))
+    return verified.select(
+        *place("", "doc_id", "version", "kept_doc_id", "kept_version", "ahead"), F.struct(*place("kept_")).alias("kept"))
+
+
+def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int = RUN) -> DataFrame:
+    """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
+    least `least` words that stand elsewhere as a whole, compared word by word (by their hashes,
+    128 bits of all within and 32 of each word at the ends). In one text a passage ends where
+    its copy begins. A passage of a repeated row has the rank of the same one in the other rows.
+    Every picked run is compared with its first place alone: words that only a later place
+    continues are missed where that first place breaks off before `least` words."""
+    spark = docs.sparkSession
+    sketches = common.landed(sketched(docs), "sketches") if sketches is None else sketches
+    runs = common.passed(spark, lambda: shared_runs(sketches, least=least), "runs")
+    told = common.passed(spark, lambda: _compared(docs, runs, least), "told")
+    removed = _joined(told.drop("kept"), ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"])
     stays = _joined(told.select(
         F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), "kept.*"), ["doc_id", "version"])
-    stays = stays.withColumn("kept_doc_id", F.col("doc_id")).withColumn("removed", F.lit(False))
     names = ["doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed"]
-    return removed.select(*names).unionByName(stays.select(*names))
+    return removed.withColumn("removed", F.lit(True)).select(*names).unionByName(
+        stays.withColumn("kept_doc_id", F.col("doc_id")).withColumn("removed", F.lit(False)).select(*names))
 
 
 def repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
@@ -541,10 +523,15 @@ def repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
 
 def _repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = common.landed(sketched(named), "sketches")
-    lines = repeated_lines(named, block, sketches).withColumn("kind", F.lit("line"))
-    pieces = repeated_runs(named, sketches).withColumn("kind", F.lit("pieces"))
-    return lines.unionByName(pieces).select(
+    spark = docs.sparkSession
+
+    def found() -> DataFrame:
+        sketches = common.landed(sketched(named), "sketches")
+        lines = common.passed(spark, lambda: repeated_lines(named, block, sketches), "lines").withColumn("kind", F.lit("line"))
+        pieces = repeated_runs(named, sketches).withColumn("kind", F.lit("pieces"))
+        return lines.unionByName(pieces)
+
+    return common.passed(spark, found, "found").select(
         "doc_id", "version", "kind", "first_char", "end_char", "words", "kept_doc_id", "removed")
 
 
