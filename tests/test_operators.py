@@ -422,6 +422,20 @@ def test_nearest_equals_brute_force(spark, crowded):
     assert got(out, "id", "rev_address") == sorted(((i, nearest(x, y)) for i, x, y in asked), key=str)
 
 
+def test_nearest_shuffles_no_candidates_per_coordinate(spark, tmp_path):
+    """200 coordinates stand in one cell with 400 places within reach of each."""
+    spark.range(400).selectExpr("string(id) AS address", "id % 20 * 0.3D AS x", "floor(id / 20) * 0.3D AS y").write.parquet(str(tmp_path / "p"))
+    df = spark.range(200).selectExpr("id", "id * 0.025D + 0.4D AS x", "id % 7 * 0.5D + 1.01D AS y")
+    df.write.parquet(str(tmp_path / "d"))
+    out = enrich.enrich_nearest(
+        spark.read.parquet(str(tmp_path / "d")), "x", "y", spark.read.parquet(str(tmp_path / "p")), 5.0, crowded=400)
+    for r in out.collect():
+        away = [((r.x - p % 20 * 0.3) ** 2 + (r.y - p // 20 * 0.3) ** 2) ** 0.5 for p in range(400)]
+        assert r.rev_distance == pytest.approx(min(away)) == pytest.approx(away[int(r.rev_address)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hypot" in plan and "SortAggregate" not in plan and "Window" not in plan
+
+
 def test_geoparse(spark):
     text = "Cozy. 12 N Oak Ave near park\nSeattle, WA 98105-1234"
     df = spark.createDataFrame([(text, "s"), (text, "s"), ("call", "s")], "listing_text string, city1 string")
