@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from rentloom.operators import dedupe, spatial, stats
 from rentloom.plans import apartments, craigslist, gosection8, padmapper, stacked, tables, trulia, zillow
@@ -53,6 +54,34 @@ def test_dedupe_trims_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in text
 
 
+def test_stacked_dedupe_shuffles_no_column_twice(spark):
+    df = spark.createDataFrame([(1.0, "a", "x"), (1.0, "a", "w"), (2.0, "b", "y")], "rent double, address string, url string")
+    one = dedupe.Source(df, [df["rent"], df["address"]], [df["url"]])
+    named = dedupe.Source(df, [F.col("rent"), F.col("address")], [F.col("url")])
+    columns = {"rent": "double", "address": "string", "url": "string", "inv": "double"}
+    out = dedupe.keep_first_stacked({"a": named, "b": named}, columns)
+    assert sorted(map(tuple, out.collect())) == sorted(
+        (s, *r, None) for s in "ab" for r in [(1.0, "a", "w"), (2.0, "b", "y")])
+    assert sorted(map(tuple, dedupe.keep_first_stacked({"a": one, "b": named}, columns).collect())) == sorted(map(tuple, out.collect()))
+    exchange = [line for line in plan(out).split("Exchange\n")[1].splitlines() if line.startswith("Input")]
+    assert "[4]" in exchange[0] or "[5]" in exchange[0], exchange
+
+
+def test_padmapper_units_pass_by_the_dedupe_of_buildings(spark, smallest):
+    ads = padmapper.distinct_ads(padmapper.tidy(inputs.padmapper(spark, smallest)))
+    units = plan(ads.where("NOT is_bldg")).split("(1) ")[0]
+    assert units.count("Window ") == 0 or "Union" in units
+    assert "_own" not in plan(ads)
+
+
+def test_a_table_of_many_splits_is_not_dealt_out(spark, smallest, tmp_path):
+    spark.range(1000).repartition(40).write.option("maxRecordsPerFile", 5).parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert many.rdd.getNumPartitions() >= 8
+    assert "Exchange" not in plan(inputs.dealt(many))
+    assert "Exchange" in plan(inputs.dealt(parquet_table(spark, smallest, "lineitem")))
+
+
 def test_dedupe_with_an_order_reads_only_what_is_used(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     spark.range(10).selectExpr("id % 5 AS k", "id", "'long' AS body").write.parquet(path)
