@@ -25,6 +25,7 @@ from rentloom.llm import common
 from rentloom.llm.components import components
 from rentloom.llm.language import mixed
 from rentloom.llm.simhash import cell_pairs, forest
+from rentloom.session import delete_folder
 
 #: Words of a shingle and least similarity of lines.
 WORDS, LIKE = 5, 0.8
@@ -45,27 +46,56 @@ NEAR = 8
 #: A character of a script that writes no spaces between words, and a word.
 UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 WORD = regex.compile(rf"{UNSPACED.pattern}|(?:(?!{UNSPACED.pattern})\S)+")
-#: Word hashes that a task remembers; documents and characters worked on at once.
-REMEMBERED, AT_ONCE, CHUNK = 300_000, 2000, 1 << 22
-
-
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return found
+#: Documents and characters worked on at once.
+AT_ONCE, CHUNK = 2000, 1 << 22
 
 
 @functools.cache
-def _hashes() -> _Hashes:
-    return _Hashes()
+def _space() -> np.ndarray:
+    out = np.zeros(0x110000, bool)
+    out[[c for c in range(0x3001) if chr(c).isspace()]] = True
+    return out
 
 
 @functools.cache
-def _space() -> np.ndarray:
+def _unspaced() -> np.ndarray:
     out = np.zeros(0x110000, bool)
-    out[[c for c in range(0x3001) if chr(c).isspace()]] = True
+    out[[m.start() for m in UNSPACED.finditer("".join(map(chr, range(0x110000))))]] = True
+    return out
+
+
+#: Multipliers of XXH64.
+FIRST, SECOND, THIRD, FOURTH, FIFTH = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """XXH64 of the words data[offsets[i]: offsets[i + 1]], all at once but for those of 32 bytes
+    and more: nearly every word is shorter, and new in large texts."""
+    start, size = offsets[:-1], np.diff(offsets)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = size.astype(np.uint64) + FIFTH
+    for i in range(3):
+        on = np.flatnonzero(size >= 8 * i + 8)
+        value = _turned(eight[start[on] + 8 * i] * SECOND, 31) * FIRST
+        out[on] = _turned(out[on] ^ value, 27) * FIRST + FOURTH
+    on = np.flatnonzero(size & 4)
+    value = (eight[start[on] + (size[on] & -8)] & np.uint64(0xFFFFFFFF)) * FIRST
+    out[on] = _turned(out[on] ^ value, 23) * SECOND + THIRD
+    for i in range(3):
+        on = np.flatnonzero((size & 3) > i)
+        value = padded[start[on] + (size[on] & -4) + i].astype(np.uint64) * FIFTH
+        out[on] = _turned(out[on] ^ value, 11) * FIRST
+    out = (out ^ (out >> np.uint64(33))) * SECOND
+    out = (out ^ (out >> np.uint64(29))) * THIRD
+    out ^= out >> np.uint64(32)
+    for i in np.flatnonzero(size >= 32).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[offsets[i]: offsets[i + 1]].tobytes())
     return out
 
 
@@ -76,29 +106,64 @@ class Words:
     character is one."""
 
     def __init__(self, texts: list[str]):
-        unspaced = {i for i, t in enumerate(texts) if not t.isascii() and UNSPACED.search(t)}
-        places = {i: [m.span() for m in WORD.finditer(texts[i])] for i in unspaced}
-        split = [
-            [t[a:b].lower() for a, b in places[i]] if i in unspaced else t.lower().split() for i, t in enumerate(texts)]
-        known = _hashes()
-        self.hash = np.fromiter((known[w] for s in split for w in s), np.uint64, sum(map(len, split)))
-        sizes = [len(s) for s in split]
-        self.text = np.repeat(np.arange(len(texts)), sizes)
-        starts, ends, lines = [], [], []
+        groups: dict[str, list[int]] = {"ascii": [], "utf-32-le": [], "unspaced": []}
         for i, t in enumerate(texts):
-            codes = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-            if i in unspaced:
-                edges = np.array(places[i], np.int64).ravel()
-            else:
-                space = np.concatenate(([True], _space()[codes], [True]))
-                edges = np.flatnonzero(space[1:] != space[:-1])
-            starts.append(edges[0::2])
-            ends.append(edges[1::2])
-            lines.append(np.searchsorted(np.flatnonzero(codes == 10), edges[0::2]))
-        joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (starts, ends, lines)]
-        self.start, self.end, self.line = joined
-        if len(self.start) != len(self.hash):
+            groups["ascii" if t.isascii() else "unspaced" if self._has_unspaced(t) else "utf-32-le"].append(i)
+        parts = [self._spaced(texts, groups[code], code) for code in ("ascii", "utf-32-le") if groups[code]]
+        parts += [self._by_pattern(texts[i], i) for i in groups["unspaced"]]
+        parts = parts or [(np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 4)]
+        joined = [np.concatenate(x) for x in zip(*parts)]
+        if len(parts) > 1:
+            order = np.argsort(joined[1], kind="stable")
+            joined = [x[order] for x in joined]
+        self.hash, self.text, self.start, self.end, self.line = joined
+
+    @staticmethod
+    def _has_unspaced(text: str) -> bool:
+        return bool(_unspaced()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
+
+    @staticmethod
+    def _by_pattern(text: str, i: int):
+        places = [m.span() for m in WORD.finditer(text)]
+        words = [text[a:b].lower().encode("utf-8", "surrogatepass") for a, b in places]
+        offsets = np.append(0, np.cumsum([len(w) for w in words], dtype=np.int64))
+        hashes = digests(np.frombuffer(b"".join(words), np.uint8), offsets)
+        start, end = np.array(places, np.int64).reshape(-1, 2).T
+        ends = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 10)
+        return hashes, np.full(len(start), i), start, end, np.searchsorted(ends, start)
+
+    @staticmethod
+    def _spaced(texts: list[str], which: list[int], code: str):
+        """Words of the texts that `which` names, looked at as one text."""
+        joined = " ".join([texts[i] for i in which])
+
+        def points(text: str) -> np.ndarray:
+            return np.frombuffer(text.encode(code, "surrogatepass"), np.uint8 if code == "ascii" else np.uint32)
+
+        def edges(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            space = np.concatenate(([True], _space()[codes], [True]))
+            found = np.flatnonzero(space[1:] != space[:-1])
+            return space[1:-1], found[0::2], found[1::2]
+
+        codes, lower = points(joined), points(joined.lower())
+        _, start, end = edges(codes)
+        # small letters may be more characters, never more words
+        space, first, last = edges(lower)
+        if len(first) != len(start):
             raise AssertionError("words and their places differ in number")
+        letters, offsets = lower[~space], np.append(0, np.cumsum(last - first))
+        if code != "ascii":
+            size = 1 + (letters >= 0x80).astype(np.int8) + (letters >= 0x800) + (letters >= 0x10000)
+            offsets = np.append(0, np.cumsum(size, dtype=np.int64))[offsets]
+            text = letters.tobytes().decode(code, "surrogatepass").encode("utf-8", "surrogatepass")
+            letters = np.frombuffer(text, np.uint8)
+        begin = np.append(0, np.cumsum([len(texts[i]) + 1 for i in which]))
+        text = np.repeat(np.arange(len(which)), np.diff(np.searchsorted(start, begin)))
+        # line ends before a word, less those before its text
+        ends = np.flatnonzero(codes == 10)
+        lines = np.repeat(np.arange(len(ends) + 1), np.diff(np.concatenate(([0], np.searchsorted(start, ends), [len(start)]))))
+        lines -= np.searchsorted(ends, begin[:-1])[text]
+        return digests(letters, offsets), np.array(which)[text], start - begin[text], end - begin[text], lines
 
     def firsts(self) -> np.ndarray:
         """Where a new text or line begins."""
@@ -293,11 +358,27 @@ def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return common.mapped(joined, run, "hash long, shingles array<long>").dropDuplicates(["hash"])
 
 
-def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: float = LIKE) -> np.ndarray:
-    """Which pairs of sorted sets have a Jaccard similarity of at least `like`, exactly."""
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """256 bits of every set, those that the upper eight bits of its members name."""
+    upper = [(s.view(np.uint64) >> np.uint64(56)).astype(np.int64) for s in sets]
+    out = np.zeros((len(sets), 256), bool)
+    out[np.repeat(np.arange(len(sets)), [len(u) for u in upper]), np.concatenate(upper or [np.empty(0, np.int64)])] = True
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def similar(
+    sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: float = LIKE, bits: np.ndarray | None = None,
+) -> np.ndarray:
+    """Which pairs of sorted sets have a Jaccard similarity of at least `like`, exactly. With their
+    bitmaps, pairs are left out whose bits alone show too many members that the other has not."""
     out = np.zeros(len(left), bool)
-    sizes = np.array([len(s) for s in sets])
-    for i in np.flatnonzero(np.minimum(sizes[left], sizes[right]) >= like * np.maximum(sizes[left], sizes[right])).tolist():
+    sizes = np.array([len(s) for s in sets], np.int64)
+    a, b = sizes[left], sizes[right]
+    most = np.minimum(a, b)
+    if bits is not None:
+        x, y = bits[left], bits[right]
+        most = np.minimum(a - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), b - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+    for i in np.flatnonzero(most >= like * (a + b - most) - 1e-9).tolist():
         a, b = sets[left[i]], sets[right[i]]
         both = len(np.intersect1d(a, b, assume_unique=True))
         out[i] = both >= like * (len(a) + len(b) - both) - 1e-9
@@ -307,12 +388,14 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: f
 def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) -> DataFrame:
     """(a, b): hashes that connect the same lines as all similar pairs do; of what is connected
     in a group of colliding lines each is named with the first one, never all pairs."""
-    members = lines.select("hash", F.explode("bands").alias("key")).distinct()
+    # lines of one hash have the same bands
+    members = lines.select("hash", "bands").dropDuplicates(["hash"]).select("hash", F.explode("bands").alias("key"))
     cells = common.landed(common.compared_blocks(members, "key", "hash", block), "cells")
     # one place of every paragraph that is to be compared, to read its words at
-    asked = lines.select("hash", "doc_id", "version", "line").join(cells.select("hash").distinct(), "hash")
-    wanted = asked.groupBy("hash").agg(F.min(F.struct("doc_id", "version", "line")).alias("place")).select("place.*")
-    full = cells.join(sets_of_lines(docs, wanted), "hash")
+    firsts = lines.groupBy("hash").agg(F.min(F.struct("doc_id", "version", "line")).alias("place"))
+    wanted = firsts.join(cells.select("hash").distinct(), "hash").select("place.*")
+    # written down, so that the texts' shuffle files go before the sets are dealt to the cells
+    full = cells.join(common.landed(sets_of_lines(docs, wanted), "sets"), "hash")
 
     def run(batches):
         for table in common.whole_cells(batches, "key"):
@@ -324,11 +407,14 @@ def line_links(docs: DataFrame, lines: DataFrame, block: int = common.BLOCK) ->
             flat = table.column("shingles").combine_chunks()
             edges, values = flat.offsets.to_numpy(), flat.values.to_numpy()
             sets = [values[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-            found = []
+            bits, found, root = bitmaps(sets), [], np.arange(len(own))
             for left, right in cell_pairs(np.cumsum(new), own, same, 1 << 16):
-                near = similar(sets, left, right)
+                # what is connected already needs no comparison
+                apart = root[left] != root[right]
+                left, right = left[apart], right[apart]
+                near = similar(sets, left, right, bits=bits)
                 found.append((left[near], right[near]))
-            root = forest(len(own), found)
+                root = forest(len(own), found)
             at = np.flatnonzero(root != np.arange(len(own)))
             name = table.column("hash").to_numpy()
             yield pa.record_batch([pa.array(name[at]), pa.array(name[root[at]])], ["a", "b"])
@@ -347,10 +433,10 @@ def _places(rows: DataFrame, cluster: str, place: list[str], apart) -> DataFrame
         "removed", at != F.col("kept"))
 
 
-def repeated_lines(docs: DataFrame, block: int = common.BLOCK, sketches: DataFrame | None = None) -> DataFrame:
+def repeated_lines(docs: DataFrame, block: int = common.BLOCK, lines: DataFrame | None = None) -> DataFrame:
     """(doc_id, version, first_char, end_char, words, kept_doc_id, removed) of clustered
     paragraphs. A paragraph that is kept and a line of its own are one place, not two."""
-    lines = lines_of(common.landed(sketched(docs), "sketches") if sketches is None else sketches)
+    lines = lines_of(common.landed(sketched(docs), "sketches")) if lines is None else lines
     joined = components(line_links(docs, lines, block))
     named = lines.drop("bands").join(joined.withColumnRenamed("node", "hash"), "hash", "left").withColumn(
         "cluster", F.coalesce("component", "hash"))
@@ -367,16 +453,66 @@ def repeated_lines(docs: DataFrame, block: int = common.BLOCK, sketches: DataFra
         F.col("kept.doc_id").alias("kept_doc_id"), "removed").distinct()
 
 
+#: Bytes of a mark: 128 bits over the words within, 32 of each word to either side, their numbers.
+MARK = 16 + 2 * 4 * BESIDE + 2
 AROUND = (
-    "doc_id long, version int, a int, b int, words_are binary, first_char int, end_char int, "
-    "left array<int>, right array<int>, starts array<int>, ends array<int>")
+    "doc_id long, version int, a int, b int, mark binary, first_char int, end_char int, "
+    "starts array<int>, ends array<int>")
+VERIFIED = (
+    "doc_id long, version int, kept_doc_id long, kept_version int, ahead int, a int, b int, before int, after int, "
+    "first_char int, end_char int")
+
+
+class _Marks:
+    """Words first to end of some texts, number `text` of them: 128 bits of their hashes, and of
+    the BESIDE words before (nearest first) and after them the number and 32 bits of each hash."""
+
+    def __init__(self, w: Words, texts: int, text: np.ndarray, a: np.ndarray, b: np.ndarray):
+        begin = np.searchsorted(w.text, np.arange(texts + 1))
+        self.first, self.end = a + begin[text], b + begin[text]
+        self.low, self.high = np.minimum(a, BESIDE), np.minimum(begin[text + 1] - self.end, BESIDE)
+        self.bytes = np.zeros((len(text), MARK), np.uint8)
+        data = memoryview(w.hash).cast("B")
+        digests = b"".join(
+            [xxhash.xxh3_128_digest(data[8 * i: 8 * j]) for i, j in zip(self.first.tolist(), self.end.tolist())])
+        self.bytes[:, :16] = np.frombuffer(digests, np.uint8).reshape(-1, 16)
+        step = np.arange(BESIDE)
+        most = max(len(w.hash) - 1, 0)
+        for at, count, place in (
+            (self.first[:, None] - 1 - step, self.low, 16), (self.end[:, None] + step, self.high, 16 + 4 * BESIDE)):
+            found = w.hash[np.clip(at, 0, most)] if len(w.hash) else np.zeros(at.shape, np.uint64)
+            short = np.where(step < count[:, None], found & np.uint64(0xFFFFFFFF), np.uint64(0)).astype("<u4")
+            self.bytes[:, place: place + 4 * BESIDE] = np.ascontiguousarray(short).view(np.uint8)
+        self.bytes[:, -2], self.bytes[:, -1] = self.low, self.high
+
+    def same(self, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether the words within are those of the other marks, and how many are beside them
+        without a break, before and after."""
+        sides = []
+        for place, count in ((16, -2), (16 + 4 * BESIDE, -1)):
+            here, there = [np.ascontiguousarray(x[:, place: place + 4 * BESIDE]).view("<u4") for x in (self.bytes, other)]
+            alike = np.logical_and.accumulate(here == there, axis=1).sum(axis=1)
+            sides.append(np.minimum(alike, np.minimum(self.bytes[:, count], other[:, count])))
+        return (self.bytes[:, :16] == other[:, :16]).all(axis=1), *sides
+
+
+def _asked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, version, text, asked): texts with the rows of wanted that are about them."""
+    key = ["doc_id", "version"]
+    asked = F.collect_list(F.struct(*[c for c in wanted.columns if c not in key])).alias("asked")
+    return versions(docs).join(wanted.groupBy(*key).agg(asked), key)
+
+
+def _fields(part: pa.RecordBatch) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """Columns of the rows in asked, and the number of the text that each is about."""
+    asked = part.column("asked")
+    rows = asked.flatten()
+    return asked.value_parent_indices().to_numpy(), dict(zip([f.name for f in rows.type], rows.flatten()))
 
 
 def around(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Words a to b of the texts wanted: 128 bits of their hashes, where they stand, and of the
-    BESIDE words before (nearest first) and after them 32 bits of the hash, starts and ends."""
-    by_doc = wanted.distinct().groupBy("doc_id", "version").agg(F.collect_list(F.struct("a", "b")).alias("asked"))
-    joined = versions(docs).join(by_doc, ["doc_id", "version"])
+    """Words a to b of the texts wanted: their mark, where they stand, and the starts and ends of
+    the BESIDE words before (nearest first) and after them."""
     names = [f.split()[0] for f in AROUND.split(", ")]
 
     def lists(values: np.ndarray, first: np.ndarray, count: np.ndarray, step: int) -> pa.Array:
@@ -389,33 +525,59 @@ def around(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for part, texts in _chunks(batch):
                 w = Words(texts)
-                begin = np.searchsorted(w.text, np.arange(len(texts) + 1))
-                asked = part.column("asked")
-                text = asked.value_parent_indices().to_numpy()
-                a, b = [asked.flatten().field(n).to_numpy().astype(np.int64) for n in ("a", "b")]
-                first, end = a + begin[text], b + begin[text]
-                low, high = np.minimum(a, BESIDE), np.minimum(begin[text + 1] - end, BESIDE)
-                digests = [xxhash.xxh3_128_digest(w.hash[i:j].tobytes()) for i, j in zip(first.tolist(), end.tolist())]
-                short = (w.hash & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                text, asked = _fields(part)
+                a, b = [asked[n].to_numpy().astype(np.int64) for n in ("a", "b")]
+                m = _Marks(w, len(texts), text, a, b)
                 yield pa.record_batch([
-                    *_named(part, text), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(digests, pa.binary()),
-                    pa.array(w.start[first].astype(np.int32)), pa.array(w.end[end - 1].astype(np.int32)),
-                    lists(short, first - 1, low, -1), lists(short, end, high, 1),
-                    lists(w.start, first - 1, low, -1), lists(w.end, end, high, 1)], names)
+                    *_named(part, text), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
+                    pa.array([x.tobytes() for x in m.bytes], pa.binary()),
+                    pa.array(w.start[m.first].astype(np.int32)), pa.array(w.end[m.end - 1].astype(np.int32)),
+                    lists(w.start, m.first - 1, m.low, -1), lists(w.end, m.end, m.high, 1)], names)
 
     # rows that share doc_id and text give the same; tasks drop what they repeat before the shuffle
-    return common.mapped(joined, run, AROUND).dropDuplicates(["doc_id", "version", "a", "b"])
+    return common.mapped(_asked(docs, wanted.distinct()), run, AROUND).dropDuplicates(["doc_id", "version", "a", "b"])
 
 
-def shared_runs(sketches: DataFrame, gram: int = GRAM, least: int = RUN) -> DataFrame:
-    """(doc_id, version, a, b, kept_doc_id, kept_version, ahead): words a to b that picked runs
-    cover without a gap here and, `ahead` words before, in the first place that holds them.
+def verified(docs: DataFrame, runs: DataFrame, least: int) -> DataFrame:
+    """Runs whose words a to b have the mark of their first place, and how many words before and
+    after they share with it: `least` or more in all. first_char and end_char include those."""
+    names = [f.split()[0] for f in VERIFIED.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in _chunks(batch):
+                w = Words(texts)
+                text, asked = _fields(part)
+                a, b, room = [asked[n].to_numpy().astype(np.int64) for n in ("a", "b", "room")]
+                other = np.frombuffer(b"".join(asked["mark"].to_pylist()), np.uint8).reshape(-1, MARK)
+                m = _Marks(w, len(texts), text, a, b)
+                equal, left, right = m.same(other)
+                before = np.minimum(left, room)
+                after = np.minimum(right, room - before)
+                at = np.flatnonzero(equal & (b - a + before + after >= least))
+                taken = pa.array(at)
+                numbers = [
+                    before[at], after[at], w.start[(m.first - before)[at]], w.end[(m.end + after)[at] - 1]]
+                yield pa.record_batch([
+                    *_named(part, text[at]), *[asked[n].take(taken) for n in names[2:7]],
+                    *[pa.array(x.astype(np.int32)) for x in numbers]], names)
+
+    return common.mapped(_asked(docs, runs), run, VERIFIED)
+
+
+def twice(picked: DataFrame) -> DataFrame:
+    """Picked runs that stand in two places or more. Hashes are counted alone, so that what follows
+    shuffles the places of those only."""
+    again = common.landed(picked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "again")
+    return picked.join(again.hint("shuffle_hash"), "hash")
+
+
+def shared_runs(found: DataFrame, gram: int = GRAM, least: int = RUN) -> DataFrame:
+    """(doc_id, version, a, b, kept_doc_id, kept_version, ahead): words a to b that picked runs,
+    of which found has those that stand twice(), cover without a gap here and, `ahead` words
+    before, in the first place that holds them.
 
-    Hashes are counted alone, so that places are shuffled on only for those that occur twice.
     Left out is what cannot reach `least` words, as bits of the words beside it differ too soon."""
-    picked = passages_of(sketches)
-    twice = picked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    found = common.landed(picked.join(twice.hint("shuffle_hash"), "hash"), "twice")
     at = F.struct("doc_id", "version", "word", "near")
     summed = found.groupBy("hash").agg(F.min(at).alias("kept"))
     kept = F.col("kept")
@@ -442,13 +604,6 @@ def shared_runs(sketches: DataFrame, gram: int = GRAM, least: int = RUN) -> Data
     ).drop("run", "before", "after")
 
 
-def _equal(left: str, right: str):
-    """How many elements two arrays have in common from the first on."""
-    same = F.zip_with(left, right, lambda x, y: x.eqNullSafe(y))
-    other = F.array_position(same, False).cast("int")
-    return F.when(other == 0, F.size(same)).otherwise(other - 1)
-
-
 def _joined(rows: DataFrame, by: list[str]) -> DataFrame:
     """Passages (first_word, end_word, first_char, end_char) that overlap, as one."""
     ordered = Window.partitionBy(*by).orderBy("first_word", "end_word")
@@ -461,36 +616,38 @@ def _joined(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def _compared(docs: DataFrame, runs: DataFrame, least: int) -> DataFrame:
     """Runs that stand here and in their first place, word for word, extended to both sides:
-    their places (first_word, end_word, first_char, end_char) and, as kept, the first ones."""
-    first = runs.select(
-        F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), (F.col("a") - F.col("ahead")).alias("a"),
-        (F.col("b") - F.col("ahead")).alias("b"))
-    places = common.landed(around(docs, runs.select("doc_id", "version", "a", "b").unionByName(first)), "around")
-    kept = places.select(*[F.col(c).alias(f"kept_{c}") for c in places.columns]).withColumnsRenamed(
-        {"kept_doc_id": "at_doc_id", "kept_version": "at_version"})
-    both = runs.join(places, ["doc_id", "version", "a", "b"]).join(kept, (
-        (F.col("kept_doc_id") == F.col("at_doc_id")) & (F.col("kept_version") == F.col("at_version"))
-        & (F.col("a") - F.col("ahead") == F.col("kept_a")) & (F.col("b") - F.col("ahead") == F.col("kept_b"))))
+    their places (first_word, end_word, first_char, end_char) and, where stays, the first ones.
+
+    First places are few beside the runs: their marks are found first and go with the runs to
+    the texts that these stand in."""
+    start, end = (F.col("a") - F.col("ahead")).alias("a"), (F.col("b") - F.col("ahead")).alias("b")
+    firsts = runs.select(F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), start, end)
+    kept = common.landed(around(docs, firsts), "around").withColumnsRenamed(
+        {c: f"kept_{c}" for c in ("doc_id", "version", "a", "b")})
+    key = ["kept_doc_id", "kept_version", "kept_a", "kept_b"]
     inside = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("version") == F.col("kept_version"))
     room = F.when(inside, F.greatest(F.lit(0), F.col("ahead") - F.col("b") + F.col("a"))).otherwise(2 * BESIDE)
-    verified = both.filter("words_are = kept_words_are").withColumn(
-        "before", F.least(_equal("left", "kept_left"), room)).withColumn(
-        "after", F.least(_equal("right", "kept_right"), room - F.col("before"))).filter(
-        F.col("b") - F.col("a") + F.col("before") + F.col("after") >= least)
-
-    def place(of: str, *names: str) -> list:
-        def edge(char: str, chars: str, more: str):
-            return F.when(F.col(more) == 0, F.col(of + char)).otherwise(F.get(F.col(of + chars), F.col(more) - 1)).alias(char)
-
-        return [
-            *names, (F.col(of + "a") - F.col("before")).alias("first_word"), (F.col(of + "b") + F.col("after")).alias("end_word"),
-            edge("first_char", "starts", "before"), edge("end_char", "ends", "after")]
-
-    return verified.select(
-        *place("", "doc_id", "version", "kept_doc_id", "kept_version", "ahead"), F.struct(*place("kept_")).alias("kept"))
-
-
-def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int = RUN) -> DataFrame:
+    marked = runs.select("*", start.alias("kept_a"), end.alias("kept_b"), room.alias("room")).join(
+        kept.select(*key, "mark"), key).drop("kept_a", "kept_b")
+    here = common.landed(verified(docs, marked, least), "verified")
+
+    def edge(char: str, chars: str, more: str):
+        return F.when(F.col(more) == 0, F.col(char)).otherwise(F.get(F.col(chars), F.col(more) - 1)).alias(char)
+
+    words = [(F.col("a") - F.col("before")).alias("first_word"), (F.col("b") + F.col("after")).alias("end_word")]
+    there = here.select(
+        "kept_doc_id", "kept_version", start.alias("kept_a"), end.alias("kept_b"), "before", "after").distinct().join(kept, key)
+    return here.select(
+        "doc_id", "version", "kept_doc_id", "kept_version", "ahead", *words, "first_char", "end_char",
+        F.lit(False).alias("stays"),
+    ).unionByName(there.select(
+        F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), "kept_doc_id", "kept_version",
+        F.lit(0).alias("ahead"), (F.col("kept_a") - F.col("before")).alias("first_word"),
+        (F.col("kept_b") + F.col("after")).alias("end_word"), edge("first_char", "starts", "before"),
+        edge("end_char", "ends", "after"), F.lit(True).alias("stays")))
+
+
+def repeated_runs(docs: DataFrame, found: DataFrame | None = None, least: int = RUN) -> DataFrame:
     """(doc_id, version, first_char, end_char, words, kept_doc_id, removed): passages of at
     least `least` words that stand elsewhere as a whole, compared word by word (by their hashes,
     128 bits of all within and 32 of each word at the ends). In one text a passage ends where
@@ -498,12 +655,11 @@ def repeated_runs(docs: DataFrame, sketches: DataFrame | None = None, least: int
     Every picked run is compared with its first place alone: words that only a later place
     continues are missed where that first place breaks off before `least` words."""
     spark = docs.sparkSession
-    sketches = common.landed(sketched(docs), "sketches") if sketches is None else sketches
-    runs = common.passed(spark, lambda: shared_runs(sketches, least=least), "runs")
+    found = twice(passages_of(common.landed(sketched(docs), "sketches"))) if found is None else found
+    runs = common.passed(spark, lambda: shared_runs(found, least=least), "runs")
     told = common.passed(spark, lambda: _compared(docs, runs, least), "told")
-    removed = _joined(told.drop("kept"), ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"])
-    stays = _joined(told.select(
-        F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), "kept.*"), ["doc_id", "version"])
+    removed = _joined(told.filter("not stays").drop("stays"), ["doc_id", "version", "kept_doc_id", "kept_version", "ahead"])
+    stays = _joined(told.filter("stays").drop("stays", "kept_doc_id", "kept_version", "ahead"), ["doc_id", "version"])
     names = ["doc_id", "version", "first_char", "end_char", "words", "kept_doc_id", "removed"]
     return removed.withColumn("removed", F.lit(True)).select(*names).unionByName(
         stays.withColumn("kept_doc_id", F.col("doc_id")).withColumn("removed", F.lit(False)).select(*names))
@@ -525,14 +681,17 @@ def _repeats(docs: DataFrame, block: int = common.BLOCK) -> DataFrame:
     named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
 
-    def found() -> DataFrame:
+    with common.passing(spark):
+        # sketches of all words are the largest table; they go once the two kinds are taken out
         sketches = common.landed(sketched(named), "sketches")
-        lines = common.passed(spark, lambda: repeated_lines(named, block, sketches), "lines").withColumn("kind", F.lit("line"))
-        pieces = repeated_runs(named, sketches).withColumn("kind", F.lit("pieces"))
-        return lines.unionByName(pieces)
-
-    return common.passed(spark, found, "found").select(
-        "doc_id", "version", "kind", "first_char", "end_char", "words", "kept_doc_id", "removed")
+        picked = common.written(twice(passages_of(sketches)), "twice")
+        paragraphs = common.written(lines_of(sketches), "paragraphs")
+    pieces = common.passed(spark, lambda: repeated_runs(named, spark.read.parquet(picked)), "pieces")
+    delete_folder(spark, picked)
+    lines = common.passed(spark, lambda: repeated_lines(named, block, spark.read.parquet(paragraphs)), "lines")
+    delete_folder(spark, paragraphs)
+    kinds = lines.withColumn("kind", F.lit("line")).unionByName(pieces.withColumn("kind", F.lit("pieces")))
+    return kinds.select("doc_id", "version", "kind", "first_char", "end_char", "words", "kept_doc_id", "removed")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:

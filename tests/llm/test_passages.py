@@ -1,6 +1,10 @@
 """Passages that repeat in other surroundings: wrapped otherwise, in repeated rows, in parts."""
 import random
 
+import numpy as np
+import xxhash
+
+from rentloom.llm import common
 from rentloom.llm import paragraphs as par
 
 SOUNDS = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
@@ -198,3 +202,63 @@ def test_a_text_that_repeats_itself_keeps_its_first_period(spark):
     out = {r.doc_id: r.text for r in par.without_repeats(frame(spark, rows)).collect()}
     assert out[1].split()[:25] == verse and len(out[1].split()) < 50
     assert 11 <= len(out[2].split()) < 40 and out[3] is None and out[4] == ""
+
+
+def test_large_tables_go_before_the_next_are_made(spark, monkeypatch):
+    """Sketches of all words do not lie on disk while passages and lines are compared, and what
+    goes beside the runs does not hold a row with arrays for each of them."""
+    from rentloom import session
+
+    rng, written, standing = random.Random(25), [], {}
+    same = prose(rng, 60)
+    rows = [(i, " ".join(prose(rng, 40) + same + prose(rng, 40))) for i in range(12)]
+    write = common.written
+
+    def noted(df, name):
+        path = write(df, name)
+        written.append((name, path))
+        standing[name] = {n for n, p in written if session.folder_exists(spark, p)}
+        if name == "around":
+            standing["rows"] = spark.read.parquet(path).count()
+        return path
+
+    monkeypatch.setattr(common, "written", noted)
+    found = [r for r in par.repeats(frame(spark, rows)).collect() if r.kind == "pieces"]
+    assert {r.doc_id for r in found if r.removed} == set(range(1, 12)) and {r.words for r in found} == {60}
+    assert "sketches" in standing["sketches"]
+    assert not any("sketches" in standing[n] for n in ("runs", "around", "told", "cells", "lines"))
+    assert not any("twice" in standing[n] for n in ("cells", "lines"))
+    assert standing["rows"] < 11
+
+
+def test_hashes_of_words_are_those_of_the_library():
+    rng = random.Random(26)
+    words = [bytes(rng.randrange(256) for _ in range(n)) for n in [*range(70)] * 3]
+    offsets = np.append(0, np.cumsum([len(w) for w in words]))
+    got = par.digests(np.frombuffer(b"".join(words), np.uint8), offsets)
+    assert got.tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+
+
+def test_words_and_places_equal_plain_splitting():
+    rng = random.Random(27)
+    letters = "aAbZ \n\t\x1f\x85\u3000\u00dc\u00df\u0130\u03a3\u03c3\u00e9\U0001f600\ud812"
+    texts = ["".join(rng.choices(letters[: rng.choice((7, 18))], k=rng.randint(0, 30))) for _ in range(300)]
+    w = par.Words(texts)
+    for i, t in enumerate(texts):
+        at = w.text == i
+        split = t.lower().split()
+        assert w.hash[at].tolist() == [xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in split]
+        assert [t[a:b] for a, b in zip(w.start[at], w.end[at])] == t.split()
+        assert w.line[at].tolist() == [t[:a].count("\n") for a in w.start[at]]
+
+
+def test_bitmaps_leave_out_no_similar_pair():
+    rng = np.random.default_rng(28)
+    pool = rng.integers(0, 1 << 64, 400, dtype=np.uint64, endpoint=False)
+    sets = [np.unique(rng.choice(pool[: 20 + 3 * (i % 60)], 18 + 2 * (i % 60), replace=False)).view(np.int64) for i in range(120)]
+    sets += [np.delete(s, [0, 5]) for s in sets]
+    left, right = np.triu_indices(len(sets), 1)
+    plain = [len(a & b) >= par.LIKE * len(a | b) - 1e-9 for a, b in (
+        (set(sets[i].tolist()), set(sets[j].tolist())) for i, j in zip(left, right))]
+    assert 0 < sum(plain) < len(plain)
+    assert par.similar(sets, left, right, bits=par.bitmaps(sets)).tolist() == par.similar(sets, left, right).tolist() == plain
