@@ -195,13 +195,15 @@ def compared_blocks(members: DataFrame, key: str, item: str, block: int = BLOCK)
     members: distinct (key, item). A group of up to `block` members is one cell. A larger
     one is cut by a hash of the item into blocks, and each pair of blocks is a cell, so no
     task holds a whole group. Adds cell_a, cell_b (the blocks that meet) and own (the
-    member's block). The counts are summed before the shuffle and joined back by an
-    ordinary join, whose skewed partitions adaptive execution splits.
+    member's block). The counts are summed before the shuffle and joined back by a
+    sort-merge join, whose skewed partitions adaptive execution splits. It is asked for: members
+    come out of an explode, which Spark does not count in their size, so it would broadcast them
+    by way of the driver.
     """
     sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     parts = F.ceil(F.col("size") / block).cast("int")
     return (
-        members.join(sizes, key)
+        members.join(sizes.hint("merge"), key)
         .withColumn("own", F.pmod(F.xxhash64(item), parts).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .withColumn("cell_a", F.least("own", "other"))

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from rentloom.llm import common, components, queries, simhash
 
@@ -130,3 +131,14 @@ def test_cells_cover_all_pairs_of_a_split_group(spark):
     assert {k[0] for k in cells} == {1}
     met = {frozenset((x, y)) for (_, a, b), rows in cells.items() for (x, p), (y, q) in itertools.combinations(rows, 2) if a == b or p != q}
     assert len(met) == 25 * 24 // 2
+
+
+def test_members_out_of_an_explode_are_not_broadcast(spark):
+    """At Spark's default threshold, for which this table is small and what it is exploded to seems so."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    distinct = spark.range(5000).select(F.xxhash64("id").alias("fp")).distinct()
+    cells = common.compared_blocks(simhash.keyed(simhash.tabled(distinct)), "key", "fp")
+    frame = cells.groupBy().count()
+    assert frame.collect()[0][0] > 0
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
