@@ -1,5 +1,5 @@
 import corpus_pipeline
-from rentloom.llm import packing, paragraphs, quality, simhash, toxicity
+from rentloom.llm import common, packing, paragraphs, quality, simhash, toxicity
 from rentloom.llm.common import table
 
 
@@ -58,3 +58,21 @@ def test_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
             assert not {i for i in ids if i is not None and i < 60 and i % 5 == 1}
     scored = corpus_pipeline.STAGES[1][1](spark, docs, str(tmp_path))
     assert scored.columns == docs.columns and scored.count() <= len(rows)
+
+
+def test_no_stage_broadcasts_the_members_of_groups(spark, smallest, monkeypatch):
+    """Near copies and repeats compare members that come out of an explode, whose size Spark takes for small."""
+    made = []
+
+    def seen(*args):
+        made.append(blocks(*args))
+        return made[-1]
+
+    blocks = common.compared_blocks
+    monkeypatch.setattr(common, "compared_blocks", seen)
+    docs = table(spark, smallest, "documents")
+    assert corpus_pipeline.single(spark, docs, smallest).count() > 0
+    assert corpus_pipeline.unrepeated(spark, docs, smallest).count() > 0
+    assert len(made) == 2
+    for cells in made:
+        assert "BroadcastHashJoin" not in cells._jdf.queryExecution().executedPlan().toString()
