@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from rentloom.operators import dedupe, spatial, stats
+from rentloom.operators import dedupe, enrich, spatial, stats
 from rentloom.plans import apartments, craigslist, gosection8, padmapper, stacked, tables, trulia, zillow
 from rentloom.session import shared_folder
 from rentloom.sources import files
@@ -180,3 +180,20 @@ def test_shares_of_four_sites_take_one_scan_and_one_dedupe(spark, smallest):
 def test_rows_without_a_key_are_dealt_out_for_the_look_up(spark, smallest):
     text = plan(queries.REGISTERED["geoparse"](spark, smallest))
     assert any("_salt" in line for line in text.splitlines() if line.startswith("Left keys"))
+
+
+def test_a_key_is_shuffled_once_to_its_look_up(spark, tmp_path):
+    spark.createDataFrame([("a", 1.5)], "k string, v double").write.parquet(str(tmp_path / "book"))
+    rows = spark.range(9).selectExpr("id", "CASE WHEN id > 1 THEN if(id > 4, 'a', '') END AS k")
+    out = enrich.enrich_distinct(rows, ["k"], spark.read.parquet(str(tmp_path / "book")).hint("merge"))
+    assert out.columns == ["id", "k", "v"]
+    assert sorted(map(tuple, out.collect())) == [
+        (i, None if i < 2 else "a" if i > 4 else "", 1.5 if i > 4 else None) for i in range(9)]
+    sent = [part for part in plan(out).split("Exchange\n")[1:] if "id#" in part.splitlines()[0]]
+    assert sent and "[4]" in sent[0].splitlines()[0]
+
+
+def test_what_tells_buildings_apart_is_not_shuffled_with_units(spark, smallest):
+    ads = padmapper.distinct_ads(padmapper.tidy(inputs.padmapper(spark, smallest)))
+    sent = [part.splitlines()[0] for part in plan(ads).split("Exchange\n")[1:] if "_own#" in part.splitlines()[0]]
+    assert len(sent) == 1 and "_loc#" in sent[0] and " loc#" not in sent[0]
