@@ -182,6 +182,35 @@ def test_rows_without_a_key_are_dealt_out_for_the_look_up(spark, smallest):
     assert any("_salt" in line for line in text.splitlines() if line.startswith("Left keys"))
 
 
+def _methods(spark, df):
+    """Bytes of the largest generated method of each compiled stage of a frame that has run."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+
+
+def test_methods_of_padmapper_are_compiled(spark, smallest):
+    """Java only interprets methods of more than 8000 bytes, whatever Spark's own limit is."""
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        out = queries.REGISTERED["site_padmapper"](spark, smallest)
+        out.collect()
+        assert max(_methods(spark, out)) <= 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", limit)
+
+
+def test_points_are_not_tested_for_null_by_their_formula(spark):
+    points = spark.range(10).selectExpr("id", "sqrt(id * 1.5D) AS x", "sqrt(id * 2.5D) AS y")
+    cells = spark.createDataFrame([("a", [[{"x": 0.0, "y": 0.0}, {"x": 9.0, "y": 0.0}, {"x": 0.0, "y": 9.0}]])],
+                                  "name string, geometry array<array<struct<x: double, y: double>>>")
+    out = spatial.point_in_polygon(points, cells, 1.0, how="inner")
+    assert out.count() > 0
+    filters = [line for line in plan(out).splitlines() if line.startswith("Condition")]
+    assert not [line for line in filters if "xxhash64" in line]
+
+
 def test_a_key_is_shuffled_once_to_its_look_up(spark, tmp_path):
     spark.createDataFrame([("a", 1.5)], "k string, v double").write.parquet(str(tmp_path / "book"))
     rows = spark.range(9).selectExpr("id", "CASE WHEN id > 1 THEN if(id > 4, 'a', '') END AS k")
